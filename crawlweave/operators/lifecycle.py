@@ -10,10 +10,10 @@ from crawlweave.operators.prefix import carry_forward, running_total
 DAY_MS = 86_400_000
 
 
-def _state(phase: str, paused: str):
+def _state(phase: str, opened: str, paused: str):
     return (
         F.when(F.col(phase) == "start", F.when(F.col(paused), "paused").otherwise("running"))
-        .when(F.col(phase) == "end", "finished")
+        .when((F.col(phase) == "end") & (F.col(opened) == "start"), "finished")
         .otherwise("idle")
     )
 
@@ -25,15 +25,16 @@ def lifecycle_states(
 
     Actions: ``start``, ``pause``, ``resume``, ``end``, ``clear``; others change nothing. Pause and
     resume count only while a crawl is active. A start in an active crawl restarts its clock; a
-    start of an idle or finished one begins unpaused.
+    start of an idle or finished one begins unpaused. An end before any start leaves it idle.
     """
     order = [clock, tie]
     bucket = F.floor(F.col(clock) / F.lit(width)).cast("bigint")
     action = F.col("action")
     phase = F.when(action.isin("start", "end", "clear"), action)
+    opened = F.when(action.isin("start", "clear"), action)
     seen = carry_forward(
         log, [crawl], order, bucket,
-        {"__phase_before": phase, "__prev_ms": F.col(clock), "__start_before": F.when(action == "start", F.col(clock))},
+        {"__phase_before": phase, "__opened_before": opened, "__prev_ms": F.col(clock), "__start_before": F.when(action == "start", F.col(clock))},
         exclusive=True,
     )
     active = F.coalesce(F.col("__phase_before") == "start", F.lit(False))
@@ -45,6 +46,7 @@ def lifecycle_states(
     )
     seen = seen.withColumns(
         {"__mark": mark, "__phase": F.coalesce(phase, F.col("__phase_before")),
+         "__opened": F.coalesce(opened, F.col("__opened_before")),
          "__start": F.when(action == "start", F.col(clock)).otherwise(F.col("__start_before"))}
     )
     seen = carry_forward(seen, [crawl], order, bucket, {"__was_paused": F.col("__mark")}, exclusive=True)
@@ -53,10 +55,11 @@ def lifecycle_states(
         {"__paused_before": paused_before, "__paused": F.coalesce("__mark", paused_before)}
     )
     return seen.withColumns(
-        {"state_before": _state("__phase_before", "__paused_before"), "state": _state("__phase", "__paused"),
+        {"state_before": _state("__phase_before", "__opened_before", "__paused_before"),
+         "state": _state("__phase", "__opened", "__paused"),
          "prev_ms": F.col("__prev_ms"), "start_ms": F.col("__start")}
     ).drop(
-        "__phase_before", "__prev_ms", "__start_before", "__mark", "__phase", "__start", "__was_paused",
+        "__phase_before", "__opened_before", "__opened", "__prev_ms", "__start_before", "__mark", "__phase", "__start", "__was_paused",
         "__paused_before", "__paused",
     )
 

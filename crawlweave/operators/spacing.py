@@ -6,87 +6,156 @@ granted clock. So every (key, time bucket) is summarised on its own as a step fu
 before the bucket -> last grant after it", the few step functions of a key are chained, and every
 bucket is then resolved on its own. Rows of one clock tick collapse to one point per gap first, so
 the size of a bucket is bounded by its width and not by the traffic.
+
+All three passes stream over sorted partitions and handle many small groups per array operation.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows of one bucket cover this many clock units (an hour of milliseconds).
+# One bucket covers this many clock units (an hour of milliseconds).
 BUCKET_WIDTH = 3_600_000
 _NEVER = -(1 << 62)
 
 
-def _next_grant(clock: np.ndarray, gap: np.ndarray) -> np.ndarray:
-    """Index of the first point that may be granted after a grant at each point; n if none."""
-    n = len(clock)
-    following = np.full(n, n, dtype=np.int64)
-    for g in np.unique(gap):
-        members = np.flatnonzero(gap == g)
-        at = np.searchsorted(clock[members], clock + g, side="left")
-        index = np.append(members, n)[at]
-        following = np.minimum(following, index)
-    return following
-
-
-def _summary(pdf: pd.DataFrame) -> tuple[list[int], list[int]]:
-    """Step function of one bucket: for a last grant <= limits[k] the bucket ends with exits[k]."""
-    pdf = pdf.sort_values(["clock", "tie"], kind="stable")
-    clock, gap = pdf["clock"].to_numpy(np.int64), pdf["gap"].to_numpy(np.int64)
-    following = _next_grant(clock, gap)
-    final = np.where(following < len(clock), following, np.arange(len(clock)))
-    while True:
-        further = final[final]
-        if np.array_equal(further, final):
-            break
-        final = further
-    limit = clock - gap
-    best = np.maximum.accumulate(limit)
-    opens = np.append(True, best[1:] > best[:-1])
-    limits, exits = limit[opens], clock[final[opens]]
-    last_of_run = np.append(exits[1:] != exits[:-1], True)
-    return limits[last_of_run].tolist(), exits[last_of_run].tolist()
-
-
-def _chain(pdf: pd.DataFrame) -> np.ndarray:
-    """Last grant before each bucket of one key."""
-    entry = np.empty(len(pdf), dtype=np.int64)
-    last = _NEVER
-    for i, (limits, exits) in enumerate(zip(pdf["limits"], pdf["exits"])):
-        entry[i] = last
-        k = int(np.searchsorted(limits, last, side="left"))
-        if k < len(limits):
-            last = int(exits[k])
-    return entry
-
-
-def _resolve(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values(["clock", "tie"], kind="stable").reset_index(drop=True)
-    clock, gap = pdf["clock"].to_numpy(np.int64), pdf["gap"].to_numpy(np.int64)
-    entry = int(pdf["entry"].iloc[0])
-    following = _next_grant(clock, gap)
-    may_start = np.flatnonzero(clock - gap >= entry)
-    granted = np.zeros(len(clock), dtype=bool)
-    at = int(may_start[0]) if len(may_start) else len(clock)
-    while at < len(clock):
-        granted[at] = True
-        at = int(following[at])
-    grants = np.flatnonzero(granted)
-    tick_of_grant = clock[grants]
-    # last grant strictly before this tick, and the tie-breaker of a grant on this very tick
-    before = np.searchsorted(tick_of_grant, clock, side="left") - 1
-    pdf["before"] = np.where(before >= 0, np.append(tick_of_grant, _NEVER)[before], entry)
-    same = np.searchsorted(tick_of_grant, clock, side="left")
-    hit = np.append(tick_of_grant, _NEVER)[same] == clock
-    tie = np.append(pdf["tie"].to_numpy(np.int64)[grants], 0)[same]
-    pdf["grant_tie"] = pd.array(np.where(hit, tie, 0), dtype="Int64")
-    pdf.loc[~hit, "grant_tie"] = pd.NA
-    return pdf
+def _group_starts(pdf: pd.DataFrame) -> np.ndarray:
+    key, bucket = pdf["key"].to_numpy(), pdf["bucket"].to_numpy()
+    changed = (key[1:] != key[:-1]) | (bucket[1:] != bucket[:-1])
+    return np.append(0, np.flatnonzero(changed) + 1)
+
+
+def _whole_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Regroup sorted batches so that no (key, bucket) is spread over two of them."""
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        if batch.empty:
+            continue
+        cut = int(_group_starts(batch)[-1])
+        if held:
+            last, first = held[-1].iloc[-1], batch.iloc[0]
+            if last["key"] != first["key"] or last["bucket"] != first["bucket"]:
+                yield pd.concat(held, ignore_index=True)
+                held = []
+        if cut:
+            yield pd.concat([*held, batch.iloc[:cut]], ignore_index=True)
+            held = []
+        held.append(batch.iloc[cut:])
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+class _Points:
+    """Sorted points of many groups on one axis, far enough apart that no gap reaches across."""
+
+    def __init__(self, pdf: pd.DataFrame, width: int):
+        self.clock = pdf["clock"].to_numpy(np.int64)
+        self.gap = pdf["gap"].to_numpy(np.int64)
+        self.tie = pdf["tie"].to_numpy(np.int64)
+        self.n = len(pdf)
+        self.starts = _group_starts(pdf)
+        self.group = np.repeat(np.arange(len(self.starts)), np.diff(np.append(self.starts, self.n)))
+        self.opens_at = pdf["bucket"].to_numpy(np.int64)[self.starts] * width
+        self.reach = int(self.gap.max())
+        self.span = width + 2 * self.reach + 2
+        self.place = self.group * self.span + (self.clock - self.opens_at[self.group])
+        # highest last grant that lets some point up to here be granted
+        self.best = np.maximum.accumulate(self.place - self.gap + self.reach)
+        self.following = self._following()
+
+    def _following(self) -> np.ndarray:
+        """Index of the first point that may be granted after a grant at each point; n if none."""
+        following = np.full(self.n, self.n, dtype=np.int64)
+        for g in np.unique(self.gap):
+            members = np.flatnonzero(self.gap == g)
+            at = np.searchsorted(self.place[members], self.place + g, side="left")
+            following = np.minimum(following, np.append(members, self.n)[at])
+        inside = np.append(self.group, -1)[following] == self.group
+        return np.where(inside, following, self.n)
+
+    def last_in_chain(self) -> np.ndarray:
+        """Index of the last grant of the bucket if each point is granted."""
+        final = np.where(self.following < self.n, self.following, np.arange(self.n))
+        while True:
+            further = final[final]
+            if np.array_equal(further, final):
+                return final
+            final = further
+
+    def granted(self, entry: np.ndarray) -> np.ndarray:
+        """Grants of every group, given the last grant before it."""
+        since = np.maximum(entry - self.opens_at, -self.reach)
+        target = np.arange(len(self.starts)) * self.span + since + self.reach
+        at = np.searchsorted(self.best, target, side="left")
+        at = at[np.append(self.group, -1)[at] == np.arange(len(self.starts))]
+        chosen = np.zeros(self.n, dtype=bool)
+        while len(at):
+            chosen[at] = True
+            at = self.following[at]
+            at = at[at < self.n]
+        return chosen
+
+
+def _summaries(pdf: pd.DataFrame, width: int) -> pd.DataFrame:
+    """Step function per group: with a last grant <= ``upto`` (smallest that fits) it ends at ``leaves``."""
+    p = _Points(pdf, width)
+    steps = np.flatnonzero(np.append(True, p.best[1:] > p.best[:-1]))
+    group, upto, leaves = p.group[steps], (p.clock - p.gap)[steps], p.clock[p.last_in_chain()][steps]
+    # a grant before the bucket cannot be later than its start, so further steps are out of reach
+    needed = np.append(True, (group[1:] != group[:-1]) | (upto[:-1] < p.opens_at[group[:-1]] - 1))
+    steps, group, upto, leaves = steps[needed], group[needed], upto[needed], leaves[needed]
+    end_of_run = np.append((group[1:] != group[:-1]) | (leaves[1:] != leaves[:-1]), True)
+    rows = pdf.iloc[steps[end_of_run]]
+    return pd.DataFrame(
+        {"key": rows["key"].to_numpy(), "bucket": rows["bucket"].to_numpy(), "upto": upto[end_of_run], "leaves": leaves[end_of_run]}
+    )
+
+
+def _chain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Last grant before each bucket, from steps sorted by key, bucket and ``upto``."""
+    key = bucket = None
+    last = entry = _NEVER
+    moved = False
+    for pdf in batches:
+        out: list[tuple[str, int, int]] = []
+        for k, b, upto, leaves in pdf[["key", "bucket", "upto", "leaves"]].itertuples(index=False, name=None):
+            if k != key:
+                key, bucket, last = k, None, _NEVER
+            if b != bucket:
+                bucket, entry, moved = b, last, False
+                out.append((k, b, entry))
+            if not moved and upto >= entry:
+                last, moved = leaves, True
+        yield pd.DataFrame(out, columns=["key", "bucket", "entry"])
+
+
+def _resolve(pdf: pd.DataFrame, width: int) -> pd.DataFrame:
+    """Grants of whole groups; the first row of each group (gap 0) carries its entry as ``clock``."""
+    heads = pdf["gap"].to_numpy() == 0
+    entry = pdf["clock"].to_numpy(np.int64)[heads]
+    pdf = pdf[~heads]
+    p = _Points(pdf, width)
+    grants = np.flatnonzero(p.granted(entry))
+    ticks = p.place[grants]
+    at = np.searchsorted(ticks, p.place, side="left")
+    # a grant on this very tick, and the last one strictly before it
+    same = np.append(ticks, -1)[at] == p.place
+    before = np.append(grants, -1)[at - 1]
+    inside = (at > 0) & (p.group[before] == p.group)
+    return pd.DataFrame(
+        {
+            "key": pdf["key"].to_numpy(),
+            "clock": p.clock,
+            "gap": p.gap,
+            "before": np.where(inside, p.clock[before], entry[p.group]),
+            "grant_tie": pd.array(np.append(p.tie[grants], 0)[at], dtype="Int64"),
+        }
+    ).assign(grant_tie=lambda d: d["grant_tie"].where(same))
 
 
 def greedy_spacing(
@@ -103,38 +172,45 @@ def greedy_spacing(
     that is unique per key and orders rows of the same clock. A row without a key is granted.
     """
     keys = list(keys)
-    rows = df.withColumns({"__clock": F.col(clock).cast("bigint"), "__gap": gap.cast("bigint")})
+    rows = df.withColumns({"__clock": F.col(clock).cast("bigint"), "__gap": F.greatest(gap.cast("bigint"), F.lit(1))})
     usable = F.lit(True)
     for k in keys:
         usable = usable & F.col(k).isNotNull()
-    # one key column, whatever the key types are, keeps the Arrow schema simple
+    # one text key, whatever the key types are
     rows = rows.withColumn("__key", F.when(usable, F.to_json(F.struct(*keys))))
     points = (
         rows.where("__key is not null")
         .groupBy(F.col("__key").alias("key"), F.col("__clock").alias("clock"), F.col("__gap").alias("gap"))
         .agg(F.min(F.col(tie).cast("bigint")).alias("tie"))
-        .withColumn("bucket", F.floor(F.col("clock") / F.lit(width)).cast("bigint"))
+        .select("key", F.floor(F.col("clock") / F.lit(width)).cast("bigint").alias("bucket"), "clock", "gap", "tie")
     )
 
-    def summarise(group, pdf):
-        limits, exits = _summary(pdf)
-        return pd.DataFrame({"key": [group[0]], "bucket": [group[1]], "limits": [limits], "exits": [exits]})
+    def summarise(batches):
+        for pdf in _whole_groups(batches):
+            yield _summaries(pdf, width)
 
-    def chain(pdf):
-        pdf = pdf.sort_values("bucket")
-        return pd.DataFrame({"key": pdf["key"], "bucket": pdf["bucket"], "entry": _chain(pdf)})
+    def resolve(batches):
+        for pdf in _whole_groups(batches):
+            yield _resolve(pdf, width)
 
-    summaries = points.groupBy("key", "bucket").applyInPandas(
-        summarise, "key string, bucket bigint, limits array<bigint>, exits array<bigint>"
+    steps = (
+        points.repartition("key", "bucket")
+        .sortWithinPartitions("key", "bucket", "clock", "tie")
+        .mapInPandas(summarise, "key string, bucket bigint, upto bigint, leaves bigint")
+    )
+    # a handful of rows per bucket: the traffic is gone, only the number of buckets counts
+    entries = (
+        steps.repartition("key")
+        .sortWithinPartitions("key", "bucket", "upto")
+        .mapInPandas(_chain, "key string, bucket bigint, entry bigint")
     )
-    entries = summaries.groupBy("key").applyInPandas(chain, "key string, bucket bigint, entry bigint")
+    zero = F.lit(0).cast("bigint")
+    heads = entries.select("key", "bucket", F.col("entry").alias("clock"), zero.alias("gap"), zero.alias("tie"))
     resolved = (
-        points.join(entries, ["key", "bucket"])
-        .groupBy("key", "bucket")
-        .applyInPandas(
-            lambda pdf: _resolve(pdf)[["key", "clock", "gap", "before", "grant_tie"]],
-            "key string, clock bigint, gap bigint, before bigint, grant_tie bigint",
-        )
+        points.unionByName(heads)
+        .repartition("key", "bucket")
+        .sortWithinPartitions("key", "bucket", F.col("gap") > 0, "clock", "tie")
+        .mapInPandas(resolve, "key string, clock bigint, gap bigint, before bigint, grant_tie bigint")
         .withColumnsRenamed({"key": "__key", "clock": "__clock", "gap": "__gap"})
     )
     joined = rows.join(resolved, ["__key", "__clock", "__gap"], "left")

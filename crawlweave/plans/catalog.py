@@ -528,7 +528,7 @@ _LIFECYCLE_SQL = """
         union all
         select t.*, m.state,
                case when t.action = 'start' then case when m.state = 'paused' then 'paused' else 'running' end
-                    when t.action = 'end' then 'finished'
+                    when t.action = 'end' and m.state <> 'idle' then 'finished'
                     when t.action = 'pause' and m.state = 'running' then 'paused'
                     when t.action = 'resume' and m.state = 'paused' then 'running' else m.state end,
                case when t.action = 'start' then t.t_ms else m.start_ms end,

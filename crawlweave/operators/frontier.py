@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from crawlweave.operators.prefix import block, number_by_range, running_total
 from crawlweave.operators.robots import match_robots
-from crawlweave.operators.skew import dimension_join
 from crawlweave.operators.spacing import greedy_spacing
 from crawlweave.session import new_path, stage
 
@@ -74,23 +73,23 @@ def next_frontier(candidates: DataFrame, seen: DataFrame) -> DataFrame:
     return fresh.select("crawl_id", "url", "depth", "__first.parent_seq", "__first.pos")
 
 
-def _numbered(rows: DataFrame, order: list[str], taken: DataFrame | None, label: str) -> DataFrame:
-    """Give rows the next sequence numbers of their crawl, in the given order."""
-    used = None if taken is None else taken.groupBy("crawl_id").agg(F.max("seq").alias("used"))
-    return number_by_range(rows, ["crawl_id"], order, "seq", label, used)
+def _numbered(rows: DataFrame, order: list[str], log: DataFrame, label: str) -> DataFrame:
+    """Give rows the next sequence numbers of their crawl in the given order, and what it ``spent``."""
+    so_far = log.groupBy("crawl_id").agg(
+        F.max("seq").alias("used"), F.count_if(F.col("state").isin(*DISPATCHED)).alias("spent")
+    )
+    return number_by_range(rows, ["crawl_id"], order, "seq", label, so_far).fillna(0, ["spent"])
 
 
 def _log_of(spark: SparkSession, paths: list[str]) -> DataFrame:
     return spark.read.schema(LOG).parquet(*paths) if paths else spark.createDataFrame([], LOG)
 
 
-def _with_budget(judged: DataFrame, log: DataFrame) -> DataFrame:
-    """Add what the crawl has dispatched before this level and, in order, before this row."""
-    spent = log.where(F.col("state").isin(*DISPATCHED)).groupBy("crawl_id").agg(F.count(F.lit(1)).alias("__spent"))
-    known = dimension_join(judged, spent, "crawl_id", "url").fillna(0, ["__spent"])
-    return running_total(
-        known, ["crawl_id"], ["seq"], block("seq"), {"__ahead": F.col("allowed").cast("bigint")}, exclusive=True
-    )
+def _demand(level: DataFrame) -> tuple[int, int]:
+    """Rows of the level, and the most pages any one crawl would have used if all were dispatched."""
+    per_crawl = level.groupBy("crawl_id").agg(F.count(F.lit(1)).alias("rows"), F.max("spent").alias("spent"))
+    rows, pages = per_crawl.agg(F.sum("rows"), F.max(F.col("rows") + F.col("spent"))).first()
+    return rows or 0, pages or 0
 
 
 def crawl(
@@ -121,22 +120,27 @@ def crawl(
     paths: list[str] = []
 
     if numbered:
-        level = _numbered(seeds, ["place", "url"], None, "crawl-seeds")
+        level = _numbered(seeds, ["place", "url"], _log_of(spark, []), "crawl-seeds")
     else:
-        level = seeds.withColumn("seq", F.lit(0).cast("bigint"))
-    level = level.select("crawl_id", "url", "depth", "seq")
+        level = seeds.withColumns({"seq": F.lit(0).cast("bigint"), "spent": F.lit(0).cast("bigint")})
     depth = 0
     while True:
+        level = level.select("crawl_id", "url", "depth", "seq", "spent")
+        cut, rows = False, None
+        if max_pages is not None or rules is not None:
+            # staged, because these steps read the level more than once
+            level = level if numbered else stage(level, "crawl-level")
+            rows, pages = _demand(level)
+            cut = max_pages is not None and pages > max_pages
         judged = level.withColumn("allowed", F.lit(True))
         if rules is not None:
-            # the robots join reads its rows twice (hot-key count and join), the budget too
-            judged = match_robots(level if numbered else stage(level, "crawl-level"), rules)
-            judged = judged.select("crawl_id", "url", "depth", "seq", "allowed")
+            judged = match_robots(level, rules, known_rows=rows).select(*level.columns, "allowed")
         examined = F.lit(True)
-        if max_pages is not None:
+        if cut:
             judged = stage(judged, "crawl-judged") if rules is not None else judged
-            judged = _with_budget(judged, _log_of(spark, paths))
-            examined = F.col("__spent") + F.col("__ahead") < max_pages
+            ahead = {"ahead": F.col("allowed").cast("bigint")}
+            judged = running_total(judged, ["crawl_id"], ["seq"], block("seq"), ahead, exclusive=True)
+            examined = F.col("spent") + F.col("ahead") < max_pages
         state = F.when(~examined, "queued").when(~F.col("allowed"), "robots_blocked")
         judged = judged.withColumn("state", state).select("crawl_id", "url", "depth", "seq", "state")
         outcome = F.lit("processed")
@@ -162,8 +166,7 @@ def crawl(
         if numbered:
             level = _numbered(level, ["parent_seq", "pos"], seen, "crawl-level")
         else:
-            level = level.withColumn("seq", F.lit(0).cast("bigint"))
-        level = level.select("crawl_id", "url", "depth", "seq")
+            level = level.withColumns({"seq": F.lit(0).cast("bigint"), "spent": F.lit(0).cast("bigint")})
         depth += 1
     return Crawl(_log_of(spark, paths), expand, max_depth)
 

@@ -136,8 +136,9 @@ def number_by_range(
 
     Range partitions over (keys, order) split even a single huge key; the staged table fixes each
     row's place, and one row per (partition, key) turns places into ordinals. ``start`` may give
-    the last ordinal already used per key in its column ``used``.
+    the last ordinal already used per key in its column ``used``; its other columns are added.
     """
+    extra = [] if start is None else [c for c in start.columns if c not in (*keys, "used")]
     by = ["__part", *keys]
     placed = (
         df.repartitionByRange(*keys, *order)
@@ -151,7 +152,7 @@ def number_by_range(
     if start is not None:
         runs = runs.join(start, list(keys), "left")
         offset = offset + F.coalesce("used", F.lit(0))
-    shift = runs.select(*by, (offset - F.col("__first") + 1).alias("__shift"))
+    shift = runs.select(*by, *extra, (offset - F.col("__first") + 1).alias("__shift"))
     return placed.join(shift, by).withColumn(name, F.col("__place") + F.col("__shift")).drop(
         "__part", "__place", "__shift"
     )

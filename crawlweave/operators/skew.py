@@ -17,6 +17,7 @@ def dimension_join(
     spread_by: str,
     hot_rows: int = HOT_ROWS,
     splits: int = SPLITS,
+    known_rows: int | None = None,
 ) -> DataFrame:
     """Left join ``facts`` to ``dimension`` (unique on ``key``) without a hot task.
 
@@ -24,8 +25,13 @@ def dimension_join(
     ``spread_by`` and their dimension rows are repeated per shard. A key outside the
     ``MAX_HOT_KEYS`` heaviest holds less than 1/256 of the rows. Missing keys are spread as well.
     The list of hot keys is the only broadcast and has at most ``MAX_HOT_KEYS`` rows; every row
-    takes part in the join whether its key is listed or not.
+    takes part in the join whether its key is listed or not. If the caller has counted the facts
+    (``known_rows``) and there are too few for any hot key, only missing keys are spread.
     """
+    shard = F.pmod(F.xxhash64(F.col(spread_by)), F.lit(splits)).cast("int")
+    if known_rows is not None and known_rows < hot_rows:
+        spread = facts.withColumn("__shard", F.when(F.col(key).isNull(), shard).otherwise(0))
+        return spread.join(dimension.withColumn("__shard", F.lit(0)), [key, "__shard"], "left").drop("__shard")
     hot = (
         facts.where(F.col(key).isNotNull())
         .groupBy(key)
@@ -35,7 +41,6 @@ def dimension_join(
         .limit(MAX_HOT_KEYS)
         .select(key, F.lit(True).alias("__hot"))
     )
-    shard = F.pmod(F.xxhash64(F.col(spread_by)), F.lit(splits)).cast("int")
     salted = facts.join(F.broadcast(hot), key, "left").withColumn(
         "__shard", F.when(F.col("__hot") | F.col(key).isNull(), shard).otherwise(0)
     )

@@ -361,9 +361,11 @@ def multi_crawl(spark, sf):
 
 
 def _budget_crawl(spark, sf) -> frontier.Crawl:
-    outcomes = fetches.fetch_outcome(inputs.fetch_attempts(spark, sf)).select("url", "outcome")
+    # used by every level, so derived once
+    outcomes = stage(fetches.fetch_outcome(inputs.fetch_attempts(spark, sf)).select("url", "outcome"), "outcomes")
+    rules = stage(_rules(spark, sf), "rules")
     return frontier.crawl(
-        _seeds(spark, sf), _links(spark, sf), max_pages=PAGE_BUDGET, rules=_rules(spark, sf),
+        _seeds(spark, sf), _links(spark, sf), max_pages=PAGE_BUDGET, rules=rules,
         fetch=lambda rows: rows.join(outcomes, "url", "left"),
     )
 

@@ -70,7 +70,10 @@ def redirect_map(redirects: DataFrame, host_ips: DataFrame, max_redirects: int =
     ended = moving.where(F.col("error").isNotNull())
     moving = moving.where(F.col("error").isNull())
     for hop in range(2, max_redirects + 2):
-        joined = dimension_join(moving, step, "current", "src")
+        rows = moving.count()
+        if rows == 0:
+            break
+        joined = dimension_join(moving, step, "current", "src", known_rows=rows)
         moves = F.coalesce("moves", F.lit(False))
         failure = F.coalesce("next_error", F.lit("too many redirects") if hop > max_redirects else F.lit(None).cast("string"))
         hopped = stage(
@@ -86,8 +89,6 @@ def redirect_map(redirects: DataFrame, host_ips: DataFrame, max_redirects: int =
         still = F.col("moves") & F.col("error").isNull()
         ended = ended.unionByName(hopped.where(~still).drop("moves"))
         moving = hopped.where(still).drop("moves")
-        if moving.isEmpty():
-            break
     return ended.select("src", F.when(F.col("error").isNull(), F.col("current")).alias("final_url"), "hops", "error")
 
 

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crawlweave.operators.links import extract_links, follow_filter
 from crawlweave.operators.prefix import block, number_by_range, running_total
 from crawlweave.operators.robots import match_robots
 from crawlweave.operators.spacing import greedy_spacing
@@ -61,6 +62,19 @@ def expand_with(links: DataFrame) -> Expand:
     return expand
 
 
+def expand_pages(pages: DataFrame) -> Expand:
+    """Candidates from stored pages ``url, html``: extraction and the link filters per level."""
+
+    def expand(handled: DataFrame) -> DataFrame:
+        read = handled.join(pages.select("url", "html"), "url")
+        found = follow_filter(extract_links(read, ["crawl_id", "depth", "seq"]))
+        return found.select(
+            "crawl_id", F.col("link").alias("url"), "depth", F.col("seq").alias("parent_seq"), F.col("pos").cast("bigint")
+        )
+
+    return expand
+
+
 def next_frontier(candidates: DataFrame, seen: DataFrame) -> DataFrame:
     """Distinct candidates that no earlier level accepted, at their first place in parent order.
 

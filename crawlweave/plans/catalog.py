@@ -421,6 +421,20 @@ def link_duplicates(spark, sf):
     return frontier.duplicate_attempts(frontier.crawl(_seeds(spark, sf), _links(spark, sf)))
 
 
+@query("crawl_html", f"""
+    select url, 0 as depth, 'processed' as state from pages
+    union all
+    select distinct base || hrefs[i + 1], 1, 'failed' {_PAGE_LINKS}
+    where hrefs[i + 1] not like '%#%' and base || hrefs[i + 1] not in (select url from pages)""")
+def crawl_html(spark, sf):
+    """All stored pages as seeds; their links are followed and, not being stored, fail to load."""
+    stored = tables.page_scan(spark, sf)
+    seeds = frontier.seed_frontier(stored, "url", None, "page_id")
+    provider = tables.stored_pages(stored)
+    result = frontier.crawl(seeds, frontier.expand_pages(stored), fetch=provider)
+    return result.log.select("url", "depth", "state")
+
+
 @query("frontier_next", with_ctes("""
     select distinct l.dst as url, 1 as depth from nodes n join site_links l on l.src = n.url
     where n.r = 1 and l.dst not in (select url from nodes where r = 1)""", "nodes", "site_links"))
@@ -662,7 +676,7 @@ def snapshot_tail(spark, sf):
     """A new subscriber's snapshot and the (empty) tail after it."""
     path, schema = _message_table(spark, sf)
     stream = spark.readStream.schema(schema).parquet(path)
-    sink, checkpoint = feed.BatchTable(spark, "tail", stream.schema), new_path(spark, "tail-checkpoint")
+    sink, checkpoint = feed.BatchTable(spark, "tail", schema), new_path(spark, "tail-checkpoint")
     snapshot = feed.snapshot_then_tail(stream, sink, checkpoint)
     return snapshot.unionByName(feed.snapshot_then_tail(stream, sink, checkpoint))
 
@@ -714,7 +728,7 @@ def stream_last_n(spark, sf):
     recursive=_greedy_sql("crawl_log", "host", str(HOST_DELAY_MS))))
 def stream_throttle(spark, sf):
     rows = _stream(spark, sf).select("seq", "host", "t_ms", F.lit(HOST_DELAY_MS).cast("bigint").alias("gap"))
-    return feed.spaced_feed(rows, ["host"], "t_ms", "gap", "seq").drop("gap")
+    return feed.spaced_feed(rows, "host", "t_ms", "gap", "seq").drop("gap")
 
 
 @query("stream_robots", with_ctes(
@@ -724,12 +738,19 @@ def stream_robots(spark, sf):
     rows = _stream(spark, sf).select(
         "seq", urls.base_url(F.col("url")).alias("base_url"), "t_ms", F.lit(robots.CACHE_TTL_MS).cast("bigint").alias("gap")
     )
-    spaced = feed.spaced_feed(rows, ["base_url"], "t_ms", "gap", "seq")
+    spaced = feed.spaced_feed(rows, "base_url", "t_ms", "gap", "seq")
     return spaced.select(
         "seq", "base_url", "t_ms", F.col("granted").alias("refetched"), F.col("last_grant").alias("rules_fetched_ms")
     )
 
 
+@query("stream_lifecycle", with_ctes(
+    "select crawl_id, event_id, action, state_before, state from machine", "lifecycle", recursive=_LIFECYCLE_SQL))
+def stream_lifecycle(spark, sf):
+    actions = inputs.lifecycle_of(feed.file_feed(spark, sf, tables.EVENTS_SCHEMA, "events.parquet"))
+    return feed.lifecycle_feed(actions).select("crawl_id", "event_id", "action", "state_before", "state")
+
+
 @query("stream_stats", """
     select crawl_id, queue, cast(0 as bigint) as inFlight, cast(0 as bigint) as rejected, failed, robotsBlocked, processed, cast(0 as bigint) as kafkaErrors,
            '{"queue":' || queue || ',"inFlight":0,"rejected":0,"failed":' || failed || ',"robotsBlocked":' || robotsBlocked

@@ -127,7 +127,8 @@ def host_ips(spark: SparkSession, sf: str) -> DataFrame:
     return hosts.select("host", F.explode(F.element_at(choices, (F.length("host") % 8 + 1).cast("int"))).alias("ip"))
 
 
-def lifecycle(spark: SparkSession, sf: str) -> DataFrame:
+def lifecycle_of(rows: DataFrame) -> DataFrame:
+    """Lifecycle actions from event rows; a pure projection, so it also works on a stream."""
     action = (
         F.when(F.col("event_type") == "signup", "start")
         .when(F.col("event_type") == "error", "pause")
@@ -135,11 +136,15 @@ def lifecycle(spark: SparkSession, sf: str) -> DataFrame:
         .when(F.col("event_type") == "purchase", "end")
         .otherwise("page")
     )
-    return events(spark, sf).select(
+    return rows.select(
         F.col("user_id").alias("crawl_id"), "event_id", epoch_ms(F.col("ts")).alias("t_ms"), action.alias("action")
     )
 
 
+def lifecycle(spark: SparkSession, sf: str) -> DataFrame:
+    return lifecycle_of(events(spark, sf))
+
+
 def raw_messages(spark: SparkSession, sf: str) -> DataFrame:
     """Well-formed and malformed messages over the crawl log."""
     log = crawl_log(spark, sf)

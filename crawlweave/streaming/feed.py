@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlweave.functions import urls
 from crawlweave.operators.counters import stats_row
 from crawlweave.operators.exports import DISPLAY_CAPACITY, last_n
+from crawlweave.operators.lifecycle import lifecycle_states
 from crawlweave.operators.skew import dimension_join
 from crawlweave.operators.spacing import greedy_spacing
 from crawlweave.session import new_path, pin
@@ -52,48 +54,66 @@ def drain(
 
 
 class BatchTable:
-    """A sink table with one folder per micro-batch; writing a batch again replaces it."""
+    """A sink table partitioned by micro-batch; writing a batch again replaces it.
 
-    def __init__(self, spark: SparkSession, name: str, schema=None):
-        self.spark, self.path, self.schema = spark, new_path(spark, name), schema
-        self.batches: list[int] = []
+    Give ``path`` to go on with the table of an earlier run, next to the stream's own checkpoint.
+    """
+
+    def __init__(self, spark: SparkSession, name: str, schema: str, path: str | None = None):
+        self.spark, self.path = spark, path or new_path(spark, name)
+        self.schema = f"{schema}, batch bigint"
+        self.batches = self._written() if path else []
+
+    def _written(self) -> list[int]:
+        try:
+            found = self.spark.read.schema(self.schema).parquet(self.path)
+        except AnalysisException:  # nothing there yet
+            return []
+        return sorted(r[0] for r in found.select("batch").distinct().collect())
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
-        self.schema = batch.schema
-        batch.write.mode("overwrite").parquet(self._folder(batch_id))
+        batch.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
         if batch_id not in self.batches:
             self.batches.append(batch_id)
 
-    def _folder(self, batch_id: int) -> str:
-        return f"{self.path}/b{batch_id:08d}"
-
-    def _read(self, batches: list[int]) -> DataFrame:
+    def _versions(self, batches: list[int]) -> DataFrame:
         if not batches:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*[self._folder(b) for b in batches])
+        # one scan; the filter on the folder column prunes the rest
+        return self.spark.read.schema(self.schema).parquet(self.path).where(F.col("batch").isin(batches))
 
     def all(self) -> DataFrame:
-        return self._read(self.batches)
+        return self._versions(self.batches).drop("batch")
+
+    def since(self, count: int) -> DataFrame:
+        """Rows of all batches but the first ``count``."""
+        return self._versions(self.batches[count:]).drop("batch")
+
+    def batch(self, batch_id: int) -> DataFrame:
+        return self._versions([batch_id]).drop("batch")
+
+    def before(self, batch_id: int) -> DataFrame:
+        """The newest version older than ``batch_id``, so a repeated batch starts from the same state."""
+        return self._versions([b for b in self.batches if b < batch_id][-1:]).drop("batch")
 
     def latest(self) -> DataFrame:
         """The last complete-mode result or state version."""
-        return self._read(self.batches[-1:])
+        return self._versions(self.batches[-1:]).drop("batch")
 
     def upserted(self, keys: list[str]) -> DataFrame:
         """Update-mode results: the newest row per key."""
-        versions = None
-        for b in self.batches:
-            part = self._read([b]).withColumn("__batch", F.lit(b))
-            versions = part if versions is None else versions.unionByName(part)
-        if versions is None:
-            return self._read([])
-        values = [c for c in versions.columns if c not in (*keys, "__batch")]
-        newest = versions.groupBy(*keys).agg(F.max_by(F.struct(*values), "__batch").alias("__v"))
+        versions = self._versions(self.batches)
+        values = [c for c in versions.columns if c not in (*keys, "batch")]
+        newest = versions.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("__v"))
         return newest.select(*keys, "__v.*")
 
 
+def schema_of(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+
+
 def collect_feed(feed: DataFrame, name: str, mode: str = "append", checkpoint: str | None = None) -> BatchTable:
-    sink = BatchTable(feed.sparkSession, name, feed.schema)
+    sink = BatchTable(feed.sparkSession, name, schema_of(feed))
     drain(feed, sink.write, mode, checkpoint)
     return sink
 
@@ -102,7 +122,7 @@ def snapshot_then_tail(feed: DataFrame, sink: BatchTable, checkpoint: str) -> Da
     """First call: everything the feed holds. Later calls with the same checkpoint: only new rows."""
     before = len(sink.batches)
     drain(feed, sink.write, checkpoint=checkpoint)
-    return sink._read(sink.batches[before:])
+    return sink.since(before)
 
 
 def dedup(feed: DataFrame, url: str = "url", clock: str = "ts", keep: str = "1 day") -> DataFrame:
@@ -143,19 +163,21 @@ def sliding_rate(seconds: DataFrame, key: str = "crawl_id", window_s: int = 30)
     return counted.withColumn("rate", F.round(F.col("pages") / window_s, 1))
 
 
-def keep_last(feed: DataFrame, order: str, n: int = DISPLAY_CAPACITY) -> DataFrame:
+def keep_last(feed: DataFrame, order: str, n: int = DISPLAY_CAPACITY, path: str | None = None, checkpoint: str | None = None) -> DataFrame:
     """Newest ``n`` rows after the feed; each micro-batch merges its own newest into the table."""
-    versions = BatchTable(feed.sparkSession, "last-n", feed.schema)
+    versions = BatchTable(feed.sparkSession, "last-n", schema_of(feed), path)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        earlier = versions._read([b for b in versions.batches if b < batch_id][-1:])
-        versions.write(last_n(earlier.unionByName(last_n(batch, order, n)), order, n), batch_id)
+        newest = versions.before(batch_id).unionByName(last_n(batch, order, n))
+        versions.write(last_n(newest, order, n), batch_id)
 
-    drain(feed, merge)
+    drain(feed, merge, checkpoint=checkpoint)
     return versions.latest()
 
 
-def spaced_feed(feed: DataFrame, keys: list[str], clock: str, gap: str, order: str) -> DataFrame:
+def spaced_feed(
+    feed: DataFrame, key: str, clock: str, gap: str, order: str, path: str | None = None, checkpoint: str | None = None
+) -> DataFrame:
     """Greedy minimum gap per key over a stream: the politeness gate and the rules cache.
 
     The state is the last grant per key. A micro-batch is resolved by the batch operator, which
@@ -163,14 +185,12 @@ def spaced_feed(feed: DataFrame, keys: list[str], clock: str, gap: str, order: s
     with a clock before the state is taken at the state's clock, as if it came now.
     """
     spark = feed.sparkSession
-    results = BatchTable(spark, "spaced", None)
-    states = BatchTable(spark, "spaced-state", None)
-    key = keys[0]
-    state_schema = f"{key} string, last_grant bigint"
+    outcome = f"{schema_of(feed)}, granted boolean, last_grant bigint, wait bigint"
+    results = BatchTable(spark, "spaced", outcome, path and f"{path}/rows")
+    states = BatchTable(spark, "spaced-state", f"`{key}` string, last_grant bigint", path and f"{path}/state")
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        earlier = [b for b in states.batches if b < batch_id][-1:]
-        state = states._read(earlier) if earlier else spark.createDataFrame([], state_schema)
+        state = states.before(batch_id)
         known = dimension_join(batch, state.withColumnRenamed("last_grant", "__from"), key, order)
         now = F.greatest(F.col(clock), F.coalesce("__from", F.col(clock)))
         rows = known.select(*batch.columns, now.alias("__now"), F.lit(False).alias("__state"))
@@ -178,36 +198,62 @@ def spaced_feed(feed: DataFrame, keys: list[str], clock: str, gap: str, order: s
             key, F.col("last_grant").alias("__now"), F.lit(1).cast("bigint").alias(gap),
             F.lit(-1).cast("bigint").alias(order), F.lit(True).alias("__state"),
         )
-        spaced = greedy_spacing(
-            rows.unionByName(grants, allowMissingColumns=True), keys, "__now", F.col(gap), order
-        )
-        results.write(spaced.where(~F.col("__state")).drop("__state", "__now"), batch_id)
-        newest = results._read([batch_id]).where(F.col(key).isNotNull()).select(key, "last_grant")
-        merged = state.unionByName(newest).groupBy(key).agg(F.max("last_grant").alias("last_grant"))
-        states.write(merged, batch_id)
+        merged = rows.unionByName(grants, allowMissingColumns=True)
+        spaced = greedy_spacing(merged, [key], "__now", F.col(gap), order).where(~F.col("__state"))
+        results.write(spaced.select(*batch.columns, "granted", "last_grant", "wait"), batch_id)
+        newest = results.batch(batch_id).where(F.col(key).isNotNull()).select(key, "last_grant")
+        states.write(state.unionByName(newest).groupBy(key).agg(F.max("last_grant").alias("last_grant")), batch_id)
+
+    drain(feed, step, checkpoint=checkpoint)
+    return results.all()
+
+
+def lifecycle_feed(
+    feed: DataFrame, crawl: str = "crawl_id", clock: str = "t_ms", tie: str = "event_id",
+    path: str | None = None, checkpoint: str | None = None,
+) -> DataFrame:
+    """Lifecycle state after every row of a stream of actions, by the batch operator.
 
-    drain(feed, step)
+    The state of a crawl is handed to the next micro-batch as the actions that lead to it, placed
+    before all others (clocks and ties are not negative).
+    """
+    spark = feed.sparkSession
+    results = BatchTable(spark, "lifecycle", f"{schema_of(feed)}, state_before string, state string", path and f"{path}/rows")
+    states = BatchTable(spark, "lifecycle-state", f"`{crawl}` bigint, state string", path and f"{path}/state")
+    replay = (
+        F.when(F.col("state") == "running", F.array(F.lit("start")))
+        .when(F.col("state") == "paused", F.array(F.lit("start"), F.lit("pause")))
+        .when(F.col("state") == "finished", F.array(F.lit("start"), F.lit("end")))
+    )
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        state = states.before(batch_id)
+        actions = state.select(crawl, F.lit(-1).cast("bigint").alias(clock), F.posexplode(replay).alias(tie, "action"))
+        actions = actions.withColumn(tie, F.col(tie).cast("bigint") - 2)
+        rows = lifecycle_states(batch.unionByName(actions, allowMissingColumns=True), crawl, clock, tie)
+        results.write(rows.where(F.col(tie) >= 0).select(*batch.columns, "state_before", "state"), batch_id)
+        last = results.batch(batch_id).groupBy(crawl).agg(F.max_by("state", F.struct(clock, tie)).alias("state"))
+        kept = state.join(last, crawl, "left_anti")
+        states.write(kept.unionByName(last), batch_id)
+
+    drain(feed, step, checkpoint=checkpoint)
     return results.all()
 
 
-def periodic_stats(feed: DataFrame, trigger: dict | None = None) -> DataFrame:
+def periodic_stats(
+    feed: DataFrame, trigger: dict | None = None, path: str | None = None, checkpoint: str | None = None
+) -> DataFrame:
     """Counters per crawl after the feed, one stats record per crawl and trigger.
 
     Each micro-batch adds its own counts to the running ones. In production the trigger is
     ``{"processingTime": "1 second"}``.
     """
-    versions = BatchTable(feed.sparkSession, "stats", None)
+    versions = BatchTable(feed.sparkSession, "stats", "crawl_id bigint, state string, rows bigint", path)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         counts = batch.groupBy("crawl_id", "state").agg(F.count(F.lit(1)).alias("rows"))
-        earlier = [b for b in versions.batches if b < batch_id][-1:]
-        if earlier:
-            counts = counts.unionByName(versions._read(earlier)).groupBy("crawl_id", "state").agg(
-                F.sum("rows").alias("rows")
-            )
-        versions.write(counts, batch_id)
-
-    drain(feed, step, trigger=trigger)
-    return stats_row(versions.latest(), rows=F.col("rows"))
-
+        total = counts.unionByName(versions.before(batch_id)).groupBy("crawl_id", "state").agg(F.sum("rows").alias("rows"))
+        versions.write(total, batch_id)
 
+    drain(feed, step, checkpoint=checkpoint, trigger=trigger)
+    return stats_row(versions.latest(), rows=F.col("rows"))

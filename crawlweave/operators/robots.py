@@ -37,7 +37,9 @@ def _is(line: Column, field: str) -> Column:
 def _delay_ms(text: Column) -> Column:
     seconds = F.when(text.rlike(_NUMBER), F.regexp_replace(text, "[fFdD]$", "").try_cast("double"))
     bounded = F.greatest(F.least(seconds * 1000, F.lit(float(MAX_CRAWL_DELAY_MS))), F.lit(-1e15))
-    return F.when(F.isnan(seconds), F.lit(0).cast("bigint")).otherwise(bounded.cast("bigint"))
+    # least and greatest skip nulls, so text that is no number is taken out first
+    whole = F.when(F.isnan(seconds), F.lit(0).cast("bigint")).otherwise(bounded.cast("bigint"))
+    return F.when(seconds.isNotNull(), whole)
 
 
 def parse_robots(robots: DataFrame, agent: str) -> DataFrame:

@@ -261,9 +261,8 @@ SQL: dict[str, tuple[tuple[str, ...], str]] = {
     "delays": (("robots_owned", "bases"), """
         select b.base_url, coalesce(d.delay, 0) as crawl_delay_ms from bases b left join (
             select base_url, arg_max(ms, line_no) as delay from (
-                select base_url, line_no,
-                       cast(least(try_cast(trim(substr(line, 13)) as double) * 1000, 60000) as bigint) as ms
-                from robots_owned
+                select base_url, line_no, cast(case when sec * 1000 > 60000 then 60000 else sec * 1000 end as bigint) as ms
+                from (select *, try_cast(trim(substr(line, 13)) as double) as sec from robots_owned)
                 where (agent = '*' or lower(agent) = 'crawlbot') and lower(line) like 'crawl-delay:%')
             where ms is not null group by base_url) d on b.base_url = d.base_url"""),
     "verdicts": (("rule_rows", "delays"), """

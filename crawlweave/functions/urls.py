@@ -18,6 +18,9 @@ WEB_SCHEMES = ("http", "https")
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:"
 # groups: 1 scheme, 2 authority, 3 path, 4 query with its mark
 _WEB = r"^([A-Za-z][A-Za-z0-9+.\-]*)://([^/?#]*)([^?#]*)(\?[^#]*)?"
+# group 1: host of a web address without user and port; of another address, which may have none
+_WEB_HOST = r"(?i)^https?://(?:[^/?#]*@)?([^/?#:@\s<>|^\[\]]+|\[[0-9a-f:.]+\])(?::[0-9]*)?(?=[/?#]|$)"
+_OTHER_HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#]*@)?([^/?#:]*)"
 
 
 def _part(url: Column, name: str) -> Column:
@@ -69,32 +72,30 @@ def _encode_non_ascii(c: Column) -> Column:
     return F.when(c.rlike(r"[^\x00-\x7F]"), encoded).otherwise(c)
 
 
+def live_host(url: Column) -> Column:
+    """Lower-case host as a browser sees it; an address that does not parse is its own host."""
+    web_host = F.lower(F.regexp_extract(url, _WEB_HOST, 1))
+    other_host = F.lower(F.regexp_extract(url, _OTHER_HOST, 1))
+    return (
+        F.when(url.rlike(_WEB_HOST), web_host)
+        .when(url.rlike(_SCHEME) & ~url.rlike("(?i)^https?:"), other_host)
+        .otherwise(url)
+    )
+
+
 def live_parts(url: Column) -> Column:
     """``struct(scheme, host, path)`` as a browser splits the address for the live table."""
-    return bind(url, _live_parts)
-
-
-def _live_parts(url: Column) -> Column:
-    scheme_ = F.lower(F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1))
-    authority = F.regexp_extract(url, _WEB, 2)
-    hostname = F.lower(F.regexp_replace(F.regexp_replace(authority, r"^.*@", ""), r":[0-9]*$", ""))
-    web = scheme_.isin(*WEB_SCHEMES)
-    ok = F.coalesce((web & (hostname != "") & ~hostname.rlike(r"[\s<>|^]")) | (~web & (scheme_ != "")), F.lit(False))
-    local = F.when(url.rlike(_WEB), F.concat(F.regexp_extract(url, _WEB, 3), F.regexp_extract(url, _WEB, 4)))
-    opaque = F.regexp_replace(F.regexp_replace(url, _SCHEME, ""), r"#.*$", "")
-    shown = _encode_non_ascii(F.coalesce(local, opaque))
-    rooted = F.when(web & shown.startswith("?"), F.concat(F.lit("/"), shown)).otherwise(shown)
+    web = url.rlike(_WEB_HOST)
+    ok = web | (url.rlike(_SCHEME) & ~url.rlike("(?i)^https?:"))
+    local = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*:(?://[^/?#]*)?([^#]*)", 1)
+    rooted = F.when(web & local.startswith("?"), F.concat(F.lit("/"), local)).otherwise(local)
     return F.struct(
-        F.when(ok, scheme_).otherwise("").alias("scheme"),
-        F.when(ok, hostname).otherwise(url).alias("host"),
-        F.when(ok & (rooted != "/"), rooted).otherwise("").alias("path"),
+        F.when(ok, F.lower(F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1))).otherwise("").alias("scheme"),
+        live_host(url).alias("host"),
+        F.when(ok & (rooted != "/"), _encode_non_ascii(rooted)).otherwise("").alias("path"),
     )
 
 
-def live_host(url: Column) -> Column:
-    return live_parts(url)["host"]
-
-
 def _remove_dot_segments(p: Column) -> Column:
     """Collapse ``.`` and ``..`` in an absolute path; a trailing one leaves a directory."""
 

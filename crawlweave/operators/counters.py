@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,24 +37,27 @@ def rate(count: Column, active_s: Column, window_ms: int = RATE_WINDOW_MS) -> Co
 
 
 def rolling_rate(
-    log: DataFrame, clock: str = "t_ms", crawl: str = "crawl_id", window_ms: int = RATE_WINDOW_MS, name: str = "rate"
+    log: DataFrame, clock: str = "t_ms", crawl: str = "crawl_id", windows: Mapping[str, int] | None = None
 ) -> DataFrame:
-    """Pages per second over the trailing window at each page of each crawl.
+    """Pages per second over trailing windows at each page of each crawl.
 
-    The divisor is the window, or the active seconds so far if those are fewer (at least one). A
-    column ``active_ms`` is used if present, else the time since the crawl's first page; a true
-    column ``paused`` gives 0.0.
+    ``windows`` maps a column name to milliseconds; each adds the rate and, as ``<name>_n``, the
+    count. The divisor is the window, or the active seconds so far if those are fewer (at least
+    one). A column ``active_ms`` is used if present, else the time since the crawl's first page; a
+    true column ``paused`` gives 0.0.
     """
     rows, active = log, F.col("active_ms") / 1000
     if "active_ms" not in log.columns:
         begin = log.groupBy(crawl).agg(F.min(clock).alias("__begin"))
         rows = dimension_join(log, begin, crawl, clock)
         active = (F.col(clock) - F.col("__begin")) / 1000
-    counted = trailing_count(rows, [crawl], clock, window_ms, "__recent", counted=log)
-    value = rate(F.col("__recent"), active, window_ms)
-    if "paused" in log.columns:
-        value = F.when(F.col("paused"), F.lit(0.0)).otherwise(value)
-    return counted.withColumns({f"{name}_n": F.col("__recent"), name: value}).drop("__recent", "__begin")
+    for name, reach in (windows or {"rate": RATE_WINDOW_MS}).items():
+        rows = trailing_count(rows, [crawl], clock, reach, f"{name}_n", counted=log)
+        value = rate(F.col(f"{name}_n"), active, reach)
+        if "paused" in log.columns:
+            value = F.when(F.col("paused"), F.lit(0.0)).otherwise(value)
+        rows = rows.withColumn(name, value)
+    return rows.drop("__begin")
 
 
 def activity(log: DataFrame, clock: str = "t_ms", window_ms: int = RECENT_MS) -> DataFrame:

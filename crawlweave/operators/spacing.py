@@ -177,7 +177,8 @@ def greedy_spacing(
     for k in keys:
         usable = usable & F.col(k).isNotNull()
     # one text key, whatever the key types are
-    rows = rows.withColumn("__key", F.when(usable, F.to_json(F.struct(*keys))))
+    text = F.col(keys[0]).cast("string") if len(keys) == 1 else F.to_json(F.struct(*keys))
+    rows = rows.withColumn("__key", F.when(usable, text))
     points = (
         rows.where("__key is not null")
         .groupBy(F.col("__key").alias("key"), F.col("__clock").alias("clock"), F.col("__gap").alias("gap"))

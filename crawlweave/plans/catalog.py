@@ -485,8 +485,7 @@ def unique_hosts(spark, sf):
           from crawl_log)""", "crawl_log"))
 def rolling_rate(spark, sf):
     log = inputs.crawl_log(spark, sf).select("crawl_id", "seq", "t_ms")
-    narrow = counters.rolling_rate(log)
-    return counters.rolling_rate(narrow, window_ms=WIDE_WINDOW_MS, name="wide")
+    return counters.rolling_rate(log, windows={"rate": counters.RATE_WINDOW_MS, "wide": WIDE_WINDOW_MS})
 
 
 @query("depth_activity", with_ctes("""
@@ -694,9 +693,10 @@ def stream_feed(spark, sf):
     return feed.collect_feed(exports.decoded(rows), "feed").all()
 
 
-@query("stream_dedup")
+# the whole table arrives as one micro-batch, so nothing leaves the watermark
+@query("stream_dedup", with_ctes("select distinct url from crawl_log", "crawl_log"))
 def stream_dedup(spark, sf):
-    return feed.collect_feed(feed.dedup(_stream(spark, sf).select("url", "ts", "seq")), "dedup").all()
+    return feed.collect_feed(feed.dedup(_stream(spark, sf).select("url", "ts")), "dedup").all().select("url")
 
 
 @query("stream_rate", with_ctes("""

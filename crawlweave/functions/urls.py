@@ -153,8 +153,17 @@ def _resolve(base: Column, ref: Column) -> Column:
 
 def absolutise(base: Column, href: Column) -> Column:
     """Resolve ``href`` against ``base``; an unresolvable pair gives the empty string."""
-    pair = F.struct(base.alias("base"), trim_controls(href).alias("ref"))
-    return bind(pair, lambda p: _resolve(F.coalesce(p["base"], F.lit("")), F.coalesce(p["ref"], F.lit(""))))
+    pair = F.struct(F.coalesce(base, F.lit("")).alias("base"), F.coalesce(trim_controls(href), F.lit("")).alias("ref"))
+    return bind(pair, lambda p: bind(_plain_web_scheme(p["base"], p["ref"]), lambda ref: _resolve(p["base"], ref)))
+
+
+def _plain_web_scheme(base: Column, ref: Column) -> Column:
+    """A web scheme in lower case; one without slashes that repeats the base's is left out."""
+    name = F.lower(F.regexp_extract(ref, r"^[A-Za-z]+", 0))
+    rest = F.substr(ref, F.length(name) + 2)
+    repeated = ~rest.startswith("//") & (name == F.lower(F.regexp_extract(base, _WEB, 1))) & base.rlike(r"^[^/]*//[^/?#]*/")
+    whole = F.when(repeated, rest).otherwise(F.concat(name, F.lit(":"), rest))
+    return F.when(ref.rlike(r"(?i)^https?:"), whole).otherwise(ref)
 
 
 def seed_too_long(raw: Column) -> Column:

@@ -75,7 +75,7 @@ def depth_size(pages: Column) -> Column:
     return F.round(F.greatest(F.lit(16.0), F.least(F.lit(56.0), F.lit(14.0) + F.log(pages + 1) * 9)), 6)
 
 
-def in_flight(spans: DataFrame, crawl: str, start: str, end: str, seq: str, width: int) -> DataFrame:
+def in_flight(spans: DataFrame, crawl: str, start: str, end: str, seq: str, width: int = 60_000) -> DataFrame:
     """Requests in flight after each dispatch (+1) and each end (-1), ends first on equal clocks."""
     moves = spans.select(
         crawl,

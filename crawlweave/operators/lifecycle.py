@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from crawlweave.operators.prefix import carry_forward, running_total
 
-DAY_MS = 86_400_000
+# Ordered values are carried over in steps of this many milliseconds.
+STEP_MS = 60_000
 
 
 def _state(phase: str, opened: str, paused: str):
@@ -19,7 +20,7 @@ def _state(phase: str, opened: str, paused: str):
 
 
 def lifecycle_states(
-    log: DataFrame, crawl: str = "crawl_id", clock: str = "t_ms", tie: str = "event_id", width: int = DAY_MS
+    log: DataFrame, crawl: str = "crawl_id", clock: str = "t_ms", tie: str = "event_id", width: int = STEP_MS
 ) -> DataFrame:
     """Add ``state_before`` and ``state`` to every row of ``log(crawl, clock, tie, action)``.
 
@@ -65,7 +66,7 @@ def lifecycle_states(
 
 
 def active_time(
-    log: DataFrame, crawl: str = "crawl_id", clock: str = "t_ms", tie: str = "event_id", width: int = DAY_MS
+    log: DataFrame, crawl: str = "crawl_id", clock: str = "t_ms", tie: str = "event_id", width: int = STEP_MS
 ) -> DataFrame:
     """Add ``active_ms``: time since the latest start without paused stretches; 0 when idle.
 

@@ -512,7 +512,7 @@ def depth_sizes(spark, sf):
 def inflight_series(spark, sf):
     took = (F.col("seq") % 7 + 1) * 600_000
     spans = inputs.crawl_log(spark, sf).select("crawl_id", "seq", "t_ms", (F.col("t_ms") + took).alias("end_ms"))
-    return counters.in_flight(spans, "crawl_id", "t_ms", "end_ms", "seq", lifecycle.DAY_MS)
+    return counters.in_flight(spans, "crawl_id", "t_ms", "end_ms", "seq")
 
 
 def _sink_errors(spark, sf) -> DataFrame:

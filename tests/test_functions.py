@@ -61,6 +61,10 @@ def test_encode_round_trip(spark):
         ("http://h.com/a/b", "mailto:me@h.com", "mailto:me@h.com"),
         ("http://h.com/a/b", "javascript:void(0)", "javascript:void(0)"),
         ("not a base", "c", ""),
+        ("http://h.com/a/b", "HTTP://H.com/x", "http://H.com/x"),
+        ("http://h.com/a/b", "http:c", "http://h.com/a/c"),
+        ("http://h.com/a/b", "http:/c", "http://h.com/c"),
+        ("https://h.com/a/b", "http:c", "http:c"),
         ("http://h.com:8080/a", "b", "http://h.com:8080/b"),
     ],
 )

@@ -8,18 +8,16 @@ from pyspark.sql import functions as F
 from crawlweave.functions import urls
 from crawlweave.functions.text import bind
 
-# Content that holds no elements: comments and raw-text elements; an unclosed one runs to the end.
-_NO_ELEMENTS = (
-    r"(?is)<!--.*?(?:-->|\z)"
-    r"|<(script|style|title|textarea|xmp|iframe|noembed|noframes)\b.*?(?:</\1\s*+>|\z)"
+# One scan finds the tags and, as matches of their own, whatever holds no elements: comments and
+# raw-text elements, where an unclosed one runs to the end of the document.
+_TAGS = (
+    r"(?is)<(?:!--[^-]*+(?:-(?!->)[^-]*+)*+(?:-->|\z)"
+    r"|(script|style|title|textarea|xmp|iframe|noembed|noframes)\b[^<]*+(?:<(?!/\1\s*+>)[^<]*+)*+(?:</\1\s*+>|\z)"
+    r"|(?:a|base)(?=[\s/])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>)"
 )
 _ATTRIBUTE = r"[^\s\"'>/=]++(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s\"'>]++))?+[\s/]*+"
 
 
-def _open_tag(name: str) -> str:
-    return rf"(?i)<{name}(?=[\s/])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
-
-
 def _href_in(name: str) -> str:
     value = r"(\"[^\"]*+\"|'[^']*+'|[^\s>\"']++)"
     return rf"(?is)^<{name}[\s/]+(?:{_ATTRIBUTE})*?href(?=[\s=>/])(?:\s*+=\s*+{value})?"
@@ -57,25 +55,23 @@ def extract_links(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
     is exploded, so a later filter on them cannot repeat the work.
     """
 
-    def links_in(clean: Column, url: Column) -> Column:
-        tags = F.regexp_extract_all(clean, F.lit(_open_tag("a")), F.lit(0))
+    def links_in(tags: Column, url: Column) -> Column:
         anchors = F.filter(tags, lambda t: t.rlike(_href_in("a")))
-        base_tag = F.regexp_extract(clean, _open_tag("base"), 0)
-        own_base = bind(base_tag, lambda t: F.when(t != "", urls.absolutise(url, _href(t, "base"))).otherwise(""))
+        first_base = F.get(F.filter(tags, lambda t: t.rlike(_href_in("base"))), F.lit(0))
+        own_base = F.coalesce(bind(first_base, lambda t: urls.absolutise(url, _href(t, "base"))), F.lit(""))
 
         def resolved(base: Column) -> Column:
             def link(tag: Column) -> Column:
                 return bind(
-                    _href(tag, "a"),
-                    lambda h: F.struct(h.alias("href"), urls.absolutise(F.when(base != "", base).otherwise(url), h).alias("link")),
+                    _href(tag, "a"), lambda h: F.struct(h.alias("href"), urls.absolutise(base, h).alias("link"))
                 )
 
             return F.transform(anchors, link)
 
-        return bind(own_base, resolved)
+        return bind(bind(own_base, lambda b: F.when(b != "", b).otherwise(url)), resolved)
 
-    clean = F.regexp_replace(F.col("html"), _NO_ELEMENTS, " ")
-    found = bind(F.struct(clean.alias("clean"), F.col("url").alias("url")), lambda p: links_in(p["clean"], p["url"]))
+    tags = F.regexp_extract_all(F.col("html"), F.lit(_TAGS), F.lit(0))
+    found = bind(F.struct(tags.alias("tags"), F.col("url").alias("url")), lambda p: links_in(p["tags"], p["url"]))
     usable = pages.where(F.col("url").isNotNull() & F.col("html").isNotNull())
     rows = usable.select(*(keep or []), "url", F.posexplode(found).alias("pos", "__link"))
     return rows.select(*(keep or []), "url", "pos", "__link.href", "__link.link")

@@ -658,15 +658,16 @@ def _message_table(spark, sf) -> tuple[str, str]:
     return path, "seq bigint, value string"
 
 
-@query("export_clear", with_ctes(f"select {_LINE_SQL} as line, cast(0 as bigint) as left_in_sink from export_rows", "export_rows"))
+@query("export_clear", with_ctes(f"select {_LINE_SQL} as line, 'exported' as place from export_rows", "export_rows"))
 def export_clear(spark, sf):
     path, schema = _message_table(spark, sf)
     target = new_path(spark, "export")
     exports.export_and_clear(path, target, spark, schema)
-    left = spark.read.schema(schema).parquet(path).agg(F.count(F.lit(1)).alias("left_in_sink"))
-    lines = spark.read.option("lineSep", exports.CSV_LINE_END).text(target).select(F.col("value").alias("line"))
-    # one row
-    return lines.join(F.broadcast(left))
+    lines = spark.read.option("lineSep", exports.CSV_LINE_END).text(target)
+    left = spark.read.schema(schema).parquet(path)
+    return lines.select(F.col("value").alias("line"), F.lit("exported").alias("place")).unionByName(
+        left.select(F.col("value").alias("line"), F.lit("still in the sink").alias("place"))
+    )
 
 
 @query("snapshot_tail", with_ctes(

@@ -275,10 +275,10 @@ SQL: dict[str, tuple[tuple[str, ...], str]] = {
         left join rule_rows r on r.base_url = p.base_url and starts_with(p.path, r.path)
         group by all"""),
     "attempts": ((), """
-        select p.page_id, p.url, a.attempt,
-               case (p.page_id * 7 + a.attempt * 3) % 10 when 0 then 503 when 1 then 500 when 2 then 404
+        select page_id, url, attempt,
+               case (page_id * 7 + attempt * 3) % 10 when 0 then 503 when 1 then 500 when 2 then 404
                     when 3 then 304 when 4 then 403 else 200 end as status
-        from pages p cross join (values (1), (2), (3)) as a(attempt)"""),
+        from (select page_id, url, unnest([1, 2, 3]) as attempt from pages)"""),
     "outcomes": (("attempts",), """
         select url, case when first_status = 200 then 'processed' else 'failed' end as outcome,
                first_status as status, coalesce(first_attempt, 3) as attempts_used

@@ -51,6 +51,8 @@ def drain(
     finally:
         if previous:
             spark.conf.set(STATE_STORE, previous)
+        else:
+            spark.conf.unset(STATE_STORE)
 
 
 class BatchTable:

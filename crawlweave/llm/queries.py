@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlweave.llm import bpe_codec, decontaminate, quality_rules, sharding, token_count, url_filter
+from crawlweave.llm import bpe_codec, decontaminate, html_extract, minhash, quality_rules, sharding, token_count, url_filter
 from crawlweave.llm.common import table
 
 RULES = (
@@ -53,6 +53,17 @@ def op6_token_count(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+def op8_html_extract(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    scores = html_extract.learn(pages)
+    texts = pages.select("page_id", "url", html_extract.text_of("html", scores).alias("text"))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     judged = decontaminate.judge(docs, table(spark, folder, "benchmark"))
@@ -71,7 +82,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op3_bpe_roundtrip, op4_sharding, op6_token_count, op9_decontamination, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op3_bpe_roundtrip, op4_sharding, op6_token_count, op7_minhash, op8_html_extract, op9_decontamination, op10_quality_rules)}
 
 _HOST = "translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _PATH = "coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '')"

@@ -17,7 +17,7 @@ from array import array
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlweave.llm.pieces import splitter
@@ -194,3 +194,13 @@ def decoder(spark: SparkSession, rank_file: str):
 def digest_of_ids(ids: Column) -> Column:
     """SHA-256 of the decimal ids joined by one space, in lower-case hex."""
     return F.sha2(F.array_join(ids, " "), 256)
+
+
+def digests(spark: SparkSession, docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:
+    """``doc_id``, ``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` of every document, encoded and decoded again."""
+    encode, decode = encoder(spark, rank_file, pattern), decoder(spark, rank_file)
+    coded = docs.select("doc_id", encode("text").alias("ids")).withColumn("bytes", decode("ids"))
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), digest_of_ids(F.col("ids")).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    )

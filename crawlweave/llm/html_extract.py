@@ -146,8 +146,8 @@ class Scores:
         for f in features:
             plain = f.lstrip(".")
             inside, outside = counts.get((f, True), 0), counts.get((f, False), 0)
-            if plain in CONTENT or f in ("article", "main", "body", "html"):
-                continue
+            if plain in CONTENT or (f[:1] != "." and f not in BOILERPLATE):
+                continue  # a bare link or list may stand anywhere; what its tags cost is enough
             outside += PRIOR * (plain in BOILERPLATE)
             self.against[f] = math.log((outside + 1) / (inside + 1))
         words = {way: max(1, counts.get(("", way), 0)) for way in (True, False)}

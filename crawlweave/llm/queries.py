@@ -24,13 +24,8 @@ def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_bpe_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encode, decode = bpe_codec.encoder(spark, ranks, public_tokenizers.PATTERN), bpe_codec.decoder(spark, ranks)
-    docs = table(spark, folder, "documents").select("doc_id", encode("text").alias("ids"))
-    return docs.withColumn("bytes", decode("ids")).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), bpe_codec.digest_of_ids(F.col("ids")).alias("ids_sha256"),
-        F.sha2("bytes", 256).alias("decoded_sha256"),
-    )
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return bpe_codec.digests(spark, docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:

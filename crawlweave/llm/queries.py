@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlweave.llm import bpe_codec, decontaminate, html_extract, minhash, quality_rules, sharding, token_count, url_filter
+from crawlweave.llm import bpe_codec, decontaminate, html_extract, license_scan, lm_score, minhash, quality_rules, sharding, token_count, url_filter
 from crawlweave.llm.common import table
 
 RULES = (
@@ -23,6 +23,10 @@ def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op2_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_score.score(table(spark, folder, "documents").select("doc_id", "text"), ["doc_id"])
+
+
 def op3_bpe_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return bpe_codec.digests(spark, docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -39,6 +43,15 @@ def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.number(placed, "shard").select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = docs.select("doc_id", license_scan.scan("text", license_scan.learn(docs)).alias("s"))
+    return found.select(
+        "doc_id", F.col("s.n").alias("n_paragraphs"), F.size("s.found").cast("long").alias("n_licensed"),
+        F.array_join(F.array_sort(F.array_distinct("s.found.family")), ",").alias("families"),
+    )
+
+
 def op6_token_count(spark: SparkSession, folder: str) -> DataFrame:
     count = token_count.token_counter(spark, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
     docs = table(spark, folder, "documents").select("doc_id", "text", count("text").alias("n_tokens"))
@@ -77,7 +90,13 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op3_bpe_roundtrip, op4_sharding, op6_token_count, op7_minhash, op8_html_extract, op9_decontamination, op10_quality_rules)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_url_filter, op2_lm_score, op3_bpe_roundtrip, op4_sharding, op5_license_scan, op6_token_count, op7_minhash,
+        op8_html_extract, op9_decontamination, op10_quality_rules,
+    )
+}
 
 _HOST = "translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _PATH = "coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '')"

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-IPV4 = r"^(?:::ffff:)?([0-9]{1,3})\.([0-9]{1,3})\.([0-9]{1,3})\.([0-9]{1,3})$"
+from crawlweave.functions.text import bind
+
+IPV4 = r"^([0-9]{1,3})\.([0-9]{1,3})\.([0-9]{1,3})\.([0-9]{1,3})$"
 
 
 def _is_private_v4(ip: Column) -> Column:
@@ -20,15 +22,43 @@ def _is_private_v4(ip: Column) -> Column:
     )
 
 
+def _groups(ip: Column) -> Column:
+    """The eight numbers of an IPv6 address; null if it is none. A dotted tail counts as two groups."""
+    tail = [F.regexp_extract(ip, r"([0-9]{1,3})\.([0-9]{1,3})\.([0-9]{1,3})\.([0-9]{1,3})$", i).try_cast("int") for i in (1, 2, 3, 4)]
+    hexed = F.concat(F.hex(tail[0] * 256 + tail[1]), F.lit(":"), F.hex(tail[2] * 256 + tail[3]))
+    plain = F.when(ip.contains("."), F.concat(F.regexp_replace(ip, r"[0-9]+(?:\.[0-9]+){3}$", ""), hexed)).otherwise(ip)
+    halves = F.split(plain, "::")
+    part = lambda i: F.filter(F.split(F.coalesce(F.try_element_at(halves, F.lit(i)), F.lit("")), ":"), lambda g: g != "")
+    missing = 8 - F.size(part(1)) - F.size(part(2))
+    filler = F.when(plain.contains("::") & (missing > 0), F.array_repeat(F.lit("0"), missing)).otherwise(F.array().cast("array<string>"))
+    whole = F.concat(part(1), filler, part(2))
+    octets = F.when(ip.contains("."), F.greatest(*tail) <= 255).otherwise(True)
+    legal = (F.size(whole) == 8) & F.forall(whole, lambda g: g.rlike("^[0-9a-fA-F]{1,4}$")) & octets & (F.size(halves) <= 2)
+    return F.when(legal, F.transform(whole, lambda g: F.conv(g, 16, 10).cast("int")))
+
+
 def _is_private_v6(ip: Column) -> Column:
-    # fe80::/10 link-local, fec0::/10 site-local, ::1 loopback, :: any-local
-    return ip.rlike(r"^fe[89a-f][0-9a-f]:") | ip.rlike(r"^[0:]*:0*1$") | ip.rlike(r"^[0:]+$")
+    # ::ffff:0:0/96 holds IPv4 addresses; fe80::/10 link-local, fec0::/10 site-local, ::1 loopback, :: any-local
+    def test(g: Column) -> Column:
+        at = lambda i: F.get(g, F.lit(i))
+        leading = F.aggregate(F.slice(g, 1, 5), F.lit(0), lambda a, x: a + x)
+        octet = lambda i, shift: F.shiftright(at(i), shift).bitwiseAND(255).cast("string")
+        v4 = F.concat_ws(".", octet(6, 8), octet(6, 0), octet(7, 8), octet(7, 0))
+        mapped = (leading == 0) & (at(5) == 0xFFFF)
+        zero = (leading == 0) & (at(5) == 0) & (at(6) == 0)
+        return F.when(mapped, _is_private_v4(v4)).otherwise((at(0) >= 0xFE80) & (at(0) <= 0xFEFF) | zero & (at(7) <= 1))
+
+    return bind(_groups(ip), test)
 
 
 def is_private(address: Column) -> Column:
-    """True for loopback, link-local, site-local and any-local addresses; null for no address."""
+    """True for loopback, link-local, site-local and any-local addresses; null for no address.
+
+    An IPv4 address mapped into IPv6 is tested as what it is. An octet above 255 is no address.
+    """
     ip = F.lower(F.regexp_replace(address, r"^\[|\]$|%.*$", ""))
-    return F.when(ip.rlike(IPV4), _is_private_v4(ip)).when(ip.contains(":"), _is_private_v6(ip))
+    possible = F.greatest(*[F.regexp_extract(ip, IPV4, i).try_cast("int") for i in (1, 2, 3, 4)]) <= 255
+    return F.when(ip.rlike(IPV4), F.when(possible, _is_private_v4(ip))).when(ip.contains(":"), _is_private_v6(ip))
 
 
 def literal_address(host: Column) -> Column:

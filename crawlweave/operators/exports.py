@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlweave.functions import messages, text, urls
 from crawlweave.operators.counters import depth_counts
-from crawlweave.operators.prefix import block, row_rank
+from crawlweave.operators.prefix import block, number_by_range, row_rank
 from crawlweave.session import stage
 
-# Header of the CSV export and the largest display buffer.
+# Header of the CSV export and the usual display buffer.
 CSV_HEADER = "depth,url,host,path"
 CSV_LINE_END = "\r\n"
 DISPLAY_CAPACITY = 10_000
@@ -44,7 +44,7 @@ def export_lines(pages: DataFrame) -> DataFrame:
 def write_csv(pages: DataFrame, path: str, order: str | None = None, single_file: bool = False) -> None:
     """Write the export with exact bytes: each line is built here, so nothing re-quotes it.
 
-    Every part file starts with the header. ``order`` sorts the parts by ranges, so the files in
+    The parts hold rows only; see :func:`write_csv_with_header`. ``order`` sorts the parts by ranges, so the files in
     name order give the rows in order. ``single_file`` is for small exports only, since one task
     then writes everything.
     """
@@ -58,11 +58,25 @@ def write_csv(pages: DataFrame, path: str, order: str | None = None, single_file
 
 
 def write_csv_with_header(pages: DataFrame, path: str, order: str | None = None) -> None:
-    """As :func:`write_csv`, with the header as a first part file of its own."""
+    """As :func:`write_csv`, below ``path``: the header in ``0-header`` and the rows in ``1-rows``.
+
+    All files in the order of their paths are the export, header first.
+    """
     spark = pages.sparkSession
-    write_csv(pages, path, order)
     header = spark.range(1).select(F.lit(CSV_HEADER).alias("line")).coalesce(1)
-    header.write.mode("append").option("lineSep", CSV_LINE_END).text(path)
+    header.write.option("lineSep", CSV_LINE_END).text(f"{path}/0-header")
+    write_csv(pages, f"{path}/1-rows", order)
+
+
+def read_export(spark: SparkSession, path: str) -> DataFrame:
+    """``place`` (from 0) and ``line`` of an export with header, read back in the order of the paths."""
+    lines = spark.read.option("lineSep", CSV_LINE_END).text([f"{path}/0-header", f"{path}/1-rows"])
+    within = lines.select(
+        F.regexp_extract("_metadata.file_path", r"/([^/]+/[^/]+)$", 1).alias("file"), F.col("_metadata.file_block_start").alias("begin"),
+        F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"),
+    )
+    placed = number_by_range(within, [], ["file", "begin", "at"], "place", "export-lines")
+    return placed.select((F.col("place") - 1).alias("place"), "line")
 
 
 def export_and_clear(sink_path: str, target_path: str, spark, schema: str) -> DataFrame:
@@ -78,7 +92,7 @@ def export_and_clear(sink_path: str, target_path: str, spark, schema: str) -> Da
 
 def last_n(feed: DataFrame, order: str, n: int = DISPLAY_CAPACITY) -> DataFrame:
     """The newest ``n`` rows: the bounded display buffer, where the oldest drop out."""
-    return feed.orderBy(F.desc(order)).limit(min(n, DISPLAY_CAPACITY))
+    return feed.orderBy(F.desc(order)).limit(n)
 
 
 def report_listing(pages: DataFrame, keys: list[str], order: str) -> DataFrame:

@@ -8,10 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crawlweave.functions import urls
 from crawlweave.operators.links import extract_links, follow_filter
 from crawlweave.operators.prefix import block, number_by_range, running_total
 from crawlweave.operators.robots import match_robots
-from crawlweave.operators.spacing import greedy_spacing
 from crawlweave.session import new_path, stage
 
 LOG = "crawl_id bigint, url string, depth int, seq bigint, state string"
@@ -99,13 +99,6 @@ def _log_of(spark: SparkSession, paths: list[str]) -> DataFrame:
     return spark.read.schema(LOG).parquet(*paths) if paths else spark.createDataFrame([], LOG)
 
 
-def _demand(level: DataFrame) -> tuple[int, int]:
-    """Rows of the level, and the most pages any one crawl would have used if all were dispatched."""
-    per_crawl = level.groupBy("crawl_id").agg(F.count(F.lit(1)).alias("rows"), F.max("spent").alias("spent"))
-    rows, pages = per_crawl.agg(F.sum("rows"), F.max(F.col("rows") + F.col("spent"))).first()
-    return rows or 0, pages or 0
-
-
 def crawl(
     seeds: DataFrame,
     links: DataFrame | Expand,
@@ -114,6 +107,7 @@ def crawl(
     max_pages: int | None = None,
     rules: DataFrame | None = None,
     fetch: Fetch | None = None,
+    screen: Callable[[DataFrame], DataFrame] | None = None,
     ordered: bool = False,
 ) -> Crawl:
     """Crawl from ``seeds`` (see :func:`seed_frontier`) until nothing new is found.
@@ -123,6 +117,9 @@ def crawl(
     ``fetch`` may add ``outcome`` (``processed``, ``failed`` or ``handler_error``) to the
     dispatched rows; only processed pages yield links.
 
+    An address that does not parse ends as ``bad_url`` and uses no budget. ``screen`` adds ``blocked``
+    (see :func:`crawlweave.operators.screening.screen`); a blocked address fails without being fetched.
+
     Depth is the shortest link distance. ``seq`` is the order of acceptance; it is computed only
     if ``ordered`` or ``max_pages`` asks for it. Every level is one table in the shared folder; the
     driver sees two counts per level, read from that table so that retried tasks cannot distort them.
@@ -140,22 +137,25 @@ def crawl(
     depth = 0
     while True:
         level = level.select("crawl_id", "url", "depth", "seq", "spent")
-        cut, rows = False, None
-        if max_pages is not None or rules is not None:
-            # staged, because these steps read the level more than once
-            level = level if numbered else stage(level, "crawl-level")
-            rows, pages = _demand(level)
-            cut = max_pages is not None and pages > max_pages
+        names = level.columns
+        level = level.withColumn("legal", urls.base_url(F.col("url")).isNotNull())
         judged = level.withColumn("allowed", F.lit(True))
         if rules is not None:
-            judged = match_robots(level, rules, known_rows=rows).select(*level.columns, "allowed")
+            judged = match_robots(level, rules).select(*names, "legal", "allowed")
+        if screen is not None:
+            judged = screen(judged).select(*names, "legal", "allowed", "blocked")
+        else:
+            judged = judged.withColumn("blocked", F.lit(False))
         examined = F.lit(True)
-        if cut:
-            judged = stage(judged, "crawl-judged") if rules is not None else judged
-            ahead = {"ahead": F.col("allowed").cast("bigint")}
+        if max_pages is not None:
+            judged = stage(judged, "crawl-judged")  # the running total reads the level twice
+            ahead = {"ahead": (F.col("allowed") & F.col("legal")).cast("bigint")}
             judged = running_total(judged, ["crawl_id"], ["seq"], block("seq"), ahead, exclusive=True)
             examined = F.col("spent") + F.col("ahead") < max_pages
-        state = F.when(~examined, "queued").when(~F.col("allowed"), "robots_blocked")
+        state = (
+            F.when(~examined, "queued").when(~F.col("legal"), "bad_url").when(~F.col("allowed"), "robots_blocked")
+            .when(F.col("blocked"), "failed")
+        )
         judged = judged.withColumn("state", state).select("crawl_id", "url", "depth", "seq", "state")
         outcome = F.lit("processed")
         if fetch is not None:
@@ -203,26 +203,3 @@ def duplicate_attempts(result: Crawl) -> DataFrame:
         "crawl_id", "depth", "candidates", taken.alias("accepted"), (F.col("candidates") - taken).alias("duplicates")
     )
 
-
-def capped_dedup(rows: DataFrame, url: str, seq: str, capacity: int) -> DataFrame:
-    """Add ``accepted`` under a seen set that forgets its eldest entry beyond ``capacity``.
-
-    An address comes back once ``capacity`` others were accepted after it, so the number of accepts
-    so far is a clock and the seen set is a minimum gap on it. The clock itself depends on the
-    accepts: start from first occurrences and repeat until the accepts stop changing. Each round
-    extends the correct prefix, so the loop ends with the exact serial answer.
-    """
-    first = rows.groupBy(url).agg(F.min(seq).alias("__first"))
-    current = rows.join(first, url).withColumn("accepted", F.col(seq) == F.col("__first")).drop("__first")
-    while True:
-        clocked = running_total(
-            current, [], [seq], block(seq), {"__clock_now": F.col("accepted").cast("bigint")}, exclusive=True
-        )
-        spaced = greedy_spacing(clocked, [url], "__clock_now", F.lit(capacity + 1), seq, width=1 << 20)
-        renewed = stage(
-            spaced.select(*rows.columns, F.col("accepted").alias("__was"), F.col("granted").alias("accepted")), "capped"
-        )
-        settled = renewed.where(F.col("__was") != F.col("accepted")).isEmpty()
-        current = renewed.drop("__was")
-        if settled:
-            return current

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import html.entities
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,20 +26,39 @@ def _href_in(name: str) -> str:
     return rf"(?is)^<{name}[\s/]+(?:{_ATTRIBUTE})*?href(?=[\s=>/])(?:\s*+=\s*+{value})?"
 
 
-def _decode_entities(c: Column) -> Column:
-    codes = F.array_distinct(F.regexp_extract_all(c, F.lit(r"&#([0-9]{1,5});"), F.lit(1)))
-    plain = F.aggregate(
-        codes,
-        c,
-        lambda acc, n: F.replace(
-            acc,
-            F.concat(F.lit("&#"), n, F.lit(";")),
-            F.decode(F.unhex(F.lpad(F.hex(n.cast("bigint")), 4, "0")), "UTF-16BE"),
-        ),
+_REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;?)|[^&]+|&"
+
+
+def _character(code: Column) -> Column:
+    """The character of a code point; what is none, is a surrogate or is too large becomes U+FFFD."""
+    units = F.when(code <= 0xFFFF, F.lpad(F.hex(code), 4, "0")).otherwise(
+        F.concat(F.hex(0xD800 + F.shiftright(code - 0x10000, 10)), F.hex(0xDC00 + (code - 0x10000).bitwiseAND(0x3FF)))
     )
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#x27;", "'"), ("&amp;", "&")):
-        plain = F.replace(plain, F.lit(entity), F.lit(char))
-    return F.when(c.contains("&"), plain).otherwise(c)
+    legal = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    return F.when(legal, F.decode(F.unhex(units), "UTF-16BE")).otherwise("\ufffd")
+
+
+@functools.cache
+def _named() -> str:
+    """SQL of a map from reference names to characters, with the semicolon where the grammar needs one."""
+    quoted = [f"'{name}', '{chars}'" for name, chars in html.entities.html5.items() if not set("'\\") & set(name + chars)]
+    return f"map({', '.join(quoted)}, 'apos;', '\\'', 'bsol;', '\\\\')"
+
+
+def _decode_entities(c: Column) -> Column:
+    """All character references in one pass from left to right, so nothing is decoded twice."""
+
+    def one(part: Column) -> Column:
+        digits = F.regexp_extract(part, r"^&#[xX]?0*([0-9a-fA-F]*)", 1)
+        short = F.substring(F.concat(F.lit("0"), digits), 1, 9)  # longer numbers are beyond every character
+        hexed = F.conv(short, 16, 10).cast("bigint")
+        plain = F.coalesce(short.try_cast("bigint"), F.lit(0))
+        name = F.substring(part, 2, 64)
+        known = F.try_element_at(F.expr(_named()), name)
+        number = _character(F.when(part.rlike("^&#[xX]"), hexed).otherwise(plain))
+        return F.when(~part.startswith("&"), part).when(part.startswith("&#") & (F.length(part) > 2), number).otherwise(F.coalesce(known, part))
+
+    return F.when(c.contains("&"), F.array_join(F.transform(F.regexp_extract_all(c, F.lit(_REFERENCE), F.lit(0)), one), "")).otherwise(c)
 
 
 def _href(tag: Column, name: str) -> Column:

@@ -11,6 +11,7 @@ window only spans one bucket. The result equals the plain window.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from crawlweave.session import stage
 
 BUCKET = "__bucket"
+_OTHER = "__other_"
 ROWS_PER_BUCKET = 65_536
 
 
@@ -27,12 +29,19 @@ def block(order: str | Column, width: int = ROWS_PER_BUCKET) -> Column:
     return F.floor(column / F.lit(width)).cast("bigint")
 
 
+def join_back(df: DataFrame, found: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Inner join on ``by`` in which a missing key meets a missing key, so no row of ``df`` is lost."""
+    other = found.withColumnsRenamed({c: _OTHER + c for c in by})
+    match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(_OTHER + c)) for c in by])
+    return df.join(other, match).drop(*[_OTHER + c for c in by])
+
+
 def _with_carry(df: DataFrame, keys: Sequence[str], bucket: Column, reduced: Mapping[str, Column], carried: Mapping[str, Column]):
     marked = df.withColumn(BUCKET, bucket)
     by = [*keys, BUCKET]
     per_bucket = marked.groupBy(*by).agg(*[c.alias(n) for n, c in reduced.items()])
     carry = per_bucket.select(*by, *[c.alias(f"__carry_{n}") for n, c in carried.items()])
-    return marked.join(carry, by), by
+    return join_back(marked, carry, by), by
 
 
 def _earlier(keys: Sequence[str]):
@@ -109,24 +118,27 @@ def trailing_count(
 ) -> DataFrame:
     """Rows of the same key whose ``clock`` lies in ``[clock - reach, clock]``.
 
-    Rows are counted per clock tick first, so a burst collapses to one row. A tick is sent to its
-    own bucket and, if the window of a later bucket still reaches it, to the next bucket as well.
+    Rows are counted per clock tick first, so a burst collapses to one row. Each tick adds its rows
+    at its clock and takes them away one step after it left the window; the running sum of both is
+    the count, so the work does not depend on ``reach``. Rows without a clock get 0.
     ``counted`` may name the rows to count if ``df`` is a wider form of them.
     """
-    span = max(width or 0, 20 * (reach + 1))
-    ticks = (df if counted is None else counted).groupBy(*keys, clock).agg(F.count(F.lit(1)).alias("__n"))
-    home = F.floor(F.col(clock) / F.lit(span)).cast("bigint")
-    needed = F.floor((F.col(clock) + F.lit(reach)) / F.lit(span)).cast("bigint")
-    spread = ticks.withColumn("__home", home).withColumn(
-        BUCKET, F.explode(F.array_distinct(F.array(F.col("__home"), needed)))
+    ticks = (df if counted is None else counted).where(F.col(clock).isNotNull()).groupBy(*keys, clock).agg(F.count(F.lit(1)).alias("__n"))
+    changes = F.array(
+        F.struct(F.col(clock).alias("at"), F.col("__n").alias("change"), F.lit(1).alias("tick")),
+        F.struct((F.col(clock) + F.lit(reach + 1)).alias("at"), (-F.col("__n")).alias("change"), F.lit(0).alias("tick")),
     )
-    w = Window.partitionBy(*keys, BUCKET).orderBy(clock).rangeBetween(-reach, 0)
-    counts = (
-        spread.withColumn(name, F.sum("__n").over(w))
-        .where(F.col("__home") == F.col(BUCKET))
-        .select(*keys, clock, name)
+    moments = (
+        ticks.select(*keys, F.inline(changes))
+        .groupBy(*keys, "at")
+        .agg(F.sum("change").alias("change"), F.max("tick").alias("tick"))
     )
-    return df.join(counts, [*keys, clock])
+    summed = running_total(moments, keys, ["at"], block("at", width or ROWS_PER_BUCKET), {name: F.col("change")})
+    counts = summed.where("tick = 1").select(*keys, F.col("at").alias(clock), name)
+    other = counts.withColumnsRenamed({c: _OTHER + c for c in (*keys, clock)})
+    match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(_OTHER + c)) for c in (*keys, clock)])
+    met = df.join(other, match, "left").drop(*[_OTHER + c for c in (*keys, clock)])
+    return met.withColumn(name, F.coalesce(name, F.lit(0).cast("bigint")))
 
 
 def number_by_range(
@@ -150,9 +162,11 @@ def number_by_range(
     before = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offset = F.coalesce(F.sum("__size").over(before), F.lit(0))
     if start is not None:
-        runs = runs.join(start, list(keys), "left")
+        other = start.withColumnsRenamed({c: _OTHER + c for c in keys})
+        match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(_OTHER + c)) for c in keys], F.lit(True))
+        runs = runs.join(other, match, "left").drop(*[_OTHER + c for c in keys])
         offset = offset + F.coalesce("used", F.lit(0))
     shift = runs.select(*by, *extra, (offset - F.col("__first") + 1).alias("__shift"))
-    return placed.join(shift, by).withColumn(name, F.col("__place") + F.col("__shift")).drop(
+    return join_back(placed, shift, by).withColumn(name, F.col("__place") + F.col("__shift")).drop(
         "__part", "__place", "__shift"
     )

@@ -99,18 +99,17 @@ def rule_rows(rules: DataFrame) -> DataFrame:
 
 def _longest(rules: str, path: Column) -> Column:
     # the rules are sorted longest first, so the first hit is the longest
-    hit = F.try_element_at(F.filter(rules, lambda r: path.startswith(r)), F.lit(1))
-    return F.coalesce(F.length(hit), F.lit(-1))
+    return F.coalesce(F.length(F.try_element_at(F.filter(rules, lambda r: path.startswith(r)), F.lit(1))), F.lit(-1))
 
 
-def match_robots(pages: DataFrame, rules: DataFrame, url: str = "url", known_rows: int | None = None) -> DataFrame:
+def match_robots(pages: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
     """Add ``base_url``, ``allowed`` and ``crawl_delay_ms`` to every row.
 
     The longest matching rule decides and a tie allows; rules are literal prefixes of the decoded
     path. An address without a path component, or one that does not parse, is denied.
     """
     parsed = pages.withColumns({"base_url": urls.base_url(F.col(url)), "__path": urls.path(F.col(url))})
-    joined = dimension_join(parsed, rules, "base_url", url, known_rows=known_rows)
+    joined = dimension_join(parsed, rules, "base_url", url)
     path = F.col("__path")
     best_allow, best_disallow = _longest("allows", path), _longest("disallows", path)
     verdict = F.when(F.col("allows").isNull(), True).otherwise(best_allow >= best_disallow)

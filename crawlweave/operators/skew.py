@@ -5,45 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 256
-HOT_ROWS = 500_000
-SPLITS = 64
+SPLITS = 1024
 
 
-def dimension_join(
-    facts: DataFrame,
-    dimension: DataFrame,
-    key: str,
-    spread_by: str,
-    hot_rows: int = HOT_ROWS,
-    splits: int = SPLITS,
-    known_rows: int | None = None,
-) -> DataFrame:
+def dimension_join(facts: DataFrame, dimension: DataFrame, key: str, spread_by: str) -> DataFrame:
     """Left join ``facts`` to ``dimension`` (unique on ``key``) without a hot task.
 
-    The fact keys are counted; the heaviest ones are split into ``splits`` shards by a hash of
-    ``spread_by`` and their dimension rows are repeated per shard. A key outside the
-    ``MAX_HOT_KEYS`` heaviest holds less than 1/256 of the rows. Missing keys are spread as well.
-    The list of hot keys is the only broadcast and has at most ``MAX_HOT_KEYS`` rows; every row
-    takes part in the join whether its key is listed or not. If the caller has counted the facts
-    (``known_rows``) and there are too few for any hot key, only missing keys are spread.
+    One plan for every size: rows without a key, which match nothing, are spread by a hash of
+    ``spread_by``; a key that holds too many rows is split by adaptive execution, which measures the
+    partitions, splits the fact side of a large one and reads the few dimension rows once per part.
+    Nothing is listed, limited or broadcast by hand.
     """
-    shard = F.pmod(F.xxhash64(F.col(spread_by)), F.lit(splits)).cast("int")
-    if known_rows is not None and known_rows < hot_rows:
-        spread = facts.withColumn("__shard", F.when(F.col(key).isNull(), shard).otherwise(0))
-        return spread.join(dimension.withColumn("__shard", F.lit(0)), [key, "__shard"], "left").drop("__shard")
-    hot = (
-        facts.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .count()
-        .where(F.col("count") >= hot_rows)
-        .orderBy(F.desc("count"))
-        .limit(MAX_HOT_KEYS)
-        .select(key, F.lit(True).alias("__hot"))
-    )
-    salted = facts.join(F.broadcast(hot), key, "left").withColumn(
-        "__shard", F.when(F.col("__hot") | F.col(key).isNull(), shard).otherwise(0)
-    )
-    shards = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(splits - 1))).otherwise(F.array(F.lit(0)))
-    repeated = dimension.join(F.broadcast(hot), key, "left").withColumn("__shard", F.explode(shards)).drop("__hot")
-    return salted.drop("__hot").join(repeated, [key, "__shard"], "left").drop("__shard")
+    spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(F.col(spread_by)), F.lit(SPLITS)).cast("int")).otherwise(0)
+    facts = facts.withColumn("__shard", spread)
+    return facts.join(dimension.withColumn("__shard", F.lit(0)), [key, "__shard"], "left").drop("__shard")

@@ -37,7 +37,6 @@ HOST_DELAY_MS = 3_600_000
 MAX_DEPTH = 2
 PAGE_BUDGET = 40
 NOW_MS = 1_706_745_600_000  # 2024-02-01 00:00:00 UTC
-SEEN_CAPACITY = 2_000
 LAST_N = 200
 
 
@@ -446,12 +445,6 @@ def frontier_next(spark, sf):
     return frontier.next_frontier(found, queue).select("url", "depth")
 
 
-@query("capped_dedup")
-def capped_dedup(spark, sf):
-    log = inputs.crawl_log(spark, sf).select("seq", "url")
-    return frontier.capped_dedup(log, "url", "seq", SEEN_CAPACITY)
-
-
 # ---------------------------------------------------------------- statistics
 
 
@@ -610,6 +603,16 @@ def export_lines(spark, sf):
     return exports.export_lines(inputs.export_log(spark, sf)).select("seq", "line")
 
 
+@query("export_files", with_ctes(f"""
+    select 0 as place, '{exports.CSV_HEADER}' as line
+    union all select row_number() over (order by seq), {_LINE_SQL} from export_rows""", "export_rows"))
+def export_files(spark, sf):
+    """The written export, read back in the order of its files: the header, then the rows in order."""
+    path = new_path(spark, "export-files")
+    exports.write_csv_with_header(inputs.export_log(spark, sf).select("seq", "depth", "url"), path, order="seq")
+    return exports.read_export(spark, path)
+
+
 @query("report_summary", with_ctes(f"""
     select crawl_id, case when crawl_id = 2 then 'N/A' else 'http://h' || crawl_id || '.example.com/' end as domain,
            '2024-02-01 00:00:00' as exported,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,7 +40,7 @@ def pin(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, taken from ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder; on a cluster a missing
+    A local session without that setting gets a folder below its warehouse; on a cluster a missing
     setting is an error, because a machine-local folder would not survive a lost executor.
     """
     context = spark.sparkContext
@@ -51,7 +50,8 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not context.master.startswith("local"):
         raise ValueError(f"set {_CHECKPOINT_CONF} to a folder shared by all executors")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="crawlweave-"))
+    warehouse = (spark.conf.get("spark.sql.warehouse.dir", None) or "spark-warehouse").rstrip("/")
+    context.setCheckpointDir(f"{warehouse}/shared-{uuid.uuid4().hex}")
     return context.getCheckpointDir()
 
 

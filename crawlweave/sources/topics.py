@@ -18,7 +18,6 @@ from crawlweave.functions.messages import encode_message
 DEFAULT_SERVERS = "localhost:9095"
 DEFAULT_TOPIC = "pages"
 DEFAULT_TRUSTSTORE = "certs/kafka.truststore.jks"
-DEFAULT_STORE_PASSWORD = "changeit"
 TLS_VERSIONS = "TLSv1.2,TLSv1.3"
 
 
@@ -28,16 +27,20 @@ def topic_messages(pages: DataFrame) -> DataFrame:
     return pages.select(message.alias("key"), message.alias("value"))
 
 
-def tls_options(environ: Mapping[str, str] | None = None) -> dict[str, str]:
+def tls_options(environ: Mapping[str, str] | None = None, check_host: bool = True) -> dict[str, str]:
+    """Connection security. The store's password comes from the environment, or there is none.
+
+    ``check_host=False`` accepts a certificate made for another host, as with self-signed development
+    certificates; the trust anchor is still checked.
+    """
     env = os.environ if environ is None else environ
     return {
         "kafka.security.protocol": "SSL",
         "kafka.ssl.truststore.location": env.get("KAFKA_SSL_TRUSTSTORE_LOCATION", DEFAULT_TRUSTSTORE),
-        "kafka.ssl.truststore.password": env.get("KAFKA_SSL_STORE_PASSWORD", DEFAULT_STORE_PASSWORD),
+        **({"kafka.ssl.truststore.password": env["KAFKA_SSL_STORE_PASSWORD"]} if env.get("KAFKA_SSL_STORE_PASSWORD") else {}),
         "kafka.ssl.truststore.type": "JKS",
         "kafka.ssl.enabled.protocols": TLS_VERSIONS,
-        # self-signed development certificates: the trust anchor is still checked
-        "kafka.ssl.endpoint.identification.algorithm": "",
+        "kafka.ssl.endpoint.identification.algorithm": "https" if check_host else "",
     }
 
 

@@ -1,5 +1,3 @@
-from collections import OrderedDict
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,19 +115,13 @@ def test_bucketed_links_are_not_shuffled(spark):
         spark.sql("drop table crawl_links_test")
 
 
-@pytest.mark.parametrize("capacity", [1, 5, 40, 500])
-def test_capped_dedup_equals_serial_set(spark, capacity):
-    import random
-
-    rnd = random.Random(capacity)
-    rows = [(i, f"u{min(rnd.randrange(60), rnd.randrange(60))}") for i in range(600)]
-    seen, want = OrderedDict(), {}
-    for i, u in rows:
-        want[i] = u not in seen
-        if want[i]:
-            seen[u] = True
-            if len(seen) > capacity:
-                seen.popitem(last=False)
-    df = spark.createDataFrame(rows, "seq bigint, url string")
-    got = frontier.capped_dedup(df, "url", "seq", capacity).collect()
-    assert {r["seq"]: r["accepted"] for r in got} == want
+def test_bad_and_screened_addresses(spark):
+    """A bad address is no page of the budget, with or without rules; a blocked one fails without a fetch."""
+    rows = [(1, "http://h/ok"), (2, "http://h/a b|c"), (3, "http://private/x"), (4, "http://h/last")]
+    seeds = frontier.seed_frontier(spark.createDataFrame(rows, "n int, url string"), order="n")
+    none = spark.createDataFrame([], "src string, dst string, pos int")
+    block = lambda level: level.withColumn("blocked", F.col("url").contains("private"))
+    log = frontier.crawl(seeds, none, max_pages=3, screen=block).log.collect()
+    assert {r["url"]: r["state"] for r in log} == {
+        "http://h/ok": "processed", "http://h/a b|c": "bad_url", "http://private/x": "failed", "http://h/last": "processed",
+    }

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from crawlweave.functions import addresses, messages, text, urls
+from crawlweave.operators import links
 
 
 def column(spark, values, type_="string"):
@@ -129,3 +130,21 @@ def test_display(spark):
 
 def test_trim_strips_controls(spark):
     assert apply(spark, ["\t\x01 a b \r\n", " a"], text.trim_controls) == ["a b", " a"]
+
+
+def test_addresses_in_other_forms(spark):
+    cases = {
+        "::ffff:7f00:1": True, "0:0:0:0:0:ffff:10.0.0.1": True, "::ffff:8.8.8.8": False, "999.1.1.1": None, "::1": True, "::": True,
+        "fe80::1": True, "2001:db8::1": False, "[::1]": True, "1:2:3": None, "127.0.0.1": True, "::ffff:999.1.1.1": None, "0:0:0:0:0:0:0:1": True,
+    }
+    df = spark.createDataFrame([(a,) for a in cases], "ip string").withColumn("p", addresses.is_private(F.col("ip")))
+    assert {r["ip"]: r["p"] for r in df.collect()} == cases
+
+
+def test_character_references(spark):
+    cases = {
+        "a&#128512;b": "a\U0001f600b", "&#99999;": chr(99999), "&#x2F;": "/", "&eacute;": "é", "&#38;lt;": "&lt;", "&amp;amp;": "&amp;",
+        "&#0;": "\ufffd", "&#xD800;": "\ufffd", "&unknown;": "&unknown;", "x&y": "x&y", "&#;": "&#;", "&apos;": "'", "&#99999999999999999999;": "\ufffd",
+    }
+    df = spark.createDataFrame([(a,) for a in cases], "t string").withColumn("d", links._decode_entities(F.col("t")))
+    assert {r["t"]: r["d"] for r in df.collect()} == cases

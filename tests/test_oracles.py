@@ -28,8 +28,3 @@ def test_runs(name, spark, sf):
 
 def test_entry(spark):
     assert entry(spark).count() > 0
-
-
-def test_capped_dedup_equals_exact_dedup_below_capacity(spark, sf):
-    rows = queries()["capped_dedup"](spark, sf)
-    assert rows.where("accepted").count() == rows.select("url").distinct().count()

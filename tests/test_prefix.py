@@ -56,11 +56,10 @@ def test_number_by_range(spark, rows):
     same(got.select("k", "seq", "n"), rows.select("k", "seq", (F.row_number().over(w) + used).cast("bigint").alias("n")))
 
 
-@pytest.mark.parametrize("known_rows", [None, 2_001])
-def test_dimension_join_with_hot_and_missing_keys(spark, rows, known_rows):
+def test_dimension_join_with_hot_and_missing_keys(spark, rows):
     facts = rows.unionByName(spark.createDataFrame([(None, -1, 0, None)], rows.schema))
     dims = spark.createDataFrame([("hot", "H"), ("x", "X"), ("z", "Z")], "k string, name string")
-    got = dimension_join(facts, dims, "k", "seq", hot_rows=300 if known_rows is None else 10**6, splits=5, known_rows=known_rows)
+    got = dimension_join(facts, dims, "k", "seq")
     same(got.select("k", "seq", "name"), facts.join(dims, "k", "left").select("k", "seq", "name"))
 
 
@@ -69,3 +68,16 @@ def test_rate_divides_by_active_seconds(spark):
     got = rolling_rate(log).orderBy("t_ms").collect()
     # counts 1 2 3 3 1 over max(1, elapsed) seconds, at most 30
     assert [(r["rate_n"], r["rate"]) for r in got] == [(1, 1.0), (2, 2.0), (3, 0.1), (3, 0.1), (1, 0.0)]
+
+
+def test_rows_without_key_or_clock_stay(spark):
+    rows = [(None, 1), (None, 5), ("a", None), ("a", 2), (None, None)]
+    df = spark.createDataFrame(rows, "k string, seq bigint")
+    counted = prefix.trailing_count(df, ["k"], "seq", 10, "n").collect()
+    assert sorted((str(r["k"]), r["seq"] or 0, r["n"]) for r in counted) == [
+        ("None", 0, 0), ("None", 1, 1), ("None", 5, 2), ("a", 0, 0), ("a", 2, 1),
+    ]
+    summed = prefix.running_total(df, ["k"], ["seq"], prefix.block("seq"), {"n": F.lit(1)}).collect()
+    assert sorted((str(r["k"]), r["n"]) for r in summed) == [("None", 1), ("None", 2), ("None", 3), ("a", 1), ("a", 2)]
+    placed = prefix.number_by_range(df, ["k"], ["seq"], "n", "placed").collect()
+    assert sorted((str(r["k"]), r["n"]) for r in placed) == [("None", 1), ("None", 2), ("None", 3), ("a", 1), ("a", 2)]

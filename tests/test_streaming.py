@@ -126,7 +126,7 @@ def test_topic_options():
     for options in (sink, source):
         assert options["kafka.security.protocol"] == "SSL"
         assert options["kafka.ssl.truststore.location"] == "/t.jks"
-        assert options["kafka.ssl.endpoint.identification.algorithm"] == ""
+        assert options["kafka.ssl.endpoint.identification.algorithm"] == "https"
     assert topics.tls_options({})["kafka.ssl.truststore.location"] == "certs/kafka.truststore.jks"
 
 

@@ -107,41 +107,53 @@ class Memory(dict):
 
 
 class Codec:
-    """Ranks, pattern and the memory of merged pieces; one per worker process."""
+    """Ranks, pattern and the memory of merged pieces; one per worker process. Ids are packed as 32-bit integers."""
 
     def __init__(self, data: bytes, pattern: str) -> None:
         self.ranks = parse_ranks(data)
         self.tokens = {rank: token for token, rank in self.ranks.items()}
-        self.find, self.runs = splitter(pattern).find, splitter(pattern).runs
-        self._memory, self._runs = Memory(), Memory()
-
-    def _ids(self, piece: str) -> list[int]:
-        raw = piece.encode("utf-8")
-        ids = merge_piece(raw, self.ranks)
-        if len(raw) <= MEMORY_BYTES:
-            self._memory.keep(piece, ids)
-        return ids
-
-    def _run(self, run: str) -> tuple[int, ...]:
-        """The ids of text between two blanks, the first blank included."""
-        ids: list[int] = []
-        for piece in self.find(run):
-            known = self._memory[piece]
-            ids.extend(self._ids(piece) if known is None else known)
+        split = splitter(pattern)
+        self._find, self._lines = split.find, split.lines
+        self._memory = Memory()
+        self._bare, self._spaced = Memory(), Memory()  # runs at the beginning of a line, and after a space
+
+    def _pieces(self, text: str) -> bytes:
+        out = []
+        for piece in self._find(text):
+            ids = self._memory[piece]
+            if ids is None:
+                raw = piece.encode("utf-8")
+                ids = array("i", merge_piece(raw, self.ranks)).tobytes()
+                if len(raw) <= MEMORY_BYTES:
+                    self._memory.keep(piece, ids)
+            out.append(ids)
+        return b"".join(out)
+
+    def _run(self, memory: Memory, before: str, run: str) -> bytes:
+        ids = self._pieces(before + run)
         if len(run) <= MEMORY_BYTES:
-            self._runs.keep(run, tuple(ids))
+            memory.keep(run, ids)
         return ids
 
-    def encode(self, text: str) -> array:
-        out, runs = array("i"), self._runs
-        for run in self.runs(text):
-            ids = runs[run]
-            out.extend(self._run(run) if ids is None else ids)
-        return out
-
-    def decode(self, ids) -> bytes:
-        tokens = self.tokens
-        return b"".join([tokens[i] for i in ids])
+    def encode(self, text: str) -> bytes:
+        lines = self._lines(text)
+        if lines is None:
+            return self._pieces(text)
+        bare, spaced, out, line_break = self._bare, self._spaced, [], self._pieces("\n")
+        for line in lines:
+            first, *rest = line.split(" ")
+            ids = bare[first]
+            out.append(self._run(bare, "", first) if ids is None else ids)
+            known = [spaced[run] for run in rest]
+            if None in known:
+                known = [self._run(spaced, " ", run) if ids is None else ids for run, ids in zip(rest, known)]
+            out += known
+            out.append(line_break)
+        out.pop()
+        return b"".join(out)
+
+    def decode(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.tokens.__getitem__, ids))
 
 
 _CODECS: dict[tuple, Codec] = {}
@@ -168,13 +180,9 @@ def encoder(spark: SparkSession, rank_file: str, pattern: str):
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
         codec = _codec(data, pattern)
-        flat, offsets = array("i"), np.zeros(len(texts) + 1, dtype=np.int32)
-        for row, text in enumerate(texts):
-            text = text.as_py()
-            if text:
-                flat.extend(codec.encode(text))
-            offsets[row + 1] = len(flat)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(flat, dtype=np.int32) if flat else np.zeros(0, np.int32)))
+        packed = [codec.encode(text) if text else b"" for text in texts.to_pylist()]
+        offsets = np.concatenate([[0], np.cumsum([len(ids) // 4 for ids in packed])]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), np.int32)))
 
     return encode
 
@@ -186,7 +194,7 @@ def decoder(spark: SparkSession, rank_file: str):
     @F.arrow_udf("binary")
     def decode(lists: pa.Array) -> pa.Array:
         codec = _codec(data, r"\p{L}+")
-        return pa.array([codec.decode(ids.values.to_pylist()) if ids.is_valid else b"" for ids in lists], pa.binary())
+        return pa.array([codec.decode(ids.values.to_numpy().tolist()) if ids.is_valid else b"" for ids in lists], pa.binary())
 
     return decode
 

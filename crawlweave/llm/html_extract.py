@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 LABELLED_PAGES, PRIOR = 2_000, 200
 #: What a tag costs that was not seen, what it costs at most, what a word costs in surroundings that are no content,
 #: and the odds (natural log) from which surroundings are none.
-USUAL_TAG, DEAREST_TAG, WORD_COST, NO_CONTENT = 0.1, 1.0, 0.2, 1.0
+USUAL_TAG, DEAREST_TAG, WORD_COST, NO_CONTENT = 0.1, 0.5, 0.2, 1.0
 #: Element names and class words of the markup language and of common usage.
 DROPPED = frozenset("script style noscript template svg math iframe object embed canvas audio video select button textarea head title".split())
 BLOCKS = frozenset(
@@ -196,7 +196,7 @@ def extract(page: str | None, scores: Scores) -> str:
         if total <= 0:
             total, start = 0.0, i
         total += score
-        if total > best:
+        if total >= best and total > 0:
             best, span = total, (start, i + 1)
     blocks: list[str] = []
     parts: list[str] = []

@@ -4,7 +4,8 @@ Paragraphs are the lines of a text. A multinomial logistic regression over spars
 names a family or ``unknown``. It is trained here, on templates with words dropped, replaced and added, and on
 paragraphs of the corpus as the unknown class. A temperature fitted on held-out rows calibrates the probabilities, and
 the acceptance threshold is the least that no held-out unknown paragraph passes. A prediction counts only if the
-paragraph also shares at least ``AGREEMENT`` of its word pairs, or of the template's, with a template of that family.
+paragraph also shares at least ``AGREEMENT`` of its word pairs, or of the template's, with a template; among close
+families the one whose template agrees best is named.
 
 Pairs of common words are no features, so a text without any word of the templates is settled by one look at its
 words. Null or empty text has no paragraphs. Texts are scanned whole. Training sees at most ``BACKGROUND`` corpus
@@ -93,22 +94,26 @@ class Model:
         self.templates = [(family, _pairs(_words(text))) for family, text in TEMPLATES]
         self.anchors = {w for _, text in TEMPLATES for w in _words(text) if w not in COMMON}
 
-    def confirmed(self, family: str, found: list[str]) -> bool:
-        """Whether a template of the family agrees."""
-        pairs = _pairs(found)
-        return any(
-            pairs and 1 <= len(pairs & t) >= AGREEMENT * min(len(pairs), len(t)) for name, t in self.templates if name == family
-        )
+    def agreement(self, found: list[str]) -> dict[str, float]:
+        """For each family, the largest shared part of word pairs with one of its templates."""
+        pairs, out = _pairs(found), {}
+        for family, template in self.templates:
+            part = len(pairs & template) / max(1, min(len(pairs), len(template)))
+            out[family] = max(part, out.get(family, 0.0))
+        return out
 
     def family(self, paragraph: str) -> str | None:
         """The licence family of a paragraph, or none."""
         found = _words(paragraph)
         if self.anchors.isdisjoint(found):
             return None
-        p = self.probabilities(found)
-        best = int(p.argmax())
-        name = self.families[best]
-        return name if name != UNKNOWN and p[best] >= self.threshold and self.confirmed(name, found) else None
+        p = dict(zip(self.families, self.probabilities(found)))
+        likely = max(p, key=p.get)
+        if likely == UNKNOWN or p[likely] < self.threshold:
+            return None
+        agree = self.agreement(found)
+        best = max(agree, key=lambda f: (agree[f], p[f]))
+        return best if agree[best] >= AGREEMENT else None
 
     def scan(self, text: str | None) -> tuple[int, list[tuple[int, str]]]:
         """Paragraphs that have a word, and (line, family) of those with a licence."""

@@ -23,9 +23,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from crawlweave.llm.common import SPACES, words
 from crawlweave.llm.minhash import _mixed
+from crawlweave.session import stage
 
 #: Longest n-gram, the factor of a backoff step, documents in a block as a power of two, and words per bucket.
 ORDER, BACKOFF, BLOCK_ROWS, BUCKET_WORDS = 2, 0.4, 10, 1_000_000
@@ -121,13 +123,13 @@ def _score(order: int, backoff: float, total_words: int, fields: pa.Schema):
         distinct, counts = _distinct(grams)
         back = back.sort_by("bucket")
         others = np.frombuffer(b"".join(back.column("others").to_pylist()), np.int32).astype(np.int64)
-        total = counts + (others if len(distinct) else 0)
+        total = np.append(counts + others, 0)  # the last stands for no n-gram
         doc = np.repeat(np.arange(len(lengths)), lengths)
         elsewhere = []  # of the n-gram that ends at each word, in other documents
         for g in grams:
             at = np.searchsorted(distinct, g)
-            at[g == 0] = 0
-            _, place, own = np.unique(doc * max(1, len(distinct)) + at, return_inverse=True, return_counts=True)
+            at[g == 0] = len(distinct)
+            _, place, own = np.unique(doc * len(total) + at, return_inverse=True, return_counts=True)
             elsewhere.append(np.where(g == 0, 0, total[at] - own[place]) if len(g) else np.zeros(0, np.int64))
         rest = np.maximum(1, total_words - lengths)[doc]
         first = np.arange(len(doc)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
@@ -148,10 +150,14 @@ def _score(order: int, backoff: float, total_words: int, fields: pa.Schema):
     return run
 
 
-def score(docs: DataFrame, keys: list[str], text: str = "text", order: int = ORDER, backoff: float = BACKOFF) -> DataFrame:
-    """``keys``, ``n_words`` (long), ``log_score`` and ``mean_log_score`` (double, natural logarithm) for each row."""
-    from pyspark.sql.pandas.types import to_arrow_schema
+def score(docs: DataFrame, keys: list[str], text: str = "text", order: int = ORDER, backoff: float = BACKOFF, settled: bool = False) -> DataFrame:
+    """``keys``, ``n_words`` (long), ``log_score`` and ``mean_log_score`` (double, natural logarithm) for each row.
 
+    The rows are read twice and must come in the same order both times, so they are written first, unless they are
+    ``settled``: read straight from files.
+    """
+    if not settled:
+        docs = stage(docs.select(*keys, text), "scored")
     kept = docs.select(*keys)
     blocks = docs.select(*keys, F.col(text).alias("text")).withColumn("block", F.shiftright(F.monotonically_increasing_id(), BLOCK_ROWS))
     total = docs.agg(F.sum(F.size(words(F.col(text), SPACES)))).first()[0] or 0

@@ -262,11 +262,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     place = classes.select("class", "first")
     links = links.join(place.select(F.col("class").alias("x"), F.col("first").alias("p")), "x")
     links = links.join(place.select(F.col("class").alias("y"), F.col("first").alias("q")), "y").select(F.col("p").alias("x"), F.col("q").alias("y"))
-    several = named.select("id", "a", "b", "n").distinct().withColumn("of", F.count("*").over(Window.partitionBy("id"))).where("of > 1")
+    several = rows.where("id is not null").select("id", "a", "b", "n").distinct().withColumn("of", F.count("*").over(Window.partitionBy("id"))).where("of > 1")
     same = several.join(classes, ["a", "b", "n"]).select(F.col("id").alias("x"), F.col("first").alias("y"))
     joined = components(links.unionAll(same)).select(F.col("id").alias("first"), "component")
-    out = rows.select("id", "a", "b", "n").join(classes.select("a", "b", "n", "first"), ["a", "b", "n"], "left").join(joined, "first", "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "first", "id"))
+    out = rows.select("id", "a", "b", "n").join(classes.select("a", "b", "n", "first"), ["a", "b", "n"], "left")
+    out = out.withColumn("first", F.coalesce("first", "id")).join(joined, "first", "left")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "first"))
     return out.select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"),
         F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),

@@ -72,21 +72,27 @@ class Splitter:
         letters, numbers, odd = _classes()
         self._usual = regex.compile(pattern)
         self._exact = regex.compile(_spell_out(pattern, letters, numbers))
-        self._blanks = regex.compile(r"\s\s")
         self._odd = regex.compile(f"[{odd}]") if odd else None
 
-    def runs(self, text: str) -> list[str]:
-        """Parts of ``text`` that can be split into pieces one by one; they repeat more often than whole texts do.
+    def lines(self, text: str) -> list[str] | None:
+        """The lines of ``text`` if pieces can be found run by run; else none.
 
-        Where no two blanks meet, a piece begins at every space and every line break, and a line break is a piece.
+        Where spaces and line breaks are the only blanks and no two meet, a piece begins at every space and every
+        line break, and a line break is a piece. Then splitting at those and at all blanks gives the same words.
         """
-        if self._blanks.search(text):
+        if text.split() != text.replace("\n", " ").split(" "):
+            return None
+        return text.split("\n")
+
+    def runs(self, text: str) -> list[str]:
+        """Parts of ``text`` that can be split into pieces one by one; they repeat more often than whole texts do."""
+        lines = self.lines(text)
+        if lines is None:
             return [text]
         out: list[str] = []
-        for line in text.split("\n"):
+        for line in lines:
             first, *rest = line.split(" ")
-            if first:
-                out.append(first)
+            out.append(first)
             out += [" " + run for run in rest]
             out.append("\n")
         out.pop()

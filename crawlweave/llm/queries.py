@@ -24,7 +24,7 @@ def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_lm_score(spark: SparkSession, folder: str) -> DataFrame:
-    return lm_score.score(table(spark, folder, "documents").select("doc_id", "text"), ["doc_id"])
+    return lm_score.score(table(spark, folder, "documents").select("doc_id", "text"), ["doc_id"], settled=True)
 
 
 def op3_bpe_roundtrip(spark: SparkSession, folder: str) -> DataFrame:

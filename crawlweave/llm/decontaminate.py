@@ -16,9 +16,12 @@ with a null identifier count as hit words but not as items. Repeated items and d
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from crawlweave.functions.text import bind
 from crawlweave.llm.common import NOT_ALNUM, ascii_lower, words
 from crawlweave.session import stage
 
@@ -30,20 +33,19 @@ SENT_ROWS = 200_000
 _SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
-def _runs(w: Column, n: int) -> Column:
-    """Hashes of all runs of ``n`` words; at least ``n`` words are needed."""
-    return F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.xxhash64(F.slice(w, i, n)))
+def _over(values: Column, n: int, of: Callable[..., Column]) -> Column:
+    """``of`` each run of ``n`` neighbours in an array; at least ``n`` are needed."""
+    return bind(values, lambda v: F.transform(F.sequence(F.lit(0), F.size(v) - n), lambda i: of(*[F.get(v, i + k) for k in range(n)])))
 
 
 def fingerprints(w: str, length: int) -> Column:
     """The distinct fingerprints of all windows of ``length`` words; empty where there are fewer words."""
     gram = min(GRAM, length)
     span = length - gram + 1
-    runs = _runs(F.col(w), gram)
+    marks = _over(F.transform(w, lambda x: F.xxhash64(x)), gram, F.xxhash64)
     if span > 1:
-        least = lambda h: F.transform(F.sequence(F.lit(1), F.size(h) - span + 1), lambda i: F.array_min(F.slice(h, i, span)))
-        runs = F.element_at(F.transform(F.array(runs), least), 1)
-    return F.when(F.size(w) >= length, F.array_distinct(runs)).otherwise(F.array().cast("array<bigint>"))
+        marks = _over(marks, span, F.least)
+    return F.when(F.size(w) >= length, F.array_distinct(marks)).otherwise(F.array().cast("array<bigint>"))
 
 
 def windows(w: Column, length: int) -> Column:

@@ -52,7 +52,7 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     d = docs.withColumn("_w", words(F.col(text)))
-    d = d.withColumn("_win", F.when(F.size("_w") >= 3, F.transform(F.sequence(F.lit(1), F.size("_w") - 2), lambda i: F.xxhash64(F.slice("_w", i, 3)))))
+    d = d.withColumn("_win", F.when(F.size("_w") >= 3, F.transform(F.sequence(F.lit(0), F.size("_w") - 3), lambda i: F.xxhash64(*[F.get("_w", i + k) for k in range(3)]))))
     d = d.withColumn("_lines", F.filter(F.split(whole, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]")))
     d = d.withColumns(
         {

@@ -151,6 +151,15 @@ def ip_screen(spark, sf):
     return screening.screen(inputs.pages(spark, sf).select("page_id", "url"), inputs.host_ips(spark, sf))
 
 
+@query("ip_screen_allow", with_ctes(
+    "select n.page_id, n.url, h.blocked and n.page_id % 2 = 0 as blocked from nodes n join private_hosts h on h.host = n.host",
+    "nodes", "private_hosts"))
+def ip_screen_allow(spark, sf):
+    """The screening predicate replaced for some of the first requests."""
+    pages = inputs.pages(spark, sf).select("page_id", "url")
+    return screening.screen(pages, inputs.host_ips(spark, sf), allow=F.col("page_id") % 2 == 1)
+
+
 # ---------------------------------------------------------------- links
 
 
@@ -676,11 +685,15 @@ def export_clear(spark, sf):
 @query("snapshot_tail", with_ctes(
     "select seq, depth || '|' || url as value from export_log", "export_log"))
 def snapshot_tail(spark, sf):
-    """A new subscriber's snapshot and the (empty) tail after it."""
-    path, schema = _message_table(spark, sf)
+    """A new subscriber's snapshot of two thirds of the messages, and the tail that arrives after it."""
+    log = inputs.export_log(spark, sf)
+    frame = log.select("seq", messages.encode_message(F.col("depth"), F.col("url")).alias("value"))
+    path, schema = new_path(spark, "sink"), "seq bigint, value string"
+    frame.where("seq % 3 < 2").write.parquet(path)
     stream = spark.readStream.schema(schema).parquet(path)
     sink, checkpoint = feed.BatchTable(spark, "tail", schema), new_path(spark, "tail-checkpoint")
     snapshot = feed.snapshot_then_tail(stream, sink, checkpoint)
+    frame.where("seq % 3 = 2").write.mode("append").parquet(path)
     return snapshot.unionByName(feed.snapshot_then_tail(stream, sink, checkpoint))
 
 
@@ -691,40 +704,46 @@ def _stream(spark, sf) -> DataFrame:
     return inputs.crawl_log_of(feed.file_feed(spark, sf, tables.EVENTS_SCHEMA, "events.parquet"))
 
 
+def _late_stream(spark, sf) -> DataFrame:
+    """The same events over several micro-batches, each of which reaches back over the whole time."""
+    path = new_path(spark, "late-events")
+    for part in (2, 0, 3, 1):
+        inputs.events(spark, sf).where(F.col("event_id") % 4 == part).write.mode("append").parquet(path)
+    return inputs.crawl_log_of(feed.file_feed(spark, path, tables.EVENTS_SCHEMA, "*.parquet", files_per_trigger=1))
+
+
 @query("stream_feed", with_ctes("select seq, depth, url from crawl_log", "crawl_log"))
 def stream_feed(spark, sf):
-    rows = _stream(spark, sf).select("seq", messages.encode_message(F.col("depth"), F.col("url")).alias("value"))
+    rows = _late_stream(spark, sf).select("seq", messages.encode_message(F.col("depth"), F.col("url")).alias("value"))
     return feed.collect_feed(exports.decoded(rows), "feed").all()
 
 
-# the whole table arrives as one micro-batch, so nothing leaves the watermark
 @query("stream_dedup", with_ctes("select distinct url from crawl_log", "crawl_log"))
 def stream_dedup(spark, sf):
-    return feed.collect_feed(feed.dedup(_stream(spark, sf).select("url", "ts")), "dedup").all().select("url")
+    return feed.collect_feed(feed.dedup(_late_stream(spark, sf).select("url")), "dedup").all()
 
 
 @query("stream_rate", with_ctes("""
     select crawl_id, s - o as window_start, count(*) as pages, round(count(*) / 30, 1) as rate
     from (select crawl_id, t_ms // 1000 as s from crawl_log), range(30) as r(o) group by all""", "crawl_log"))
 def stream_rate(spark, sf):
-    sink = feed.collect_feed(feed.per_second(_stream(spark, sf)), "rate", "update")
-    return feed.sliding_rate(sink.upserted(["crawl_id", "second"]))
+    return feed.sliding_rate(feed.collect_seconds(_late_stream(spark, sf)))
 
 
 @query("stream_depths", with_ctes("select depth, count(*) as pages from crawl_log group by depth", "crawl_log"))
 def stream_depths(spark, sf):
-    return feed.collect_feed(feed.running_depths(_stream(spark, sf)), "depths", "complete").latest()
+    return feed.collect_feed(feed.running_depths(_late_stream(spark, sf)), "depths", "complete").latest()
 
 
 @query("stream_hosts", with_ctes("select crawl_id, count(distinct host) as unique_hosts from crawl_log group by crawl_id", "crawl_log"))
 def stream_hosts(spark, sf):
-    sink = feed.collect_feed(feed.running_hosts(_stream(spark, sf)), "hosts")
+    sink = feed.collect_feed(feed.running_hosts(_late_stream(spark, sf)), "hosts")
     return sink.all().groupBy("crawl_id").agg(F.count(F.lit(1)).alias("unique_hosts"))
 
 
 @query("stream_last_n", with_ctes(f"select seq, depth, url from crawl_log order by seq desc limit {LAST_N}", "crawl_log"))
 def stream_last_n(spark, sf):
-    return feed.keep_last(_stream(spark, sf).select("seq", "depth", "url"), "seq", LAST_N)
+    return feed.keep_last(_late_stream(spark, sf).select("seq", "depth", "url"), "seq", LAST_N)
 
 
 @query("stream_throttle", with_ctes(

@@ -127,9 +127,9 @@ def snapshot_then_tail(feed: DataFrame, sink: BatchTable, checkpoint: str) -> Da
     return sink.since(before)
 
 
-def dedup(feed: DataFrame, url: str = "url", clock: str = "ts", keep: str = "1 day") -> DataFrame:
-    """Seen set with a bounded memory: an address may return once it left the watermark."""
-    return feed.withWatermark(clock, keep).dropDuplicatesWithinWatermark([url])
+def dedup(feed: DataFrame, url: str = "url") -> DataFrame:
+    """Seen set over the whole feed; its state is keyed by address, on disk, and drops nothing for lateness."""
+    return feed.dropDuplicates([url])
 
 
 def running_depths(feed: DataFrame) -> DataFrame:
@@ -147,14 +147,21 @@ def approximate_hosts(feed: DataFrame, key: str = "crawl_id") -> DataFrame:
     return feed.groupBy(key).agg(F.approx_count_distinct(host).alias("unique_hosts"))
 
 
-def per_second(feed: DataFrame, key: str = "crawl_id", clock: str = "ts", lateness: str = "10 minutes") -> DataFrame:
-    """Pages per one-second bucket: the only state the sliding rate needs."""
-    return (
-        feed.withWatermark(clock, lateness)
-        .groupBy(key, F.window(clock, "1 second").alias("w"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(key, F.unix_seconds("w.start").alias("second"), "n")
-    )
+def per_second(batch: DataFrame, key: str = "crawl_id", clock: str = "ts") -> DataFrame:
+    """Pages per one-second bucket of a batch; counts of several batches add up."""
+    second = F.unix_seconds(F.col(clock).cast("timestamp")).alias("second")
+    return batch.groupBy(key, second).agg(F.count(F.lit(1)).alias("n"))
+
+
+def collect_seconds(feed: DataFrame, key: str = "crawl_id", clock: str = "ts", checkpoint: str | None = None) -> DataFrame:
+    """Pages per one-second bucket of the feed.
+
+    Each micro-batch writes its own counts and they are added when read, so the stream has no state
+    and a late row counts like any other.
+    """
+    sink = BatchTable(feed.sparkSession, "seconds", f"{schema_of(feed.select(key))}, second bigint, n bigint")
+    drain(feed.select(key, clock), lambda batch, number: sink.write(per_second(batch, key, clock), number), checkpoint=checkpoint)
+    return sink.all().groupBy(key, "second").agg(F.sum("n").alias("n"))
 
 
 def sliding_rate(seconds: DataFrame, key: str = "crawl_id", window_s: int = 30) -> DataFrame:

@@ -65,8 +65,7 @@ def test_hosts(spark, folder, batch):
 
 
 def test_rate(spark, folder, batch):
-    sink = feed.collect_feed(feed.per_second(log_of(spark, folder)), "rate", "update")
-    windows = feed.sliding_rate(sink.upserted(["crawl_id", "second"]))
+    windows = feed.sliding_rate(feed.collect_seconds(log_of(spark, folder)))
     per_window = batch.groupBy("crawl_id", F.window("ts", "30 seconds", "1 second").alias("w")).agg(F.count(F.lit(1)).alias("pages"))
     want = per_window.select("crawl_id", F.unix_seconds("w.start").alias("window_start"), "pages")
     same(windows.select("crawl_id", "window_start", "pages"), want)
@@ -95,7 +94,7 @@ def test_stats_add_up(spark, folder, batch):
 
 
 def test_dedup_within_watermark(spark, folder, batch):
-    got = feed.collect_feed(feed.dedup(log_of(spark, folder).select("url", "ts", "seq"), keep="3650 days"), "dedup").all()
+    got = feed.collect_feed(feed.dedup(log_of(spark, folder).select("url", "ts", "seq")), "dedup").all()
     assert got.count() == batch.select("url").distinct().count()
 
 

@@ -70,6 +70,17 @@ _SENT = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("grams", pa.b
 _BACK = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("others", pa.binary())])
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers with all first bytes first, then all second ones, and so on: sorted or small ones compress well so."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def _values(data: bytes, kind: type) -> np.ndarray:
+    """The numbers that ``_planes`` packed."""
+    width = np.dtype(kind).itemsize
+    return np.frombuffer(data, np.uint8).reshape(width, len(data) // width).T.copy().view(kind).ravel()
+
+
 def _send(order: int, buckets: int):
     """Each block's n-grams and counts, by bucket."""
 
@@ -81,8 +92,8 @@ def _send(order: int, buckets: int):
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([b for b, _, _ in rows], pa.int32()), pa.array([block] * len(rows), pa.int64()),
-                pa.array([distinct[i:j].tobytes() for _, i, j in rows], pa.binary()),
-                pa.array([counts[i:j].tobytes() for _, i, j in rows], pa.binary()),
+                pa.array([_planes(distinct[i:j]) for _, i, j in rows], pa.binary()),
+                pa.array([_planes(counts[i:j]) for _, i, j in rows], pa.binary()),
             ],
             schema=_SENT,
         )
@@ -104,14 +115,14 @@ def _send(order: int, buckets: int):
 
 def _count(table: pa.Table) -> pa.Table:
     """One bucket: what the other blocks have of each n-gram that a block sent."""
-    grams = [np.frombuffer(g, np.uint64) for g in table.column("grams").to_pylist()]
-    counts = [np.frombuffer(c, np.int32) for c in table.column("counts").to_pylist()]
+    grams = [_values(g, np.uint64) for g in table.column("grams").to_pylist()]
+    counts = [_values(c, np.int32) for c in table.column("counts").to_pylist()]
     known, where = np.unique(np.concatenate(grams), return_inverse=True)
     own = np.concatenate(counts)
     total = np.bincount(where, weights=own, minlength=len(known)).astype(np.int64)
     others = np.minimum(total[where] - own, 2**31 - 1).astype(np.int32)
     ends = np.cumsum([len(g) for g in grams])
-    back = [part.tobytes() for part in np.split(others, ends[:-1])]
+    back = [_planes(part) for part in np.split(others, ends[:-1])]
     return pa.Table.from_arrays([table.column("block"), table.column("bucket"), pa.array(back, pa.binary())], schema=_BACK)
 
 
@@ -122,7 +133,7 @@ def _score(order: int, backoff: float, total_words: int, fields: pa.Schema):
         lengths, grams = _grams(docs.column("text").to_pylist(), order)
         distinct, counts = _distinct(grams)
         back = back.sort_by("bucket")
-        others = np.frombuffer(b"".join(back.column("others").to_pylist()), np.int32).astype(np.int64)
+        others = np.concatenate([np.zeros(0, np.int32), *[_values(o, np.int32) for o in back.column("others").to_pylist()]]).astype(np.int64)
         total = np.append(counts + others, 0)  # the last stands for no n-gram
         doc = np.repeat(np.arange(len(lengths)), lengths)
         elsewhere = []  # of the n-gram that ends at each word, in other documents

@@ -112,7 +112,8 @@ def sketch_of(text: str | Column) -> Column:
 
 
 def set_of(text: str | Column) -> Column:
-    return F.arrow_udf(_sets, "struct<a:bigint,b:bigint,members:array<bigint>>")(text)
+    """As declared it stays above a join, so that only the rows that met are turned into sets."""
+    return F.arrow_udf(_sets, "struct<a:bigint,b:bigint,members:array<bigint>>").asNondeterministic()(text)
 
 
 def _similar(both: Column, n: Column, m: Column) -> Column:

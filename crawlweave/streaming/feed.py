@@ -81,8 +81,8 @@ class BatchTable:
     def _versions(self, batches: list[int]) -> DataFrame:
         if not batches:
             return self.spark.createDataFrame([], self.schema)
-        # one scan; the filter on the folder column prunes the rest
-        return self.spark.read.schema(self.schema).parquet(self.path).where(F.col("batch").isin(batches))
+        # one scan; the filter on the folder column prunes the rest. Asked for are neighbours, so a range names them.
+        return self.spark.read.schema(self.schema).parquet(self.path).where(F.col("batch").between(batches[0], batches[-1]))
 
     def all(self) -> DataFrame:
         return self._versions(self.batches).drop("batch")

@@ -103,7 +103,8 @@ def hits(docs: DataFrame, items: DataFrame, text: str = "text", item_text: str =
     met = made.select("text_key", "f.m", F.col("f.x").alias("mark")).join(_sent(marks, marks.count()), ["m", "mark"], "left_semi")
     candidates = stage(met.select("text_key").distinct(), "candidates")
 
-    near = keyed.join(candidates, "text_key", "left_semi").dropDuplicates(["text_key"])
+    # Copies meet in their own task first; then texts and candidates merge by key, whatever the candidates' number.
+    near = keyed.dropDuplicates(["text_key"]).join(candidates.hint("merge"), "text_key")
     near = near.withColumn("w", words(ascii_lower(F.col("text")), NOT_ALNUM)).drop("text")
     seen = near.select("text_key", F.explode(_every(lengths, lambda n: windows(F.col("w"), n))).alias("f"))
     found = seen.select("text_key", "f.m", "f.x.start", "f.x.a", "f.x.b").join(_sent(known, known.count()), ["m", "a", "b"])

@@ -30,7 +30,7 @@ from crawlweave.llm.minhash import _mixed
 from crawlweave.session import stage
 
 #: Longest n-gram, the factor of a backoff step, documents in a block as a power of two, and words per bucket.
-ORDER, BACKOFF, BLOCK_ROWS, BUCKET_WORDS = 2, 0.4, 10, 1_000_000
+ORDER, BACKOFF, BLOCK_ROWS, BUCKET_WORDS = 3, 0.4, 10, 1_000_000
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 

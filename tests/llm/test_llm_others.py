@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import functions as F
 
-from crawlweave.llm import html_extract, license_scan, lm_score, sharding
+from crawlweave.llm import html_extract, license_scan, lm_score, queries, sharding
 
 
 def jump(key, n):
@@ -70,6 +70,13 @@ def test_backoff_scores(spark):
     assert lm_score.score(df.limit(0), ["doc_id"]).count() == 0
 
 
+def test_registered_scores_use_evidence_of_three_words(spark, tmp_path):
+    docs = [(1, "a b c"), (2, "a b c"), (3, "d b e")]
+    spark.createDataFrame(docs, "doc_id bigint, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.log_score for r in queries.op2_lm_score(spark, str(tmp_path)).collect()}
+    assert math.isclose(got[1], math.log(1 / 6))  # with word pairs only, c would be one of two words after b
+
+
 def test_licences(spark):
     draw = random.Random(8)
     noise = [" ".join(f"n{draw.randrange(300)}" for _ in range(draw.randrange(3, 30))) for _ in range(300)]

@@ -1,8 +1,9 @@
 """Main text of a page as the best-scoring run of its words and tags.
 
-A page is read as one sequence. Words score positive, tags negative, and words in surroundings that labelled pages
-show to be no content score negative too; the contiguous run with the highest sum (one linear scan) is the article.
-Inside the run, blocks in surroundings that are no content, such as a sidebar or an advert in mid-article, are left
+A page is read as one sequence. Words score one, more inside an ``article`` or ``main`` element, and less by what
+labelled pages show against each class word around them; where that leaves nothing the words are no content and score
+negative, as do tags and each step across the border of a marked element. The contiguous run with the highest sum (one
+linear scan) is the article, so long text outside the marks wins over a marked teaser. Inside the run, blocks in surroundings that are no content, such as a sidebar or an advert in mid-article, are left
 out; references are decoded, white space becomes single spaces, and blocks are joined by blank lines.
 
 Labelled pages are pages that mark their article with exactly one ``article`` or ``main`` element. Over a bounded
@@ -28,9 +29,10 @@ from pyspark.sql import functions as F
 
 #: Labelled pages learned from at most, and the words that general knowledge counts for.
 LABELLED_PAGES, PRIOR = 2_000, 200
-#: What a tag costs that was not seen, what it costs at most, what a word costs in surroundings that are no content,
-#: and the odds (natural log) from which surroundings are none.
-USUAL_TAG, DEAREST_TAG, WORD_COST, NO_CONTENT = 0.1, 0.5, 0.2, 1.0
+#: What a tag costs that was not seen, what it costs at most, and what a word costs in surroundings that are no content.
+USUAL_TAG, DEAREST_TAG, WORD_COST = 0.1, 0.5, 0.2
+#: What a word scores, what it gains inside a marked element, and what a step across the border of the marks costs.
+WORD, MARK, BORDER = 1.0, 1.0, 100.0
 #: Element names and class words of the markup language and of common usage.
 DROPPED = frozenset("script style noscript template svg math iframe object embed canvas audio video select button textarea head title".split())
 BLOCKS = frozenset(
@@ -114,7 +116,8 @@ def _inside(stack: list) -> bool:
 
 
 def _marked(page: str) -> int:
-    return len(re.findall(r"<(?:article|main)\b", page, re.I))
+    """The marked elements of a page; text, comments and scripts that look like one are none."""
+    return sum(kind == "open" and stack[-1:] != [] and stack[-1][0] == what and what in ("article", "main") for kind, what, stack in _Reader(page).events())
 
 
 def count_features(pages: list[str]) -> Counter:
@@ -143,50 +146,53 @@ class Scores:
         features = {f for f, _ in counts if f[:1] != "<"}
         features |= BOILERPLATE | {"." + f for f in BOILERPLATE}
         self.against: dict[str, float] = {}
+        # what stands around everything, such as a wrapper's class, says nothing
+        usual = max(0.0, math.log((counts.get(("", False), 0) + 1) / (counts.get(("", True), 0) + 1)))
         for f in features:
             plain = f.lstrip(".")
             inside, outside = counts.get((f, True), 0), counts.get((f, False), 0)
             if plain in CONTENT or (f[:1] != "." and f not in BOILERPLATE):
                 continue  # a bare link or list may stand anywhere; what its tags cost is enough
             outside += PRIOR * (plain in BOILERPLATE)
-            self.against[f] = math.log((outside + 1) / (inside + 1))
+            self.against[f] = max(0.0, math.log((outside + 1) / (inside + 1)) - usual)
         words = {way: max(1, counts.get(("", way), 0)) for way in (True, False)}
         self.tags: dict[str, float] = {}
         for f in {f for f, _ in counts if f[:1] == "<"}:
             rate = {way: (counts.get((f, way), 0) + 1) / words[way] for way in (True, False)}
             self.tags[f[1:]] = min(DEAREST_TAG, max(USUAL_TAG, math.log(rate[False] / rate[True])))
 
-    def no_content(self, stack: list, marked: bool) -> bool:
-        if marked and not _inside(stack):
-            return True
-        within = False
+    def weight(self, stack: list) -> float:
+        """What a word scores here; from zero down it is no content."""
+        within, against = False, 0.0
         for name, features in stack:
             for f in features:
-                if f == "header" and within:
-                    continue
-                if self.against.get(f, 0.0) >= NO_CONTENT:
-                    return True
+                if f != "header" or not within:
+                    against += self.against.get(f, 0.0)
             within = within or name in ("article", "main")
-        return False
+        return WORD + MARK * within - against
 
 
 def extract(page: str | None, scores: Scores) -> str:
     """The main text of one page."""
     if not page:
         return ""
-    marked = _marked(page) > 0
     items: list[tuple[float, str | None]] = []  # score, and a text or None for the end of a block
-    judged: tuple = ()
+    top, weight, inside = None, WORD, False
+    last = None  # whether the content before was marked
     for kind, what, stack in _Reader(page).events():
+        here = stack[-1] if stack else None
+        if here is not top:
+            top, weight, inside = here, scores.weight(stack), _inside(stack)
         if kind == "text":
-            key = (len(stack), id(stack[-1]) if stack else 0)
-            if not judged or judged[0] != key:
-                judged = (key, scores.no_content(stack, marked))
             n = len(what.split())
-            if judged[1]:
-                items.append((-n * (1.0 if marked else WORD_COST), None))
+            if weight <= 0:
+                items.append((-n * WORD_COST, None))
             else:
-                items.append((float(n), what))
+                if n:
+                    if last not in (None, inside):
+                        items.append((-BORDER, ""))
+                    last = inside
+                items.append((n * weight, what))
         elif what in BLOCKS or what in DROPPED:
             items.append((-scores.tags.get(what, USUAL_TAG), None))
         else:

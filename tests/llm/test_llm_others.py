@@ -109,3 +109,21 @@ def test_main_text(spark):
         extract(broken)
     assert html_extract.learn(df.limit(0)).against
     assert extract("<article><p>" + "word " * 100_000 + "</article>").count("word") == 100_000
+
+
+LEARNED = html_extract.Scores(html_extract.count_features([MARKED.format(i) for i in range(40)]))
+
+
+def text_of(n, word="w"):
+    return " ".join(f"{word}{i}" for i in range(n))
+
+
+def test_marks_weigh_and_do_not_decide():
+    story = text_of(300)
+    for spoof in ("<!-- <article> -->", "<script>x = '<main>'</script>", '<main-nav><a href="/">x</a></main-nav>'):
+        assert story in html_extract.extract(f"<body>{spoof}<div><p>{story}</p></div></body>", LEARNED)
+    cards = "".join(f"<article><h3>Teaser {i}</h3><p>{text_of(10, 't')}</p></article>" for i in range(3))
+    assert html_extract.extract(f"<body><div><p>{story}</p></div><section>{cards}</section></body>", LEARNED) == story
+    bare = f"<body><div>{text_of(20, 'x')}</div><article><p>{story}</p></article><div>{text_of(20, 'y')}</div></body>"
+    assert html_extract.extract(bare, LEARNED) == story
+    assert html_extract.count_features(["<!-- <main> --><article>a b</article><main-nav>c</main-nav>"])["", True] == 2

@@ -4,7 +4,8 @@ A page is read as one sequence. Words score one, more inside an ``article`` or `
 labelled pages show against each class word around them; where that leaves nothing the words are no content and score
 negative, as do tags and each step across the border of a marked element. The contiguous run with the highest sum (one
 linear scan) is the article, so long text outside the marks wins over a marked teaser. Inside the run, blocks in surroundings that are no content, such as a sidebar or an advert in mid-article, are left
-out; references are decoded, white space becomes single spaces, and blocks are joined by blank lines.
+out; inside a marked element they and their tags cost nothing, so that the article goes on behind them, however long
+they are; references are decoded, white space becomes single spaces, and blocks are joined by blank lines.
 
 Labelled pages are pages that mark their article with exactly one ``article`` or ``main`` element. Over a bounded
 number of them (``LABELLED_PAGES``, those with the least hashes) the words inside and outside are counted for every
@@ -186,17 +187,16 @@ def extract(page: str | None, scores: Scores) -> str:
         if kind == "text":
             n = len(what.split())
             if weight <= 0:
-                items.append((-n * WORD_COST, None))
+                items.append((0.0 if inside else -n * WORD_COST, None))
             else:
                 if n:
                     if last not in (None, inside):
                         items.append((-BORDER, ""))
                     last = inside
                 items.append((n * weight, what))
-        elif what in BLOCKS or what in DROPPED:
-            items.append((-scores.tags.get(what, USUAL_TAG), None))
         else:
-            items.append((-scores.tags.get(what, USUAL_TAG), " " if what == "br" else ""))
+            cost = 0.0 if inside and weight <= 0 else scores.tags.get(what, USUAL_TAG)
+            items.append((-cost, None if what in BLOCKS or what in DROPPED else " " if what == "br" else ""))
     best, span, total, start = 0.0, (0, 0), 0.0, 0
     for i, (score, _) in enumerate(items):
         if total <= 0:

@@ -127,3 +127,11 @@ def test_marks_weigh_and_do_not_decide():
     bare = f"<body><div>{text_of(20, 'x')}</div><article><p>{story}</p></article><div>{text_of(20, 'y')}</div></body>"
     assert html_extract.extract(bare, LEARNED) == story
     assert html_extract.count_features(["<!-- <main> --><article>a b</article><main-nav>c</main-nav>"])["", True] == 2
+
+
+def test_article_goes_on_behind_a_long_aside():
+    for before, aside, after in ((60, 80, 40), (60, 30, 20), (20, 30, 200), (60, 3000, 20)):
+        links = "".join(f"<ul><li><a href='/x'>{w}</a></li></ul>" for w in text_of(aside, "z").split())
+        for block in (f"<aside>{text_of(aside, 'z')}</aside>", f'<div class="advert"><p>{text_of(aside, "z")}</p></div>', f"<aside>{links}</aside>"):
+            page = f"<body><article><p>{text_of(before)}</p>{block}<p>{text_of(after, 'v')}</p></article></body>"
+            assert html_extract.extract(page, LEARNED) == f"{text_of(before)}\n\n{text_of(after, 'v')}"

@@ -3,14 +3,15 @@
 A page is read as one sequence. Words score one, more inside an ``article`` or ``main`` element, and less by what
 labelled pages show against each class word around them; where that leaves nothing the words are no content and score
 negative, as do tags and each step across the border of a marked element. The contiguous run with the highest sum (one
-linear scan) is the article, so long text outside the marks wins over a marked teaser. Inside the run, blocks in surroundings that are no content, such as a sidebar or an advert in mid-article, are left
-out; inside a marked element they and their tags cost nothing, so that the article goes on behind them, however long
-they are; references are decoded, white space becomes single spaces, and blocks are joined by blank lines.
+linear scan) is the article, so long text outside the marks wins over a marked teaser. Inside the run, blocks in
+surroundings that are no content, such as a sidebar or an advert in mid-article, are left out; inside a marked element
+they and their tags cost nothing, so that the article goes on behind them, however long they are; references are decoded, white space becomes single spaces, and blocks are joined by blank lines.
 
 Labelled pages are pages that mark their article with exactly one ``article`` or ``main`` element. Over a bounded
 number of them (``LABELLED_PAGES``, those with the least hashes) the words inside and outside are counted for every
 tag name and class word that surrounds them, and every tag inside and outside. What is known of page markup in
-general enters as counts of ``PRIOR`` words, so pages of other make are read by the same scores.
+general enters as counts of ``PRIOR`` words or ``PRIOR_PART`` of all, and words of known boilerplate inside the mark do
+not speak for it, so pages of other make are read by the same scores.
 
 Null or empty pages give an empty text, as do pages without words. No page is cut. Broken markup is read as far as
 it goes: unclosed elements end with their parent, stray end tags are ignored. Rows are independent.
@@ -28,8 +29,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Labelled pages learned from at most, and the words that general knowledge counts for.
-LABELLED_PAGES, PRIOR = 2_000, 200
+#: Labelled pages learned from at most, and the words that general knowledge counts for, or that part of the counted
+#: words where it is more, so that a few pages do not outvote it.
+LABELLED_PAGES, PRIOR, PRIOR_PART = 2_000, 200, 0.05
 #: What a tag costs that was not seen, what it costs at most, and what a word costs in surroundings that are no content.
 USUAL_TAG, DEAREST_TAG, WORD_COST = 0.1, 0.5, 0.2
 #: What a word scores, what it gains inside a marked element, and what a step across the border of the marks costs.
@@ -40,6 +42,7 @@ BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hr html legend li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
+HEADINGS = frozenset("header h1 h2 h3 h4 h5 h6".split())
 EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BOILERPLATE = frozenset(
     "nav footer aside form dialog header ad ads advert adverts advertisement advertising adbox sponsor sponsored promo promotion "
@@ -121,14 +124,41 @@ def _marked(page: str) -> int:
     return sum(kind == "open" and stack[-1:] != [] and stack[-1][0] == what and what in ("article", "main") for kind, what, stack in _Reader(page).events())
 
 
+def _blocks_inside(stack: list) -> set[str]:
+    """The names of boilerplate that stand around the words here, below a marked element."""
+    within, found = False, set()
+    for name, features in stack:
+        if within:
+            found.update(f for f in features if f != "header" and f.lstrip(".") in BOILERPLATE)
+        within = within or name in ("article", "main")
+    return found
+
+
+def _wrappers(page: str) -> set[str]:
+    """Boilerplate names that stand around all marked words of a page but its headings, so they are none there."""
+    common: set[str] | None = None
+    for kind, what, stack in _Reader(page).events():
+        if kind == "text" and what.strip() and _inside(stack) and not any(name in HEADINGS for name, _ in stack):
+            common = _blocks_inside(stack) if common is None else common & _blocks_inside(stack)
+            if not common:
+                break
+    return common or set()
+
+
 def count_features(pages: list[str]) -> Counter:
-    """(feature, inside) to words, and ("<" + tag, inside) to tags, over pages with exactly one marked article."""
+    """(feature, inside) to words, and ("<" + tag, inside) to tags, over pages with exactly one marked article.
+
+    What stands in boilerplate inside the mark, such as comments or an advert, is counted neither way.
+    """
     counts: Counter = Counter()
     for page in pages:
         if not page or _marked(page) != 1:
             continue
+        wrappers = _wrappers(page)
         for kind, what, stack in _Reader(page).events():
             inside = _inside(stack)
+            if inside and _blocks_inside(stack) - wrappers:
+                continue
             if kind == "text":
                 n = len(what.split())
                 if n:
@@ -147,6 +177,7 @@ class Scores:
         features = {f for f, _ in counts if f[:1] != "<"}
         features |= BOILERPLATE | {"." + f for f in BOILERPLATE}
         self.against: dict[str, float] = {}
+        prior = max(PRIOR, PRIOR_PART * (counts.get(("", True), 0) + counts.get(("", False), 0)))
         # what stands around everything, such as a wrapper's class, says nothing
         usual = max(0.0, math.log((counts.get(("", False), 0) + 1) / (counts.get(("", True), 0) + 1)))
         for f in features:
@@ -154,7 +185,7 @@ class Scores:
             inside, outside = counts.get((f, True), 0), counts.get((f, False), 0)
             if plain in CONTENT or (f[:1] != "." and f not in BOILERPLATE):
                 continue  # a bare link or list may stand anywhere; what its tags cost is enough
-            outside += PRIOR * (plain in BOILERPLATE)
+            outside += prior * (plain in BOILERPLATE)
             self.against[f] = max(0.0, math.log((outside + 1) / (inside + 1)) - usual)
         words = {way: max(1, counts.get(("", way), 0)) for way in (True, False)}
         self.tags: dict[str, float] = {}

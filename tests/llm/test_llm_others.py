@@ -135,3 +135,15 @@ def test_article_goes_on_behind_a_long_aside():
         for block in (f"<aside>{text_of(aside, 'z')}</aside>", f'<div class="advert"><p>{text_of(aside, "z")}</p></div>', f"<aside>{links}</aside>"):
             page = f"<body><article><p>{text_of(before)}</p>{block}<p>{text_of(after, 'v')}</p></article></body>"
             assert html_extract.extract(page, LEARNED) == f"{text_of(before)}\n\n{text_of(after, 'v')}"
+
+
+def test_boilerplate_inside_the_mark_is_not_learned_as_content():
+    block = '<section class="comments"><p>{0}</p></section><div class="ad">{0}</div><div class="newsletter">{0}</div>'
+    page = "<body><main><h1>Title</h1><p>{1}</p>" + block + "</main></body>"
+    pages = [page.format(text_of(50, "z"), text_of(100)) for _ in range(40)]
+    assert html_extract.extract(pages[0], html_extract.Scores(html_extract.count_features(pages))) == "Title\n\n" + text_of(100)
+    wrapped = [f'<body><main><h1>Title</h1><div class="sidebar-wrap"><p>{text_of(100)}</p><aside>x y</aside></div></main></body>'] * 40
+    assert html_extract.extract(wrapped[0], html_extract.Scores(html_extract.count_features(wrapped))) == "Title\n\n" + text_of(100)
+    forms = [f"<body><form><main><p>{text_of(100)}</p></main></form></body>"] * 4 + [f"<body><main><p>{text_of(100)}</p></main></body>"] * 396
+    scores = html_extract.Scores(html_extract.count_features(forms))
+    assert html_extract.extract(f"<p>{text_of(100)}</p><form>{text_of(30, 'z')}</form>", scores) == text_of(100)

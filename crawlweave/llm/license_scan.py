@@ -1,6 +1,8 @@
 """Licence scans: a trained paragraph classifier, confirmed by comparison with templates.
 
-Paragraphs are the lines of a text. A multinomial logistic regression over sparse word n-grams (one and two words)
+Paragraphs are the lines of a text. A line is classified as a whole if it is short; a longer one by its sentences, and
+any by the places where at least ``AGREEMENT`` of a template's word pairs stand together, so that a notice is found
+whatever stands before and after it in its line. A multinomial logistic regression over sparse word n-grams (one and two words)
 names a family or ``unknown``. It is trained here, on templates with words dropped, replaced and added, and on
 paragraphs of the corpus as the unknown class. A temperature fitted on held-out rows calibrates the probabilities, and
 the acceptance threshold is the least that no held-out unknown paragraph passes. A prediction counts only if the
@@ -15,6 +17,7 @@ paragraphs, those of the documents with the least hashes; it is deterministic.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -56,8 +59,11 @@ NO_LICENCES = (
     "She copied the source code of the file.", "The city sells a fishing license for four dollars.",
 )
 COMMON = frozenset("a an and any are as at be by can for from in is it its may no not of on or that the this to under was with you".split())
+#: Words of a line that is classified as a whole, and words that a place has beside its template's on each side.
+SHORT_LINE, MARGIN = 40, 3
 UNKNOWN = "unknown"
 _WORD = re.compile(r"[a-z0-9]+")
+_SENTENCE = re.compile(r"(?<=[.!?;])\s+(?=[^\Wa-z0-9_])")
 
 
 def _words(paragraph: str) -> list[str]:
@@ -92,6 +98,11 @@ class Model:
 
     def __post_init__(self) -> None:
         self.templates = [(family, _pairs(_words(text))) for family, text in TEMPLATES]
+        self.lengths = [len(_words(text)) for _, text in TEMPLATES]
+        self.holders: dict[str, dict[str, list[int]]] = {}
+        for t, (_, pairs) in enumerate(self.templates):
+            for a, b in map(str.split, pairs):
+                self.holders.setdefault(a, {}).setdefault(b, []).append(t)
         self.anchors = {w for _, text in TEMPLATES for w in _words(text) if w not in COMMON}
 
     def agreement(self, found: list[str]) -> dict[str, float]:
@@ -104,24 +115,86 @@ class Model:
 
     def family(self, paragraph: str) -> str | None:
         """The licence family of a paragraph, or none."""
-        found = _words(paragraph)
+        return self._judged(_words(paragraph))[1]
+
+    def _judged(self, found: list[str]) -> tuple[float, str | None]:
+        """The best agreement and the licence family of words, or none."""
         if self.anchors.isdisjoint(found):
-            return None
+            return 0.0, None
         p = dict(zip(self.families, self.probabilities(found)))
         likely = max(p, key=p.get)
         if likely == UNKNOWN or p[likely] < self.threshold:
-            return None
+            return 0.0, None
         agree = self.agreement(found)
         best = max(agree, key=lambda f: (agree[f], p[f]))
-        return best if agree[best] >= AGREEMENT else None
+        return agree[best], best if agree[best] >= AGREEMENT else None
+
+    def _places(self, found: list[str]) -> set[tuple[int, int]]:
+        """Stretches of words that hold enough of one template's word pairs."""
+        hits: dict[int, list[tuple[int, str]]] = {}
+        for i in range(len(found) - 1):
+            after = self.holders.get(found[i])
+            if after:
+                for t in after.get(found[i + 1], ()):
+                    hits.setdefault(t, []).append((i, found[i + 1]))
+        places = set()
+        for t, at in hits.items():
+            least = AGREEMENT * len(self.templates[t][1])
+            reach, first, held = self.lengths[t] + 2 * MARGIN, 0, Counter()
+            groups: list[list[int]] = []
+            for i, b in at:
+                held[found[i], b] += 1
+                while i + 2 - at[first][0] > reach:
+                    gone = found[at[first][0]], at[first][1]
+                    held[gone] -= 1
+                    if not held[gone]:
+                        del held[gone]
+                    first += 1
+                if len(held) >= least:
+                    start, end = at[first][0], i + 2
+                    if groups and groups[-1][0] == start:
+                        groups[-1][1] = end
+                    else:
+                        groups.append([start, end])
+            places.update((max(0, a - MARGIN), min(len(found), b + MARGIN)) for a, b in groups)
+        return places
+
+    def families_in(self, line: str) -> list[str]:
+        """The licence families in one line, in order; where places overlap, the one that agrees best with a template."""
+        found = _words(line)
+        if self.anchors.isdisjoint(found):
+            return []
+        if len(found) <= SHORT_LINE:
+            family = self._judged(found)[1]
+            if family:
+                return [family]
+        spans = self._places(found)
+        if len(found) > SHORT_LINE:
+            spans.add((0, len(found)))
+            at = 0
+            for sentence in _SENTENCE.split(line):
+                n = len(_words(sentence))
+                spans.add((at, at + n))
+                at += n
+        judged = []
+        for a, b in spans:
+            agree, family = self._judged(found[a:b])
+            if family:
+                pairs = _pairs(found[a:b])
+                judged.append((-agree, -max(len(pairs & t) for f, t in self.templates if f == family), b - a, a, b, family))
+        chosen: list[tuple[int, int, str]] = []
+        for *_, a, b, family in sorted(judged):
+            if all(b <= c or d <= a for c, d, _ in chosen):
+                chosen.append((a, b, family))
+        return list(dict.fromkeys(family for _, _, family in sorted(chosen)))
 
     def scan(self, text: str | None) -> tuple[int, list[tuple[int, str]]]:
-        """Paragraphs that have a word, and (line, family) of those with a licence."""
+        """Paragraphs that have a word, and (line, family) of each licence in them."""
         lines = text.split("\n") if text else []
         n = sum(1 for line in lines if line.strip())
         if not text or self.anchors.isdisjoint(_words(text)):
             return n, []
-        return n, [(i, f) for i, f in enumerate(map(self.family, lines)) if f]
+        return n, [(i, f) for i, line in enumerate(lines) for f in self.families_in(line)]
 
 
 def train(background: list[str]) -> Model:
@@ -194,7 +267,7 @@ def learn(docs: DataFrame, text: str = "text") -> Model:
 
 
 def scan(text: str | Column, model: Model) -> Column:
-    """``n`` (paragraphs with a word) and ``found`` (line number and family of each licensed paragraph)."""
+    """``n`` (paragraphs with a word) and ``found`` (line number and family of each licence in a paragraph)."""
 
     @F.arrow_udf("struct<n:bigint,found:array<struct<line:bigint,family:string>>>")
     def run(texts: pa.Array) -> pa.Array:

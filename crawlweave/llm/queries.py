@@ -47,7 +47,7 @@ def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = docs.select("doc_id", license_scan.scan("text", license_scan.learn(docs)).alias("s"))
     return found.select(
-        "doc_id", F.col("s.n").alias("n_paragraphs"), F.size("s.found").cast("long").alias("n_licensed"),
+        "doc_id", F.col("s.n").alias("n_paragraphs"), F.size(F.array_distinct("s.found.line")).cast("long").alias("n_licensed"),
         F.array_join(F.array_sort(F.array_distinct("s.found.family")), ",").alias("families"),
     )
 

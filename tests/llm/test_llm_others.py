@@ -147,3 +147,15 @@ def test_boilerplate_inside_the_mark_is_not_learned_as_content():
     forms = [f"<body><form><main><p>{text_of(100)}</p></main></form></body>"] * 4 + [f"<body><main><p>{text_of(100)}</p></main></body>"] * 396
     scores = html_extract.Scores(html_extract.count_features(forms))
     assert html_extract.extract(f"<p>{text_of(100)}</p><form>{text_of(30, 'z')}</form>", scores) == text_of(100)
+
+
+def test_notices_inside_long_lines():
+    draw = random.Random(5)
+    prose = lambda n: " ".join(f"n{draw.randrange(300)}" for _ in range(n))
+    model = license_scan.train([prose(draw.randrange(3, 30)) for _ in range(300)])
+    for n in (20, 40, 80, 150):
+        for family, text in license_scan.TEMPLATES:
+            assert model.scan(f"{prose(n)} {text} {prose(n)}") == (1, [(0, family)]), (n, text)
+    both = f"{prose(100)} Released under the MIT License. {prose(100)} Licensed under CC BY 4.0. {prose(100)}"
+    assert model.scan(both) == (1, [(0, "MIT"), (0, "CC-BY")])
+    assert model.scan(prose(300) + " ".join(license_scan.NO_LICENCES) + prose(300)) == (1, [])

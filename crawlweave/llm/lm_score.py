@@ -88,7 +88,7 @@ def _send(order: int, buckets: int):
         distinct, counts = _distinct(_grams(texts, order)[1])
         bounds = _bounds(distinct, buckets)
         rows = [(b, int(bounds[b]), int(bounds[b + 1])) for b in range(buckets) if bounds[b] < bounds[b + 1]]
-        counts = counts.astype(np.int32)
+        counts = counts.astype(np.int64)
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([b for b, _, _ in rows], pa.int32()), pa.array([block] * len(rows), pa.int64()),
@@ -116,11 +116,12 @@ def _send(order: int, buckets: int):
 def _count(table: pa.Table) -> pa.Table:
     """One bucket: what the other blocks have of each n-gram that a block sent."""
     grams = [_values(g, np.uint64) for g in table.column("grams").to_pylist()]
-    counts = [_values(c, np.int32) for c in table.column("counts").to_pylist()]
+    counts = [_values(c, np.int64) for c in table.column("counts").to_pylist()]
     known, where = np.unique(np.concatenate(grams), return_inverse=True)
     own = np.concatenate(counts)
-    total = np.bincount(where, weights=own, minlength=len(known)).astype(np.int64)
-    others = np.minimum(total[where] - own, 2**31 - 1).astype(np.int32)
+    total = np.zeros(len(known), np.int64)
+    np.add.at(total, where, own)
+    others = total[where] - own
     ends = np.cumsum([len(g) for g in grams])
     back = [_planes(part) for part in np.split(others, ends[:-1])]
     return pa.Table.from_arrays([table.column("block"), table.column("bucket"), pa.array(back, pa.binary())], schema=_BACK)
@@ -133,7 +134,7 @@ def _score(order: int, backoff: float, total_words: int, fields: pa.Schema):
         lengths, grams = _grams(docs.column("text").to_pylist(), order)
         distinct, counts = _distinct(grams)
         back = back.sort_by("bucket")
-        others = np.concatenate([np.zeros(0, np.int32), *[_values(o, np.int32) for o in back.column("others").to_pylist()]]).astype(np.int64)
+        others = np.concatenate([np.zeros(0, np.int64), *[_values(o, np.int64) for o in back.column("others").to_pylist()]])
         total = np.append(counts + others, 0)  # the last stands for no n-gram
         doc = np.repeat(np.arange(len(lengths)), lengths)
         elsewhere = []  # of the n-gram that ends at each word, in other documents

@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from crawlweave.llm import html_extract, license_scan, lm_score, queries, sharding
@@ -77,6 +78,14 @@ def test_registered_scores_use_evidence_of_three_words(spark, tmp_path):
     assert math.isclose(got[1], math.log(1 / 6))  # with word pairs only, c would be one of two words after b
 
 
+def test_counts_pass_32_bits():
+    packed = lambda values, kind: lm_score._planes(np.array(values, kind))
+    grams, counts = [packed([5, 9], np.uint64)] * 2, [packed([3_000_000_000, 1], np.int64), packed([4_000_000_001, 2], np.int64)]
+    back = lm_score._count(pa.Table.from_arrays([pa.array([0, 0], pa.int32()), pa.array([0, 1]), pa.array(grams), pa.array(counts)], schema=lm_score._SENT))
+    others = [lm_score._values(o, np.int64).tolist() for o in back.column("others").to_pylist()]
+    assert others == [[4_000_000_001, 2], [3_000_000_000, 1]]
+
+
 def test_licences(spark):
     draw = random.Random(8)
     noise = [" ".join(f"n{draw.randrange(300)}" for _ in range(draw.randrange(3, 30))) for _ in range(300)]

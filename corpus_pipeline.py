@@ -29,10 +29,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near duplicates; rows without an identifier all stay."""
-    kept = minhash.near_duplicates(docs.select("doc_id", "text")).where("kept and doc_id is not null").select("doc_id").distinct()
-    one = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one.unionByName(docs.where("doc_id is null"))
+    """One row of each group of near duplicates, the one with the least identifier; rows without words all stay.
+
+    Rows are told apart by a key of their own, so missing and repeated identifiers neither keep copies nor lose texts.
+    """
+    keyed = stage(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("key")), "keyed")
+    groups = minhash.near_duplicates(keyed.select("key", F.col("row.text").alias("text")), "key").select(F.col("doc_id").alias("key"), "component_id")
+    rank = F.struct(F.col("row.doc_id").isNull().alias("none"), F.col("row.doc_id").alias("id"), F.xxhash64("row.text").alias("h"), "key")
+    best = keyed.select("key", rank.alias("rank")).join(groups, "key").groupBy("component_id").agg(F.min("rank").alias("rank"))
+    return keyed.join(best.select("rank.key"), "key", "left_semi").select("row.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

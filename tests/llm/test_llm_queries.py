@@ -40,3 +40,11 @@ def test_stages_keep_columns_and_gaps(spark, sf):
         assert out.columns == docs.columns
         assert out.count() <= docs.count()
     assert corpus_pipeline.near_duplicates(spark, docs, sf).where("doc_id is null").count() == 2
+
+
+def test_near_duplicates_without_or_with_repeated_identifiers(spark, sf):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(None, a), (None, a + " z"), (None, b), (5, b), (7, c), (7, a + " y"), (9, c), (None, None), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, sf).collect()]
+    assert sorted(got, key=str) == sorted([(7, a + " y"), (5, b), (7, c), (None, None), (None, None)], key=str)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlweave.llm import bpe_codec, decontaminate, html_extract, license_scan, lm_score, minhash, quality_rules, sharding, token_count, url_filter
+from crawlweave.llm import bpe_codec, decontaminate, html_extract, license_scan, lm_score, minhash, quality_rules, sharding, token_count, url_filter, vector_codes
 from crawlweave.llm.common import table
 
 RULES = (
@@ -90,14 +90,44 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.compress(table(spark, folder, "embeddings").select("vec_id", "embedding", "label"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_url_filter, op2_lm_score, op3_bpe_roundtrip, op4_sharding, op5_license_scan, op6_token_count, op7_minhash,
-        op8_html_extract, op9_decontamination, op10_quality_rules,
+        op8_html_extract, op9_decontamination, op10_quality_rules, op12_vector_codes,
     )
 }
 
+
+def _lloyd_sql() -> str:
+    """Four rounds written out: nearest entries ``a``, codebooks ``c``; sums and floors over whole numbers."""
+    near = """a{r} as materialized (
+  select id, k, part, min(d).e as e, min(d).d as d from (
+    select id, p.k, p.part, {{'d': list_sum(list_transform(list_zip(part, c), lambda t: (t[1] - t[2]) * (t[1] - t[2]))), 'e': e}} as d
+    from p join c{b} as c on p.k = c.k) group by id, k, part)"""
+    mean = """c{r} as materialized (
+  select b.k, b.e, coalesce(n.c, b.c) as c from c{b} as b left join (
+    select k, e, list(((s - ((s % n) + n) % n) // n) order by i) as c from (
+      select k, e, i, sum(part[i])::bigint as s, count(*) as n from (select k, e, part, unnest(range(1, len(part) + 1)) as i from a{r}) group by k, e, i)
+    group by k, e) as n on b.k = n.k and b.e = n.e)"""
+    rounds = ",\n".join(x.format(r=r, b=r - 1) for r in range(1, 5) for x in (near, mean))
+    return f"""
+with q as (select vec_id as id, label, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as q from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+p as materialized (select id, k, list_slice(q, k * len(q) // 4 + 1, (k + 1) * len(q) // 4) as part from q, range(4) as t(k)),
+c0 as (select k, row_number() over (partition by k order by id) - 1 as e, part as c from p qualify e < 256),
+{rounds},
+{near.format(r=5, b=4)},
+h as (select sha256(string_agg(array_to_string(c, ','), ',' order by k, e)) as h from c4),
+v as (select id, string_agg(lower(printf('%02x', e)), '' order by k) as code, sum(d)::bigint as error from a5 group by id)
+select id as vec_id, code, error, sum(error) over (partition by label)::bigint as label_error, h as codebooks_sha256
+from v join q using (id), h"""
+
+
 _HOST = "translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _PATH = "coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '')"
 _SPLIT = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -122,4 +152,5 @@ its as (select n, count(distinct item_id) as n_items, string_agg(distinct item_i
 select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
        sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit > 0 and 20 * n_hit >= len(w), false) as contaminated
 from d left join cov using (n) left join its using (n)""",
+    "op12_vector_codes": _lloyd_sql(),
 }

@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlweave.llm import bpe_codec, decontaminate, html_extract, license_scan, lm_score, minhash, quality_rules, sharding, token_count, url_filter, vector_codes
+from crawlweave.llm import (
+    bpe_codec, decontaminate, divergence, html_extract, lattice, license_scan, lm_score, minhash, quality_rules, sharding,
+    token_count, url_filter, vector_codes,
+)
 from crawlweave.llm.common import table
 
 RULES = (
@@ -90,15 +93,24 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents").select("text", "lang", "source"))
+
+
 def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     return vector_codes.compress(table(spark, folder, "embeddings").select("vec_id", "embedding", "label"))
 
 
+def op13_lattice_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return lattice.near_duplicates(table(spark, folder, "embeddings").select("vec_id", "embedding", "label"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_url_filter, op2_lm_score, op3_bpe_roundtrip, op4_sharding, op5_license_scan, op6_token_count, op7_minhash,
-        op8_html_extract, op9_decontamination, op10_quality_rules, op12_vector_codes,
+        op8_html_extract, op9_decontamination, op10_quality_rules, op11_source_divergence, op12_vector_codes,
+        op13_lattice_dedup,
     )
 }
 
@@ -153,4 +165,35 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, c
        sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit > 0 and 20 * n_hit >= len(w), false) as contaminated
 from d left join cov using (n) left join its using (n)""",
     "op12_vector_codes": _lloyd_sql(),
+    "op11_source_divergence": r"""
+with d as (select row_number() over () as n, coalesce(lang, '') as lang, coalesce(source, '') as source,
+  coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+'), []) as w from documents),
+o as materialized (select n, lang, source, unnest(w) as t from d),
+kept as materialized (select lang, t from o group by lang, t having count(distinct n) >= 3),
+v as (select lang, count(*)::hugeint as v from kept group by lang),
+c as materialized (select lang, source, t, count(*)::hugeint as c from o join kept using (lang, t) group by lang, source, t),
+g as materialized (select lang, source, coalesce(s, 0)::hugeint as s from (select distinct lang, source from d) left join
+  (select lang, source, sum(c) as s from c group by lang, source) using (lang, source)),
+p as materialized (select lang, source, t, coalesce(c, 0) as c, 1 + 1000000000::hugeint * (coalesce(c, 0) + 1) // (s + v) as p
+  from g join v using (lang) join kept using (lang) left join c using (lang, source, t)),
+q as (select lang, t, 1 + 1000000000::hugeint * (lc + 1) // (ls + v) as q from (select lang, t, sum(c)::hugeint as lc from c group by lang, t)
+  join (select lang, sum(s)::hugeint as ls from g group by lang) using (lang) join v using (lang)),
+pairs as (select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // b.p) as value
+  from p as a join p as b on a.lang = b.lang and a.t = b.t and a.source <> b.source group by a.lang, a.source, b.source),
+every as (select a.lang, a.source, b.source as item, coalesce(value, 0)::bigint as value from g as a join g as b on a.lang = b.lang and a.source <> b.source
+  left join pairs on pairs.lang = a.lang and pairs.source = a.source and pairs.item = b.source),
+strays as (select lang, source, t as item, ((p - q) * (p - q) // q)::bigint as value from p join q using (lang, t) where c > 0 and p > q)
+select lang, source, 'pair' as part, item, value, row_number() over (partition by lang, source order by value desc, encode(item))::int as rank from every
+union all
+select lang, source, 'term', item, value, (row_number() over (partition by lang, source order by value desc, encode(item)))::int as rank from strays
+qualify rank <= 200""",
+    "op13_lattice_dedup": """
+with recursive v as materialized (select vec_id, label, embedding::double[] as e from embeddings where label is not null
+  and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links as materialized (select a.vec_id as x, b.vec_id as y from v as a join v as b on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+  where list_cosine_similarity(a.e, b.e) >= 0.93),
+reach as (select vec_id as x, vec_id as y from embeddings union select r.x, l.y from reach as r join links as l on r.y = l.x),
+found as (select x, count(*) as n from links group by x)
+select vec_id, coalesce(n, 0)::bigint as n_links, c as component_id, vec_id = c as kept
+from embeddings left join found on x = vec_id join (select x as id, min(y) as c from reach group by x) on id = vec_id""",
 }

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlweave.functions import urls
 from crawlweave.functions.text import trim_controls
+from crawlweave.operators.asof import asof_join
 from crawlweave.operators.skew import dimension_join
 from crawlweave.operators.spacing import greedy_spacing
 
@@ -42,8 +45,8 @@ def _delay_ms(text: Column) -> Column:
     return F.when(seconds.isNotNull(), whole)
 
 
-def parse_robots(robots: DataFrame, agent: str) -> DataFrame:
-    """One row per base address: ``disallows``, ``allows`` (longest first) and ``crawl_delay_ms``.
+def parse_robots(robots: DataFrame, agent: str, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per rules file: ``base_url``, ``disallows``, ``allows`` (longest first), ``crawl_delay_ms`` and ``keep``.
 
     A rules file is one row, so its sections are split in place: a section runs from one
     ``User-agent`` line to the next, which is exactly the reach of that line. Text before the first
@@ -84,6 +87,7 @@ def parse_robots(robots: DataFrame, agent: str) -> DataFrame:
         paths("disallow").alias("disallows"),
         paths("allow").alias("allows"),
         F.coalesce(F.try_element_at(delays, F.lit(-1)), F.lit(0).cast("bigint")).alias("crawl_delay_ms"),
+        *keep,
     )
 
 
@@ -102,6 +106,12 @@ def _longest(rules: str, path: Column) -> Column:
     return F.coalesce(F.length(F.try_element_at(F.filter(rules, lambda r: path.startswith(r)), F.lit(1))), F.lit(-1))
 
 
+def _verdict(path: Column) -> Column:
+    """Whether the rules in ``allows`` and ``disallows`` (null: no file) let a decoded path through."""
+    best_allow, best_disallow = _longest("allows", path), _longest("disallows", path)
+    return F.when(path.isNull(), False).otherwise(F.when(F.col("allows").isNull(), True).otherwise(best_allow >= best_disallow))
+
+
 def match_robots(pages: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
     """Add ``base_url``, ``allowed`` and ``crawl_delay_ms`` to every row.
 
@@ -110,12 +120,9 @@ def match_robots(pages: DataFrame, rules: DataFrame, url: str = "url") -> DataFr
     """
     parsed = pages.withColumns({"base_url": urls.base_url(F.col(url)), "__path": urls.path(F.col(url))})
     joined = dimension_join(parsed, rules, "base_url", url)
-    path = F.col("__path")
-    best_allow, best_disallow = _longest("allows", path), _longest("disallows", path)
-    verdict = F.when(F.col("allows").isNull(), True).otherwise(best_allow >= best_disallow)
     return joined.withColumns(
         {
-            "allowed": F.when(path.isNull(), False).otherwise(verdict),
+            "allowed": _verdict(F.col("__path")),
             "crawl_delay_ms": F.coalesce("crawl_delay_ms", F.lit(0).cast("bigint")),
         }
     ).drop("__path", "allows", "disallows")
@@ -129,3 +136,22 @@ def refresh_plan(dispatches: DataFrame, clock: str, order: str, ttl_ms: int = CA
     """
     spaced = greedy_spacing(dispatches, ["base_url"], clock, F.lit(ttl_ms).cast("bigint"), order)
     return spaced.withColumnsRenamed({"granted": "refetched", "last_grant": "rules_fetched_ms"}).drop("wait")
+
+
+def rules_in_force(
+    dispatches: DataFrame, versions: DataFrame, agent: str, clock: str, order: str, ttl_ms: int = CACHE_TTL_MS, url: str = "url"
+) -> DataFrame:
+    """Dispatches judged by the rules file they actually use: the cached copy, as it was served when it was fetched.
+
+    ``versions`` has ``base_url``, ``served_ms`` (from when on), ``status`` and ``body``. Adds ``base_url``, ``refetched``,
+    ``rules_fetched_ms``, ``served_ms`` of the version in the cache, ``allowed`` and ``crawl_delay_ms``. Before its first version
+    a site has no rules. A version that is served after the fetch takes effect with the next fetch only.
+    """
+    rows = dispatches.withColumn("base_url", urls.base_url(F.col(url)))
+    plan = refresh_plan(rows, clock, order, ttl_ms)
+    payload = ["disallows", "allows", "crawl_delay_ms"]
+    parsed = parse_robots(versions, agent, keep=["served_ms"])
+    found = asof_join(plan, parsed, ["base_url"], "rules_fetched_ms", "served_ms", payload)
+    return found.withColumns(
+        {"allowed": _verdict(urls.path(F.col(url))), "crawl_delay_ms": F.coalesce("crawl_delay_ms", F.lit(0).cast("bigint"))}
+    ).drop("disallows", "allows")

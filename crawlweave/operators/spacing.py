@@ -1,13 +1,14 @@
-"""Greedy minimum-gap selection per key: the host throttle, the rules cache and the capped seen set.
+"""Greedy minimum-gap selection per key: the host throttle and the rules cache.
 
 In key order a row is granted when its clock is at least ``gap`` past the last granted clock. That
 is a serial rule, but the only thing that passes from one stretch of time to the next is the last
 granted clock. So every (key, time bucket) is summarised on its own as a step function "last grant
-before the bucket -> last grant after it", the few step functions of a key are chained, and every
-bucket is then resolved on its own. Rows of one clock tick collapse to one point per gap first, so
-the size of a bucket is bounded by its width and not by the traffic.
+before the bucket -> last grant after it". Step functions compose, and composing is associative: blocks of
+neighbouring buckets become one step function each, level by level, and the last grants are handed down the same way.
+Every bucket is then resolved on its own. Rows of one clock tick collapse to one point per gap first, so
+the size of a bucket is bounded by its width and not by the traffic, and no task sees all buckets of a key.
 
-All three passes stream over sorted partitions and handle many small groups per array operation.
+All passes stream over sorted partitions and handle many small groups per array operation.
 """
 
 from __future__ import annotations
@@ -19,8 +20,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from crawlweave.session import stage
+
 # One bucket covers this many clock units (an hour of milliseconds).
 BUCKET_WIDTH = 3_600_000
+# Neighbouring step functions that are composed into one.
+FAN = 64
 _NEVER = -(1 << 62)
 
 
@@ -116,22 +121,123 @@ def _summaries(pdf: pd.DataFrame, width: int) -> pd.DataFrame:
     )
 
 
-def _chain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Last grant before each bucket, from steps sorted by key, bucket and ``upto``."""
-    key = bucket = None
-    last = entry = _NEVER
-    moved = False
-    for pdf in batches:
-        out: list[tuple[str, int, int]] = []
-        for k, b, upto, leaves in pdf[["key", "bucket", "upto", "leaves"]].itertuples(index=False, name=None):
-            if k != key:
-                key, bucket, last = k, None, _NEVER
-            if b != bucket:
-                bucket, entry, moved = b, last, False
-                out.append((k, b, entry))
-            if not moved and upto >= entry:
-                last, moved = leaves, True
-        yield pd.DataFrame(out, columns=["key", "bucket", "entry"])
+class _Slots:
+    """Step functions of many blocks: each block has up to ``FAN`` parts in order, a slot holds the steps of one part."""
+
+    def __init__(self, pdf: pd.DataFrame):
+        self.starts = _group_starts(pdf)
+        part = pdf["part"].to_numpy(np.int64)
+        n = len(pdf)
+        fresh = np.append(True, part[1:] != part[:-1])
+        fresh[self.starts] = True
+        self.first = np.flatnonzero(fresh)  # of each slot, its first step
+        self.end = np.append(self.first[1:], n)
+        block = np.repeat(np.arange(len(self.starts)), np.diff(np.append(self.starts, n)))
+        self.block = block[self.first]
+        self.opening = np.searchsorted(self.block, np.arange(len(self.starts)))  # of each block, its first slot
+        self.length = np.bincount(self.block, minlength=len(self.starts))
+        self.upto, self.leaves = pdf["upto"].to_numpy(np.int64), pdf["leaves"].to_numpy(np.int64)
+        # all steps on one axis: slot after slot, clocks counted from just below the least step of the block
+        self.base = np.minimum.reduceat(self.upto, self.starts) - 1
+        top = np.maximum(np.maximum.reduceat(self.upto, self.starts), np.maximum.reduceat(self.leaves, self.starts))
+        self.span = int((top - self.base).max()) + 2
+        slot = np.repeat(np.arange(len(self.first)), self.end - self.first)
+        self.axis = slot * self.span + (self.upto - self.base[block])
+
+    def walk(self, block: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For walkers that enter ``block`` with a last grant: (walker, slot, grant before it) of every part, and the grant at the end.
+
+        All walkers take their next part at the same time, so there are at most ``FAN`` steps of whole arrays.
+        """
+        last = last.copy()
+        seen = []
+        for turn in range(int(self.length.max(initial=0))):
+            walker = np.flatnonzero(self.length[block] > turn)
+            slot, at = self.opening[block[walker]] + turn, last[walker]
+            seen.append((walker, slot, at))
+            place = slot * self.span + np.clip(at - self.base[block[walker]], 0, self.span - 1)
+            step = np.searchsorted(self.axis, place, side="left")
+            moves = step < self.end[slot]
+            last[walker[moves]] = self.leaves[step[moves]]
+        return (*(np.concatenate(x) for x in zip(*seen, strict=True)), last)
+
+
+def _composed(pdf: pd.DataFrame, width: int) -> pd.DataFrame:
+    """One step function per block from those of its parts; ``width`` is the clock width of a block.
+
+    The function changes only where some part's does, so it is known from one walker for each step that a grant before
+    the block can reach, and one beyond.
+    """
+    p = _Slots(pdf)
+    block = np.repeat(np.arange(len(p.starts)), np.diff(np.append(p.starts, len(pdf))))
+    opens_at = pdf["bucket"].to_numpy(np.int64)[p.starts] * width
+    order = np.lexsort((p.upto, block))
+    block, upto = block[order], p.upto[order]
+    distinct = np.append(True, (block[1:] != block[:-1]) | (upto[1:] != upto[:-1]))
+    block, upto = block[distinct], upto[distinct]
+    needed = np.append(True, (block[1:] != block[:-1]) | (upto[:-1] < opens_at[block[:-1]] - 1))
+    block, upto = block[needed], upto[needed]
+    *_, leaves = p.walk(block, upto)
+    end_of_run = np.append((block[1:] != block[:-1]) | (leaves[1:] != leaves[:-1]), True)
+    rows = pdf.iloc[p.starts[block[end_of_run]]]
+    return pd.DataFrame(
+        {"key": rows["key"].to_numpy(), "bucket": rows["bucket"].to_numpy(), "upto": upto[end_of_run], "leaves": leaves[end_of_run]}
+    )
+
+
+def _entered(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Last grant before each part of a block; a block's own last grant is in ``entry`` of its first row, which has no step."""
+    heads = pdf["part"].isna().to_numpy()
+    given = pdf.loc[heads, ["key", "bucket", "entry"]]
+    pdf = pdf[~heads]
+    p = _Slots(pdf)
+    first = pdf.iloc[p.starts]
+    entry = first[["key", "bucket"]].merge(given, "left", ["key", "bucket"])["entry"].fillna(_NEVER).astype("int64")
+    _, slot, before, _ = p.walk(np.arange(len(p.starts)), entry.to_numpy())
+    rows = pdf.iloc[p.first[slot]]
+    return pd.DataFrame({"key": rows["key"].to_numpy(), "bucket": rows["part"].to_numpy(np.int64), "entry": before})
+
+
+def _entries(steps: DataFrame, width: int) -> DataFrame:
+    """Last grant before each bucket (``key``, ``bucket``, ``entry``).
+
+    A scan in parallel: ``FAN`` neighbouring step functions at a time are composed into one, level by level, until no
+    key has more than ``FAN``. Then the last grants are handed down, level by level. At every level a block is a group of
+    its own, so no task needs all buckets of a key, however long its history is.
+    """
+    per_key = lambda df: df.groupBy("key").agg(F.count_distinct("bucket").alias("n")).agg(F.max("n")).first()[0] or 0
+    block = F.floor(F.col("bucket") / FAN).cast("bigint")
+    levels, span = [stage(steps, "steps")], width
+
+    def blocks_of(df: DataFrame, above: Column) -> DataFrame:
+        return df.select("key", above.alias("bucket"), F.col("bucket").alias("part"), "upto", "leaves")
+
+    def composing(span: int):
+        def compose(batches):
+            for pdf in _whole_groups(batches):
+                yield _composed(pdf, span)
+
+        return compose
+
+    while per_key(levels[-1]) > FAN:
+        span *= FAN
+        parts = blocks_of(levels[-1], block).repartition("key", "bucket").sortWithinPartitions("key", "bucket", "part", "upto")
+        levels.append(stage(parts.mapInPandas(composing(span), "key string, bucket bigint, upto bigint, leaves bigint"), "steps"))
+
+    def enter(batches):
+        for pdf in _whole_groups(batches):
+            if pdf["part"].notna().any():
+                yield _entered(pdf)
+
+    entries, above = None, F.lit(0).cast("bigint")
+    for level in reversed(levels):
+        rows = blocks_of(level, above).withColumn("entry", F.lit(None).cast("bigint"))
+        if entries is not None:
+            rows = rows.unionByName(entries, allowMissingColumns=True)
+        rows = rows.repartition("key", "bucket").sortWithinPartitions("key", "bucket", "part", "upto")
+        entries = rows.mapInPandas(enter, "key string, bucket bigint, entry bigint")
+        above = block
+    return entries
 
 
 def _resolve(pdf: pd.DataFrame, width: int) -> pd.DataFrame:
@@ -199,12 +305,7 @@ def greedy_spacing(
         .sortWithinPartitions("key", "bucket", "clock", "tie")
         .mapInPandas(summarise, "key string, bucket bigint, upto bigint, leaves bigint")
     )
-    # a handful of rows per bucket: the traffic is gone, only the number of buckets counts
-    entries = (
-        steps.repartition("key")
-        .sortWithinPartitions("key", "bucket", "upto")
-        .mapInPandas(_chain, "key string, bucket bigint, entry bigint")
-    )
+    entries = _entries(steps, width)
     zero = F.lit(0).cast("bigint")
     heads = entries.select("key", "bucket", F.col("entry").alias("clock"), zero.alias("gap"), zero.alias("tie"))
     resolved = (

@@ -23,7 +23,7 @@ from crawlweave.plans import inputs
 from crawlweave.plans.inputs import AGENT, with_ctes
 from crawlweave.session import new_path, pin, stage
 from crawlweave.sources import tables, topics
-from crawlweave.streaming import feed
+from crawlweave.streaming import feed, gate
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -277,6 +277,27 @@ def robots_refresh(spark, sf):
     return plan.select("seq", "base_url", "t_ms", "refetched", "rules_fetched_ms")
 
 
+# the rules that a dispatch uses: those of its cached copy, as they were served at the time of the fetch
+_IN_FORCE_SQL = _greedy_sql("(select *, 'http://' || host as base_url from crawl_log)", "base_url", str(robots.CACHE_TTL_MS)) + """,
+    used as (
+        select s.seq, s.base_url, s.url, s.t_ms, s.granted, s.last_grant, v.served_ms, v.file,
+               regexp_extract(s.url, '^https?://[^/?#]+([^?#]*)', 1) as path
+        from spaced s asof left join served_rules v on s.base_url = v.base_url and s.last_grant >= v.served_ms),
+    judged as (
+        select u.seq, u.base_url, u.t_ms, u.granted as refetched, u.last_grant as rules_fetched_ms, u.served_ms,
+               cast(case when u.file = 0 then 1000 else 0 end as bigint) as crawl_delay_ms,
+               coalesce(max(length(p.path)) filter (where p.kind = 'allow'), -1)
+                 >= coalesce(max(length(p.path)) filter (where p.kind = 'disallow'), -1) as allowed
+        from used u left join served_paths p on p.file = u.file and starts_with(u.path, p.path) group by all)"""
+
+
+@query("rules_in_force", with_ctes("select * from judged", "crawl_log", "served_rules", "served_paths", recursive=_IN_FORCE_SQL))
+def rules_in_force(spark, sf):
+    log = inputs.crawl_log(spark, sf).select("seq", "url", "t_ms")
+    used = robots.rules_in_force(log, inputs.served_rules(spark, sf), AGENT, "t_ms", "seq")
+    return used.select("seq", "base_url", "t_ms", "refetched", "rules_fetched_ms", "served_ms", "crawl_delay_ms", "allowed")
+
+
 # ---------------------------------------------------------------- fetches
 
 
@@ -704,11 +725,18 @@ def _stream(spark, sf) -> DataFrame:
     return inputs.crawl_log_of(feed.file_feed(spark, sf, tables.EVENTS_SCHEMA, "events.parquet"))
 
 
-def _late_stream(spark, sf) -> DataFrame:
-    """The same events over several micro-batches, each of which reaches back over the whole time."""
+def _late_stream(spark, sf, closed: bool = False) -> DataFrame:
+    """The same events over several micro-batches, each of which reaches back over the whole time.
+
+    ``closed``: a last micro-batch holds a tick, one event long after all others with nothing but its time.
+    """
     path = new_path(spark, "late-events")
     for part in (2, 0, 3, 1):
         inputs.events(spark, sf).where(F.col("event_id") % 4 == part).write.mode("append").parquet(path)
+    if closed:
+        nothing = [F.lit(None).cast(kind).alias(name) for name, kind in inputs.events(spark, sf).dtypes if name != "ts"]
+        tick = F.lit("9000-01-01").cast("timestamp_ntz").alias("ts")
+        spark.range(1).select(*nothing, tick).write.mode("append").parquet(path)
     return inputs.crawl_log_of(feed.file_feed(spark, path, tables.EVENTS_SCHEMA, "*.parquet", files_per_trigger=1))
 
 
@@ -746,12 +774,42 @@ def stream_last_n(spark, sf):
     return feed.keep_last(_late_stream(spark, sf).select("seq", "depth", "url"), "seq", LAST_N)
 
 
+def _queue_sql(source: str, gap: str) -> str:
+    """First come, first served: a request runs at the later of its clock and the run before it plus its gap, row by row."""
+    return f"""
+    turns as (select *, {gap} as gap, row_number() over (partition by host order by t_ms, seq) as turn from {source}),
+    queued as (
+        select turns.*, t_ms as granted_ms from turns where turn = 1
+        union all
+        select t.*, greatest(t.t_ms, s.granted_ms + t.gap) from queued s join turns t on t.host = s.host and t.turn = s.turn + 1)"""
+
+
+# a host is asked faster than it may be, so that requests pile up and run minutes later
+_BURST_SQL = "(select * replace (1706745600000 + (t_ms - 1706745600000) // 2000 as t_ms) from crawl_log)"
+
+
+def _burst(log: DataFrame) -> DataFrame:
+    clock = F.lit(1706745600000) + F.expr("(t_ms - 1706745600000) div 2000")
+    gap = F.when(F.col("depth") % 3 == 0, 2 * HOST_DELAY_MS).otherwise(HOST_DELAY_MS).cast("bigint")
+    return log.select("seq", "host", clock.cast("bigint").alias("t_ms"), gap.alias("gap"))
+
+
+@query("dispatch_times", with_ctes(
+    "select seq, host, t_ms, granted_ms from queued", "crawl_log", recursive=_queue_sql(_BURST_SQL, _DELAY_SQL)))
+def dispatch_times(spark, sf):
+    """The queued requests of a log with the time at which each runs."""
+    burst = _burst(inputs.crawl_log(spark, sf))
+    return politeness.dispatch_times(burst, "t_ms", F.col("gap"), "seq").drop("gap")
+
+
 @query("stream_throttle", with_ctes(
-    "select seq, host, t_ms, granted, last_grant, wait from spaced", "crawl_log",
-    recursive=_greedy_sql("crawl_log", "host", str(HOST_DELAY_MS))))
+    "select seq, host, t_ms, granted_ms, granted_ms - t_ms as waited_ms from queued", "crawl_log",
+    recursive=_queue_sql(_BURST_SQL, _DELAY_SQL)))
 def stream_throttle(spark, sf):
-    rows = _stream(spark, sf).select("seq", "host", "t_ms", F.lit(HOST_DELAY_MS).cast("bigint").alias("gap"))
-    return feed.spaced_feed(rows, "host", "t_ms", "gap", "seq").drop("gap")
+    """Requests over late micro-batches, each granted once and with its time; a tick closes the feed."""
+    rows = _burst(_late_stream(spark, sf, closed=True))
+    granted = gate.gated_feed(rows, "host", "t_ms", "gap", "seq", lateness="400 days", longest_ms=2 * HOST_DELAY_MS).all()
+    return granted.where("seq is not null").select("seq", "host", "t_ms", "granted_ms", (F.col("granted_ms") - F.col("t_ms")).alias("waited_ms"))
 
 
 @query("stream_robots", with_ctes(

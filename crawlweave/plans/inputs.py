@@ -26,6 +26,13 @@ RULES_FILES = (
     ("Disallow: /orphan", "User-agent: *", "Disallow: /de/", "Allow: /de/", "Crawl-delay: soon"),
 )
 
+# Rules files that a site serves one after the other, picked by the number of the event that brings them.
+SERVED_FILES = (
+    ("User-agent: *", "Disallow: /click/", "Allow: /click/1", "Crawl-delay: 1"),
+    ("User-agent: crawlbot", "Disallow: /view/", "Disallow: /error/3"),
+    ("User-agent: *", "Allow: /", "Disallow: /purchase/", "Disallow: /view/4", "Allow: /view/41"),
+)
+
 # Addresses of the check, picked by the length of the host; length 7 does not resolve.
 ADDRESSES = (
     ("93.184.216.34",), ("127.0.0.1",), ("10.1.2.3",), ("172.31.255.1", "8.8.8.8"), ("172.32.0.1",),
@@ -96,6 +103,15 @@ def robots(spark: SparkSession, sf: str) -> DataFrame:
     return base.select("base_url", F.when(size % 7 == 0, 404).otherwise(200).alias("status"), body.alias("body"))
 
 
+def served_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Rules files over time: every sign-up brings its site a new one; every fifth answers 404."""
+    log = events(spark, sf).where("event_type = 'signup'")
+    body = F.element_at(F.array(*[F.lit("\n".join(lines)) for lines in SERVED_FILES]), (F.col("event_id") % 3 + 1).cast("int"))
+    base = F.concat(F.lit("http://h"), (F.col("user_id") % 20).cast("string"), F.lit(".example.com"))
+    served = log.select(base.alias("base_url"), epoch_ms(F.col("ts")).alias("served_ms"), "event_id", body.alias("body"))
+    return served.select("base_url", "served_ms", F.when(F.col("event_id") % 5 == 0, 404).otherwise(200).alias("status"), "body")
+
+
 def fetch_attempts(spark: SparkSession, sf: str) -> DataFrame:
     attempts = pages(spark, sf).select("page_id", "url", F.explode(F.array(*[F.lit(i) for i in (1, 2, 3)])).alias("attempt"))
     pick = (F.col("page_id") * 7 + F.col("attempt") * 3) % 10
@@ -217,9 +233,9 @@ def dispatches(spark: SparkSession, sf: str) -> DataFrame:
     return crawl_log(spark, sf).select("seq", base_url(F.col("url")).alias("base_url"), "t_ms")
 
 
-def _rules_values() -> str:
+def _rules_values(files=RULES_FILES) -> str:
     rows = []
-    for k, lines in enumerate(RULES_FILES):
+    for k, lines in enumerate(files):
         rows += [f"({k},{n},'{line}')" for n, line in enumerate(lines, 1)]
     return ", ".join(rows)
 
@@ -252,6 +268,13 @@ SQL: dict[str, tuple[tuple[str, ...], str]] = {
     "robots_owned": (("robots_text",), """
         select *, last_value(case when lower(line) like 'user-agent:%' then trim(substr(line, 12)) end ignore nulls)
                     over (partition by base_url order by line_no) as agent from robots_text"""),
+    "served_rules": ((), """
+        select 'http://h' || (user_id % 20) || '.example.com' as base_url, epoch_us(ts) // 1000 as served_ms,
+               case when event_id % 5 = 0 then -1 else event_id % 3 end as file
+        from events where event_type = 'signup'"""),
+    "served_paths": ((), f"""
+        select k as file, case when starts_with(line, 'Allow') then 'allow' else 'disallow' end as kind, trim(substr(line, instr(line, ':') + 1)) as path
+        from (values {_rules_values(SERVED_FILES)}) as v(k, line_no, line) where line like '%llow: %'"""),
     "rule_rows": (("robots_owned",), """
         select distinct base_url, case when lower(line) like 'allow:%' then 'allow' else 'disallow' end as kind,
                trim(substr(line, instr(line, ':') + 1)) as path

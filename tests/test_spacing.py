@@ -2,10 +2,12 @@
 
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from crawlweave.operators import politeness
+from crawlweave.operators import politeness, spacing
 from crawlweave.operators.spacing import greedy_spacing
 
 
@@ -66,3 +68,36 @@ def test_slot_plan_waits_own_delay(spark):
     assert {(r["host"], r["n"]): (r["slot"], r["planned_ms"]) for r in out} == {
         ("h", 1): (1, 10), ("h", 2): (2, 2010), ("h", 3): (3, 2510), ("g", 9): (1, 10),
     }
+
+
+def test_one_host_with_a_long_history(spark):
+    """Twenty thousand buckets of one host: three levels of composed step functions."""
+    n = 400_000
+    gap = F.when(F.col("seq") % 11 == 0, 37).otherwise(13).cast("bigint")
+    df = spark.range(n).selectExpr("'h' as host", "id * 5 + pmod(xxhash64(id), 4) as t", "id as seq")
+    got = greedy_spacing(df, ["host"], "t", gap, "seq", 100).where("granted").orderBy("seq").select("seq", "t").collect()
+    rows = df.withColumn("gap", gap).orderBy("t", "seq").collect()
+    last, want = None, []
+    for r in rows:
+        if last is None or r.t - last >= r.gap:
+            last = r.t
+            want.append((r.seq, r.t))
+    assert [tuple(r) for r in got] == want
+
+
+def test_composed_blocks_act_like_their_parts():
+    """A block's step function, from its parts', ends every possible last grant where the parts one by one do."""
+    draw = np.random.default_rng(3)
+    for _ in range(30):
+        points = np.sort(draw.choice(np.arange(640, 1280), draw.integers(1, 60), replace=False))
+        pdf = pd.DataFrame({"key": "h", "bucket": points // 10, "clock": points, "gap": draw.choice([15, 40, 90], len(points)), "tie": 0})
+        steps = spacing._summaries(pdf.sort_values(["bucket", "clock"], ignore_index=True), 10)
+        parts = steps.rename(columns={"bucket": "part"}).assign(bucket=1).sort_values(["part", "upto"], ignore_index=True)
+        block = spacing._composed(parts, 640)
+        for last in [-10_000, *range(500, 640)]:
+            one = last
+            for _, own in parts.groupby("part"):
+                fit = own[own["upto"] >= one]
+                one = int(fit["leaves"].iloc[0]) if len(fit) else one
+            fit = block[block["upto"] >= last]
+            assert (int(fit["leaves"].iloc[0]) if len(fit) else last) == one

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -15,7 +16,10 @@ from crawlweave.operators.robots import match_robots
 from crawlweave.session import new_path, stage
 
 LOG = "crawl_id bigint, url string, depth int, seq bigint, state string"
+_OFFERS = f"{LOG}, offered bigint"
 DISPATCHED = ("processed", "failed", "handler_error")
+# State of a row that stands for offers of an address seen before; no part of the log.
+REFUSED = "refused"
 
 Expand = Callable[[DataFrame], DataFrame]
 Fetch = Callable[[DataFrame], DataFrame]
@@ -23,22 +27,47 @@ Fetch = Callable[[DataFrame], DataFrame]
 
 @dataclass
 class Crawl:
-    """``log``: one row per accepted address with its ``state``; ``links`` finds candidates again."""
+    """``log``: one row per accepted address with its ``state``.
+
+    ``attempts``: ``crawl_id, depth, candidates, accepted``: addresses offered to the seen set, each time one was, and
+    those accepted, counted while the crawl expanded its levels; depth 0 are the seeds.
+    """
 
     log: DataFrame
-    expand: Expand
-    max_depth: int | None
+    attempts: DataFrame
+
+
+class _Levels:
+    """All levels so far in one table, partitioned by depth and bucketed by crawl and address.
+
+    The next level's candidates are dealt by the same hash, so they meet the seen set where it lies: it is neither
+    shuffled nor, for a level's rows, read as a whole. The table is in the catalog while the crawl runs; its files stay.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.path, self.name = spark, new_path(spark, "crawl"), f"crawl_{uuid.uuid4().hex}"
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def candidates(self) -> DataFrame:
-        """Links offered to the seen set, one row per attempt, with the depth they would get."""
-        handled = self.log.where(F.col("state") == "processed")
-        if self.max_depth is not None:
-            handled = handled.where(F.col("depth") < self.max_depth)
-        return self.expand(handled).withColumn("depth", F.col("depth") + 1)
+    def add(self, rows: DataFrame) -> None:
+        dealt = rows.repartition(self.buckets, "crawl_id", "url").write.mode("append").partitionBy("depth")
+        dealt.bucketBy(self.buckets, "crawl_id", "url").option("path", self.path).saveAsTable(self.name, format="parquet")
+
+    def seen(self) -> DataFrame:
+        return self.spark.table(self.name).where(F.col("state") != REFUSED)
+
+    def level(self, depth: int) -> DataFrame:
+        return self.seen().where(F.col("depth") == depth)
+
+    def files(self) -> DataFrame:
+        names = [c.split()[0] for c in _OFFERS.split(", ")]
+        return self.spark.read.schema(_OFFERS).parquet(self.path).select(*names)
+
+    def forget(self) -> None:
+        self.spark.sql(f"drop table if exists {self.name}")
 
 
 def seed_frontier(seeds: DataFrame, url: str = "url", crawl_id: str | None = None, order: str | None = None) -> DataFrame:
-    """Distinct, non-blank seeds at depth 0: ``crawl_id, url, depth, place``."""
+    """Distinct, non-blank seeds at depth 0: ``crawl_id, url, depth, place`` and how often each was ``offered``."""
     text = F.col(url)
     place = F.col(order).cast("bigint") if order else F.lit(0).cast("bigint")
     crawl = F.col(crawl_id).cast("bigint") if crawl_id else F.lit(0).cast("bigint")
@@ -46,8 +75,8 @@ def seed_frontier(seeds: DataFrame, url: str = "url", crawl_id: str | None = Non
     return (
         usable.select(crawl.alias("crawl_id"), text.alias("url"), place.alias("place"))
         .groupBy("crawl_id", "url")
-        .agg(F.min("place").alias("place"))
-        .select("crawl_id", "url", F.lit(0).alias("depth"), "place")
+        .agg(F.min("place").alias("place"), F.count("*").alias("offered"))
+        .select("crawl_id", "url", F.lit(0).alias("depth"), "place", "offered")
     )
 
 
@@ -75,28 +104,28 @@ def expand_pages(pages: DataFrame) -> Expand:
     return expand
 
 
-def next_frontier(candidates: DataFrame, seen: DataFrame) -> DataFrame:
-    """Distinct candidates that no earlier level accepted, at their first place in parent order.
+def offers(candidates: DataFrame, seen: DataFrame) -> DataFrame:
+    """Distinct candidates at their first place in parent order, how often each was ``offered``, and whether it is ``known``.
 
-    The aggregation combines before the shuffle, and the anti join reuses its partitioning.
+    The aggregation combines before the only shuffle; a ``seen`` that is bucketed by crawl and address into as many
+    buckets as there are shuffle partitions is joined where it lies.
     """
     first = candidates.groupBy("crawl_id", "url").agg(
-        F.min("depth").alias("depth"), F.min(F.struct("parent_seq", "pos")).alias("__first")
+        F.min("depth").alias("depth"), F.min(F.struct("parent_seq", "pos")).alias("__first"), F.count("*").alias("offered")
     )
-    fresh = first.join(seen.select("crawl_id", "url"), ["crawl_id", "url"], "left_anti")
-    return fresh.select("crawl_id", "url", "depth", "__first.parent_seq", "__first.pos")
+    known = seen.select("crawl_id", "url", F.lit(True).alias("known"))
+    met = first.join(known, ["crawl_id", "url"], "left")
+    return met.select("crawl_id", "url", "depth", "__first.parent_seq", "__first.pos", "offered", F.coalesce("known", F.lit(False)).alias("known"))
 
 
-def _numbered(rows: DataFrame, order: list[str], log: DataFrame, label: str) -> DataFrame:
-    """Give rows the next sequence numbers of their crawl in the given order, and what it ``spent``."""
-    so_far = log.groupBy("crawl_id").agg(
-        F.max("seq").alias("used"), F.count_if(F.col("state").isin(*DISPATCHED)).alias("spent")
-    )
-    return number_by_range(rows, ["crawl_id"], order, "seq", label, so_far).fillna(0, ["spent"])
+def next_frontier(candidates: DataFrame, seen: DataFrame) -> DataFrame:
+    """The candidates that no earlier level accepted; an address is in ``seen`` once."""
+    return offers(candidates, seen).where(~F.col("known")).drop("known", "offered")
 
 
-def _log_of(spark: SparkSession, paths: list[str]) -> DataFrame:
-    return spark.read.schema(LOG).parquet(*paths) if paths else spark.createDataFrame([], LOG)
+def _numbered(rows: DataFrame, order: list[str], so_far: DataFrame, label: str) -> DataFrame:
+    """Give rows the next sequence numbers of their crawl in the given order, and what it ``spent`` so far."""
+    return number_by_range(rows, ["crawl_id"], order, "seq", label, so_far).fillna(0, ["spent"])
 
 
 def crawl(
@@ -121,22 +150,35 @@ def crawl(
     (see :func:`crawlweave.operators.screening.screen`); a blocked address fails without being fetched.
 
     Depth is the shortest link distance. ``seq`` is the order of acceptance; it is computed only
-    if ``ordered`` or ``max_pages`` asks for it. Every level is one table in the shared folder; the
+    if ``ordered`` or ``max_pages`` asks for it. Levels are appended to one table in the shared folder; the
     driver sees two counts per level, read from that table so that retried tasks cannot distort them.
     """
-    expand = links if callable(links) else expand_with(links)
+    spark = seeds.sparkSession
+    levels = _Levels(spark)
+    try:
+        return _crawl(seeds, links if callable(links) else expand_with(links), levels, max_depth, max_pages, rules, fetch, screen, ordered)
+    finally:
+        levels.forget()
+
+
+def _crawl(seeds, expand, levels, max_depth, max_pages, rules, fetch, screen, ordered) -> Crawl:
     spark = seeds.sparkSession
     numbered = ordered or max_pages is not None
-    root = new_path(spark, "crawl")
-    paths: list[str] = []
-
-    if numbered:
-        level = _numbered(seeds, ["place", "url"], _log_of(spark, []), "crawl-seeds")
-    else:
-        level = seeds.withColumns({"seq": F.lit(0).cast("bigint"), "spent": F.lit(0).cast("bigint")})
-    depth = 0
+    zero = F.lit(0).cast("bigint")
+    totals = spark.createDataFrame([], "crawl_id bigint, used bigint, spent bigint")
+    plain = rules is None and screen is None and fetch is None and not numbered
+    seeds = seeds if "offered" in seeds.columns else seeds.withColumn("offered", F.lit(1).cast("bigint"))
+    offered, depth = seeds.withColumn("known", F.lit(False)), 0
     while True:
-        level = level.select("crawl_id", "url", "depth", "seq", "spent")
+        if numbered and depth:
+            offered = stage(offered, "crawl-offers")
+        # offers of known addresses are counted and otherwise left alone
+        level = offered if plain else offered.where(~F.col("known"))
+        if numbered:
+            level = _numbered(level, ["parent_seq", "pos"] if depth else ["place", "url"], totals, "crawl-level")
+        else:
+            level = level.withColumns({"seq": zero, "spent": zero})
+        level = level.select("crawl_id", "url", "depth", "seq", "spent", "offered", "known")
         names = level.columns
         level = level.withColumn("legal", urls.base_url(F.col("url")).isNotNull())
         judged = level.withColumn("allowed", F.lit(True))
@@ -153,36 +195,42 @@ def crawl(
             judged = running_total(judged, ["crawl_id"], ["seq"], block("seq"), ahead, exclusive=True)
             examined = F.col("spent") + F.col("ahead") < max_pages
         state = (
-            F.when(~examined, "queued").when(~F.col("legal"), "bad_url").when(~F.col("allowed"), "robots_blocked")
+            F.when(F.col("known"), REFUSED).when(~examined, "queued").when(~F.col("legal"), "bad_url").when(~F.col("allowed"), "robots_blocked")
             .when(F.col("blocked"), "failed")
         )
-        judged = judged.withColumn("state", state).select("crawl_id", "url", "depth", "seq", "state")
+        judged = judged.withColumn("state", state).select("crawl_id", "url", "depth", "seq", "state", "offered")
         outcome = F.lit("processed")
         if fetch is not None:
             judged, outcome = fetch(judged), F.coalesce("outcome", outcome)
-        judged = judged.select("crawl_id", "url", "depth", "seq", F.coalesce("state", outcome).alias("state"))
-
-        path = f"{root}/level={depth:04d}"
-        judged.write.parquet(path)
-        written = _log_of(spark, [path])
-        rows, handled = written.agg(
-            F.count(F.lit(1)), F.count_if(F.col("state") == "processed")
-        ).first()
-        if rows == 0:
-            break
-        paths.append(path)
-        if handled == 0 or (max_depth is not None and depth >= max_depth):
-            break
+        judged = judged.select("crawl_id", "url", "depth", "seq", F.coalesce("state", outcome).alias("state"), "offered")
+        if not plain:
+            refused = offered.where("known").select("crawl_id", "url", "depth", zero.alias("seq"), F.lit(REFUSED).alias("state"), "offered")
+            judged = judged.unionByName(refused)
+        levels.add(judged)
 
-        seen = _log_of(spark, paths)
-        found = expand(written.where(F.col("state") == "processed")).withColumn("depth", F.col("depth") + 1)
-        level = next_frontier(found, seen)
+        found = F.count_if(F.col("state") == "processed").alias("handled")
         if numbered:
-            level = _numbered(level, ["parent_seq", "pos"], seen, "crawl-level")
+            # what a crawl used and spent so far is carried on, not summed up again over all levels
+            now = levels.level(depth).groupBy("crawl_id").agg(
+                F.max("seq").alias("used"), F.count_if(F.col("state").isin(*DISPATCHED)).alias("spent"), F.count("*").alias("rows"), found
+            )
+            both = now.unionByName(totals, allowMissingColumns=True).groupBy("crawl_id")
+            totals = stage(both.agg(F.max("used").alias("used"), F.sum("spent").alias("spent"), F.sum("rows").alias("rows"), F.sum("handled").alias("handled")), "crawl-totals")
+            rows, handled = totals.agg(F.sum("rows"), F.sum("handled")).first()
+            totals = totals.select("crawl_id", "used", "spent")
         else:
-            level = level.withColumns({"seq": F.lit(0).cast("bigint"), "spent": F.lit(0).cast("bigint")})
+            rows, handled = levels.level(depth).agg(F.count("*"), found).first()
+        if not rows or not handled or (max_depth is not None and depth >= max_depth):
+            break
+
+        links_found = expand(levels.level(depth).where(F.col("state") == "processed")).withColumn("depth", F.col("depth") + 1)
+        offered = offers(links_found, levels.seen())
         depth += 1
-    return Crawl(_log_of(spark, paths), expand, max_depth)
+    written = levels.files()
+    attempts = written.groupBy("crawl_id", "depth").agg(
+        F.sum("offered").alias("candidates"), F.count_if(F.col("state") != REFUSED).alias("accepted")
+    )
+    return Crawl(written.where(F.col("state") != REFUSED).drop("offered"), attempts)
 
 
 def union_frontier(*parts: DataFrame) -> DataFrame:
@@ -194,12 +242,7 @@ def union_frontier(*parts: DataFrame) -> DataFrame:
 
 
 def duplicate_attempts(result: Crawl) -> DataFrame:
-    """Candidates refused by the seen set, per crawl and depth, with what they consist of."""
-    offered = result.candidates().groupBy("crawl_id", "depth").agg(F.count(F.lit(1)).alias("candidates"))
-    accepted = result.log.groupBy("crawl_id", "depth").agg(F.count(F.lit(1)).alias("accepted"))
-    both = offered.join(accepted, ["crawl_id", "depth"], "left")
-    taken = F.coalesce("accepted", F.lit(0).cast("bigint"))
-    return both.select(
-        "crawl_id", "depth", "candidates", taken.alias("accepted"), (F.col("candidates") - taken).alias("duplicates")
-    )
-
+    """Candidates refused by the seen set, per crawl and depth, with what they consist of; seeds only if some were refused."""
+    refused = F.col("candidates") - F.col("accepted")
+    rows = result.attempts.select("crawl_id", "depth", "candidates", "accepted", refused.alias("duplicates"))
+    return rows.where((F.col("depth") > 0) | (F.col("duplicates") > 0))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -357,8 +358,10 @@ _SEQ = "row_number() over (partition by crawl_id order by depth, place)"
 
 
 def _links(spark, sf) -> DataFrame:
-    # read once per level, so it is written once
-    return stage(inputs.site_links(spark, sf), "site-links")
+    # read once per level, so it is written once, bucketed by the page that a level is joined on
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"site_links_{uuid.uuid4().hex}"
+    return links.bucketed_links(inputs.site_links(spark, sf), name, new_path(spark, "site-links"), buckets)
 
 
 @query("crawl_bfs", with_ctes(_MIN_DEPTH, "nodes", "site_links", recursive=_BFS_SQL.format(cap=40)))

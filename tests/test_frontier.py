@@ -115,6 +115,31 @@ def test_bucketed_links_are_not_shuffled(spark):
         spark.sql("drop table crawl_links_test")
 
 
+def test_seen_set_is_not_shuffled(spark):
+    """Only the candidates move: the levels so far lie in the buckets that the candidates are dealt to."""
+    levels = frontier._Levels(spark)
+    rows = spark.range(500).selectExpr("id % 3 as crawl_id", "concat('http://h/', id) as url", "0 as depth", "id as seq", "'processed' as state", "1L as offered")
+    levels.add(rows)
+    levels.add(rows.selectExpr("crawl_id", "concat(url, 'x') as url", "1 as depth", "seq", "state", "offered"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = rows.selectExpr("crawl_id", "concat(url, if(seq % 2 = 0, 'x', 'y')) as url", "depth", "seq as parent_seq", "0L as pos")
+        fresh = frontier.next_frontier(found, levels.seen())
+        plan = fresh._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and plan.count("Exchange") == 1
+        assert sorted(r.url for r in fresh.collect()) == sorted(f"http://h/{i}y" for i in range(1, 500, 2))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        levels.forget()
+    assert not spark.catalog.tableExists(levels.name) and levels.files().count() == 1000
+
+
+def test_refused_seeds_are_counted(spark):
+    result = frontier.crawl(seeds_of(spark, "http://h/", "http://h/", "http://h/b"), links_of(spark, GRAPH))
+    got = {(r["depth"], r["candidates"], r["accepted"], r["duplicates"]) for r in frontier.duplicate_attempts(result).collect()}
+    assert got == {(0, 3, 2, 1), (1, 2, 1, 1), (2, 3, 1, 2), (3, 2, 1, 1)}
+
+
 def test_bad_and_screened_addresses(spark):
     """A bad address is no page of the budget, with or without rules; a blocked one fails without a fetch."""
     rows = [(1, "http://h/ok"), (2, "http://h/a b|c"), (3, "http://private/x"), (4, "http://h/last")]

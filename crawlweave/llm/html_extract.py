@@ -51,8 +51,13 @@ BOILERPLATE = frozenset(
     "comments respond reply replies disqus widget pagination pager toolbar disclaimer".split()
 )
 CONTENT = frozenset("article main content entry post story body text title headline".split())
+#: Of the dropped ones: those whose content is no markup, and those whose content is no text either way.
+RAW = frozenset("script style textarea title iframe".split())
+CODE = frozenset("script style".split())
+# Quotes count only after "="; else a tag ends at the next ">". Nothing is tried twice, so the time is linear.
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)|([^<]+|<)", re.S
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)(?:>|\Z)|([^<]++|<)", re.S
 )
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -69,54 +74,123 @@ def _features(name: str, attributes: str) -> tuple[str, ...]:
 
 
 class _Reader:
-    """Goes through a page: (kind, text or tag, surroundings); kinds are ``text``, ``open`` and ``close``."""
+    """Goes through a page: (kind, text or tag, surroundings); kinds are ``text``, ``open`` and ``close``.
+
+    A dropped element is one ``close``, and nothing inside it is told. It ends with its end tag or with its parent; one
+    whose end tag is nowhere to come is empty, but for scripts and styles, which then end with their parent.
+    """
 
     def __init__(self, page: str) -> None:
         self._page = page
+        self._lower: str | None = None
+        self._last: dict[str, int] = {}
+
+    def _closes_after(self, name: str, at: int) -> bool:
+        if name not in self._last:
+            self._lower = self._page.lower() if self._lower is None else self._lower
+            self._last[name] = self._lower.rfind("</" + name)
+        return self._last[name] >= at
+
+    def _after(self, name: str, at: int) -> int:
+        """Behind the next end tag of ``name``; there is one. Lower case may be longer in other letters than ASCII."""
+        closing = re.compile(rf"</{re.escape(name)}[^>]*+(?:>|\Z)", re.I).search(self._page, at)
+        return closing.end() if closing else at
 
     def events(self):
         page, at, end = self._page, 0, len(self._page)
         stack: list[tuple[str, tuple[str, ...]]] = []
         held: Counter = Counter()
+        hidden = 0  # dropped elements around
+
+        def pop() -> str:
+            nonlocal hidden
+            gone = stack.pop()[0]
+            held[gone] -= 1
+            hidden -= gone in DROPPED
+            return gone
+
         while at < end:
             m = _TOKEN.match(page, at)
             at = m.end()
             slash, name, attributes, text = m.groups()
             if text is not None:
-                yield "text", text, stack
-            elif name is not None:
-                name = name.lower()
-                if slash:
-                    if held[name]:
-                        while True:
-                            gone = stack.pop()[0]
-                            held[gone] -= 1
-                            if gone == name:
-                                break
+                if not hidden:
+                    yield "text", text, stack
+                continue
+            if name is None:
+                continue
+            name = name.lower()
+            if slash:
+                told = not hidden
+                if held[name]:
+                    while pop() != name:
+                        pass
+                if told or not hidden and name not in DROPPED:
                     yield "close", name, stack
-                elif name in DROPPED:
-                    if not attributes.endswith("/"):
-                        closing = re.compile(rf"</{re.escape(name)}\s*[^>]*(?:>|\Z)", re.I).search(page, at)
-                        at = closing.end() if closing else (at if name in ("head", "title", "embed", "button") else end)
+            elif name in DROPPED:
+                if not hidden:
                     yield "close", name, stack
-                else:
-                    if name in BLOCKS and held["p"] and name != "body":
-                        depth = len(stack) - 1
-                        while depth >= 0 and stack[depth][0] not in BLOCKS:
-                            depth -= 1
-                        if depth >= 0 and stack[depth][0] == "p":
-                            for gone, _ in stack[depth:]:
-                                held[gone] -= 1
-                            del stack[depth:]
-                    if name not in EMPTY and not attributes.endswith("/"):
-                        stack.append((name, _features(name, attributes)))
-                        held[name] += 1
+                if attributes.endswith("/") or name in EMPTY:
+                    continue
+                if self._closes_after(name, at):
+                    if name in RAW:
+                        at = self._after(name, at)
+                        continue
+                elif name not in CODE:
+                    continue
+                stack.append((name, (name,)))
+                held[name] += 1
+                hidden += 1
+            else:
+                if held["head"] and (name in BLOCKS or name == "body"):
+                    while pop() != "head":
+                        pass
+                if name in BLOCKS and held["p"] and name != "body":
+                    depth = len(stack) - 1
+                    while depth >= 0 and stack[depth][0] not in BLOCKS:
+                        depth -= 1
+                    if depth >= 0 and stack[depth][0] == "p":
+                        while len(stack) > depth:
+                            pop()
+                if name not in EMPTY and not attributes.endswith("/"):
+                    stack.append((name, _features(name, attributes)))
+                    held[name] += 1
+                if not hidden:
                     yield "open", name, stack
 
 
-def _inside(stack: list) -> bool:
-    """Whether the words here belong to a marked article."""
-    return any(name in ("article", "main") for name, _ in stack)
+class _Trail:
+    """What surrounds the words here, kept up as the stack grows and shrinks, so that depth costs nothing.
+
+    ``inside``: whether they belong to a marked article; ``features``: all class words and names around them; ``blocks``: those
+    of boilerplate below a marked element; ``headings``: elements of headings around them.
+    """
+
+    def __init__(self) -> None:
+        self._known: list[tuple[tuple, bool]] = []
+        self.features: Counter = Counter()
+        self.blocks: Counter = Counter()
+        self.inside, self.headings = False, 0
+
+    def _turn(self, element: tuple[str, tuple[str, ...]], within: bool, by: int) -> None:
+        name, features = element
+        self.headings += by * (name in HEADINGS)
+        for f in features:
+            for held, counts in ((self.features, True), (self.blocks, within and f != "header" and f.lstrip(".") in BOILERPLATE)):
+                if counts:
+                    held[f] += by
+                    if not held[f]:
+                        del held[f]
+
+    def follow(self, stack: list) -> None:
+        known = self._known
+        while known and (len(known) > len(stack) or known[-1][0] is not stack[len(known) - 1]):
+            element, self.inside = known.pop()
+            self._turn(element, self.inside, -1)
+        for element in stack[len(known) :]:
+            known.append((element, self.inside))
+            self._turn(element, self.inside, 1)
+            self.inside = self.inside or element[0] in ("article", "main")
 
 
 def _marked(page: str) -> int:
@@ -124,22 +198,14 @@ def _marked(page: str) -> int:
     return sum(kind == "open" and stack[-1:] != [] and stack[-1][0] == what and what in ("article", "main") for kind, what, stack in _Reader(page).events())
 
 
-def _blocks_inside(stack: list) -> set[str]:
-    """The names of boilerplate that stand around the words here, below a marked element."""
-    within, found = False, set()
-    for name, features in stack:
-        if within:
-            found.update(f for f in features if f != "header" and f.lstrip(".") in BOILERPLATE)
-        within = within or name in ("article", "main")
-    return found
-
-
 def _wrappers(page: str) -> set[str]:
     """Boilerplate names that stand around all marked words of a page but its headings, so they are none there."""
     common: set[str] | None = None
+    trail = _Trail()
     for kind, what, stack in _Reader(page).events():
-        if kind == "text" and what.strip() and _inside(stack) and not any(name in HEADINGS for name, _ in stack):
-            common = _blocks_inside(stack) if common is None else common & _blocks_inside(stack)
+        trail.follow(stack)
+        if kind == "text" and what.strip() and trail.inside and not trail.headings:
+            common = set(trail.blocks) if common is None else common & trail.blocks.keys()
             if not common:
                 break
     return common or set()
@@ -154,15 +220,16 @@ def count_features(pages: list[str]) -> Counter:
     for page in pages:
         if not page or _marked(page) != 1:
             continue
-        wrappers = _wrappers(page)
+        wrappers, trail = _wrappers(page), _Trail()
         for kind, what, stack in _Reader(page).events():
-            inside = _inside(stack)
-            if inside and _blocks_inside(stack) - wrappers:
+            trail.follow(stack)
+            inside = trail.inside
+            if inside and trail.blocks.keys() - wrappers:
                 continue
             if kind == "text":
                 n = len(what.split())
                 if n:
-                    for feature in {f for _, own in stack for f in own}:
+                    for feature in trail.features:
                         counts[feature, inside] += n
                     counts["", inside] += n
             elif kind == "close" or what in EMPTY or stack[-1:] == [(what, (what,))]:  # classes speak for themselves
@@ -193,15 +260,40 @@ class Scores:
             rate = {way: (counts.get((f, way), 0) + 1) / words[way] for way in (True, False)}
             self.tags[f[1:]] = min(DEAREST_TAG, max(USUAL_TAG, math.log(rate[False] / rate[True])))
 
-    def weight(self, stack: list) -> float:
-        """What a word scores here; from zero down it is no content."""
-        within, against = False, 0.0
-        for name, features in stack:
-            for f in features:
-                if f != "header" or not within:
-                    against += self.against.get(f, 0.0)
-            within = within or name in ("article", "main")
-        return WORD + MARK * within - against
+    def against_of(self, features: tuple[str, ...], within: bool) -> float:
+        """What one element takes from the score of the words in it."""
+        return sum(self.against.get(f, 0.0) for f in features if f != "header" or not within)
+
+
+class _Surroundings:
+    """Score of a word and whether it is marked, for a stack that grows and shrinks at its end; each element is looked at once."""
+
+    def __init__(self, scores: Scores) -> None:
+        self._scores = scores
+        self._known: list[tuple[tuple, float, bool]] = []
+
+    def __call__(self, stack: list) -> tuple[float, bool]:
+        known = self._known
+        del known[len(stack) :]
+        while known and known[-1][0] is not stack[len(known) - 1]:
+            known.pop()
+        for element in stack[len(known) :]:
+            _, against, within = known[-1] if known else (None, 0.0, False)
+            known.append((element, against + self._scores.against_of(element[1], within), within or element[0] in ("article", "main")))
+        _, against, within = known[-1] if known else (None, 0.0, False)
+        return WORD + MARK * within - against, within
+
+
+def best_run(scores: list[float]) -> tuple[int, int]:
+    """Begin and end of the contiguous run with the highest sum, of equals the last, in one scan; (0, 0) if none is positive."""
+    best, span, total, start = 0.0, (0, 0), 0.0, 0
+    for i, score in enumerate(scores):
+        if total <= 0:
+            total, start = 0.0, i
+        total += score
+        if total >= best and total > 0:
+            best, span = total, (start, i + 1)
+    return span
 
 
 def extract(page: str | None, scores: Scores) -> str:
@@ -209,12 +301,10 @@ def extract(page: str | None, scores: Scores) -> str:
     if not page:
         return ""
     items: list[tuple[float, str | None]] = []  # score, and a text or None for the end of a block
-    top, weight, inside = None, WORD, False
+    around = _Surroundings(scores)
     last = None  # whether the content before was marked
     for kind, what, stack in _Reader(page).events():
-        here = stack[-1] if stack else None
-        if here is not top:
-            top, weight, inside = here, scores.weight(stack), _inside(stack)
+        weight, inside = around(stack)
         if kind == "text":
             n = len(what.split())
             if weight <= 0:
@@ -228,13 +318,7 @@ def extract(page: str | None, scores: Scores) -> str:
         else:
             cost = 0.0 if inside and weight <= 0 else scores.tags.get(what, USUAL_TAG)
             items.append((-cost, None if what in BLOCKS or what in DROPPED else " " if what == "br" else ""))
-    best, span, total, start = 0.0, (0, 0), 0.0, 0
-    for i, (score, _) in enumerate(items):
-        if total <= 0:
-            total, start = 0.0, i
-        total += score
-        if total >= best and total > 0:
-            best, span = total, (start, i + 1)
+    span = best_run([score for score, _ in items])
     blocks: list[str] = []
     parts: list[str] = []
     for _, what in [*items[span[0] : span[1]], (0.0, None)]:

@@ -2,10 +2,12 @@
 
 import math
 import random
+import time
 import re
 from collections import Counter
 
 import numpy as np
+import pytest
 import pyarrow as pa
 from pyspark.sql import functions as F
 
@@ -158,6 +160,46 @@ def test_boilerplate_inside_the_mark_is_not_learned_as_content():
     assert html_extract.extract(f"<p>{text_of(100)}</p><form>{text_of(30, 'z')}</form>", scores) == text_of(100)
 
 
+def test_unclosed_elements_lose_nothing():
+    for name in html_extract.DROPPED - {"head", "embed"}:
+        for inner, hidden in ((f"<{name}>", False), (f"<{name}>hidden <b>hidden</b></{name}>", True), (f"<{name}/>", False)):
+            page = f"<body><article><p>{text_of(60)} {inner}</p><p>{text_of(60, 'v')}</p></article></body>"
+            assert html_extract.extract(page, LEARNED) == f"{text_of(60)}\n\n{text_of(60, 'v')}", (name, hidden)
+    ends_with_parent = f"<article><div>{text_of(40)}<svg>no</div><p>{text_of(40, 'v')}</p></article><svg></svg>"
+    assert html_extract.extract(ends_with_parent, LEARNED) == f"{text_of(40)}\n\n{text_of(40, 'v')}"
+    open_head = f"<head><title>no</title><meta x><body><p>{text_of(40)}</p></body>"
+    assert html_extract.extract(open_head, LEARNED) == text_of(40)
+
+
+def test_quotes_count_only_after_an_equals_sign():
+    page = '<article><p>aa bb</p><p class="a" b">mid</p><p title=\'x > y\' data-k = "1 > 0">cc</p><a href=x">dd</a></article>'
+    assert html_extract.extract(page, LEARNED) == "aa bb\n\nmid\n\ncc\n\ndd"
+
+
+@pytest.mark.parametrize("junk", ["<a ", '<a b="', "<a b='\"", "<svg>", "<select>", "<!--", "<p><b>", "<div>", "<script>", "</p>", '<p class="x'])
+def test_broken_pages_take_linear_time(junk):
+    page = "<article><p>" + text_of(100) + "</p>" + junk * (1_000_000 // len(junk))
+    begin = time.process_time()
+    assert html_extract.extract(page, LEARNED) == text_of(100)
+    html_extract.count_features([page])
+    assert time.process_time() - begin < 10
+
+
+def plain_best_run(scores):
+    """All runs tried: the highest sum, of equals the one that ends last and begins first."""
+    best = max(((sum(scores[i:j]), j, -i) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1)), default=(0, 0, 0))
+    return (-best[2], best[1]) if best[0] > 0 else (0, 0)
+
+
+def test_scan_finds_the_best_run():
+    draw = random.Random(8)
+    for _ in range(300):
+        scores = [draw.choice([-3, -2, -1, 1, 2, 3]) / 2 for _ in range(draw.randrange(0, 14))]
+        begin, end = html_extract.best_run(scores)
+        want = plain_best_run(scores)
+        assert sum(scores[begin:end]) == sum(scores[want[0] : want[1]]) and end == want[1]
+
+
 def test_notices_inside_long_lines():
     draw = random.Random(5)
     prose = lambda n: " ".join(f"n{draw.randrange(300)}" for _ in range(n))

@@ -38,7 +38,7 @@ LEAST_DOCUMENTS, UNIT, REPORTED = 3, 1_000_000_000, 200
 #: Terms in a run, unless that would make more than ``RUNS`` runs.
 RUN, RUNS = 1024, 65_536
 #: Distinct terms that a task holds before it sends its sums on, and copies of a run's transducer, one for each share of the sources.
-HELD, SHARES = 200_000, 8
+HELD, SHARES = 500_000, 8
 _PAIRS = 1 << 20
 _TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -192,32 +192,32 @@ class _Runs:
             self.offsets.append(self.terms.get(r.lang, 0))
             self.terms[r.lang] = self.terms.get(r.lang, 0) + r.size
 
-    def of(self, lang: str, term: bytes) -> int:
-        """The run that would hold the term; -1 if the term comes before all."""
-        at = bisect_right(self.firsts[lang], term) - 1
-        return self.base[lang] + at if at >= 0 else -1
+    def of(self, lang: str, words: list[bytes]) -> np.ndarray:
+        """The run that would hold each word; -1 for words before all. Words are cut to the longest separator, which decides."""
+        firsts = np.array(self.firsts[lang])
+        at = np.searchsorted(firsts, np.array(words, firsts.dtype), "right") - 1
+        return np.where(at >= 0, self.base[lang] + at, -1)
 
 
 def _recounted(runs: _Runs):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(lang, source, run, term, n): occurrences in a task, by the run the term falls into."""
-        held: dict[tuple[str, str], Counter] = {}
+        """(group, run, term, n): occurrences in a task, by the run the term falls into."""
+        held: dict[tuple[int, str], Counter] = {}
 
         def sent() -> Iterator[pa.RecordBatch]:
-            for (lang, source), counts in held.items():
-                where = [runs.of(lang, t) for t in counts]
-                kept = [(r, t, n) for r, (t, n) in zip(where, counts.items(), strict=True) if r >= 0]
-                if kept:
-                    number, term, n = zip(*kept, strict=True)
-                    same = [pa.array([x] * len(kept), pa.string()) for x in (lang, source)]
-                    yield pa.RecordBatch.from_arrays([*same, pa.array(number, pa.int64()), _text(list(term)), pa.array(n, pa.int64())], ["lang", "source", "run", "term", "n"])
+            for (group, lang), counts in held.items():
+                words = list(counts)
+                run = runs.of(lang, words) if words else np.zeros(0, np.int64)
+                same = pa.array(np.full(len(words), group))
+                out = pa.RecordBatch.from_arrays([same, pa.array(run), _text(words), pa.array(list(counts.values()), pa.int64())], ["group", "run", "term", "n"])
+                yield out.filter(pa.array(run >= 0))
             held.clear()
 
         for batch in batches:
             texts = batch.column("text").cast(pa.binary())
-            for lang, source, text in zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), texts, strict=True):
+            for group, lang, text in zip(batch.column("group").to_pylist(), batch.column("lang").to_pylist(), texts, strict=True):
                 if lang in runs.firsts:
-                    counts = held.setdefault((lang, source), Counter())
+                    counts = held.setdefault((group, lang), Counter())
                     counts.update(terms(text.as_py()))
                     if len(counts) > HELD:
                         yield from sent()
@@ -344,10 +344,10 @@ def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     numbers = spark.createDataFrame(numbered, "lang string, first binary, run bigint, offset bigint")
     machines = stage(machines.join(numbers, ["lang", "first"]), "machines")
 
-    groups = docs.select("lang", "source").distinct().withColumn("group", F.monotonically_increasing_id())
-    groups = stage(groups, "groups")
-    sums = docs.mapInArrow(_recounted(runs), "lang string, source string, run bigint, term string, n bigint")
-    sums = sums.groupBy("lang", "source", "run", "term").agg(F.sum("n").alias("n")).join(groups, ["lang", "source"]).select("group", "run", "term", "n")
+    group = F.xxhash64("lang", "source").alias("group")  # 64 bits name a pair of language and source
+    groups = docs.select("lang", "source").distinct().select("*", group)
+    sums = docs.select(group, "lang", "text").mapInArrow(_recounted(runs), "group bigint, run bigint, term string, n bigint")
+    sums = sums.groupBy("group", "run", "term").agg(F.sum("n").alias("n"))
     share = F.pmod(F.xxhash64("group"), F.lit(SHARES)).cast("int")
     found = _with_machines(sums, machines, share, SHARES).mapInArrow(_through, "group bigint, run bigint, ordinal bigint, n bigint")
     found = stage(found, "ordinals")

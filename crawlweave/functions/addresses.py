@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,8 +12,7 @@ from crawlweave.functions.text import bind
 IPV4 = r"^([0-9]{1,3})\.([0-9]{1,3})\.([0-9]{1,3})\.([0-9]{1,3})$"
 
 
-def _is_private_v4(ip: Column) -> Column:
-    a, b, c, d = (F.regexp_extract(ip, IPV4, i).try_cast("int") for i in (1, 2, 3, 4))
+def _is_private_v4(a: Column, b: Column, c: Column, d: Column) -> Column:
     return (
         (a == 127)
         | (a == 10)
@@ -22,19 +23,33 @@ def _is_private_v4(ip: Column) -> Column:
     )
 
 
+def _octets(dotted: Column, test: Callable[..., Column]) -> Column:
+    """``test`` of the four numbers of a dotted address; null if one is above 255. The numbers are read once."""
+    numbers = F.transform(F.split(dotted, r"\."), lambda x: x.try_cast("int"))
+    return bind(numbers, lambda n: F.when(F.array_max(n) <= 255, test(*[F.get(n, i) for i in range(4)])))
+
+
 def _groups(ip: Column) -> Column:
     """The eight numbers of an IPv6 address; null if it is none. A dotted tail counts as two groups."""
-    tail = [F.regexp_extract(ip, r"([0-9]{1,3})\.([0-9]{1,3})\.([0-9]{1,3})\.([0-9]{1,3})$", i).try_cast("int") for i in (1, 2, 3, 4)]
-    hexed = F.concat(F.hex(tail[0] * 256 + tail[1]), F.lit(":"), F.hex(tail[2] * 256 + tail[3]))
+    tail = F.regexp_extract(ip, r"([0-9]{1,3}(?:\.[0-9]{1,3}){3})$", 1)
+    hexed = _octets(tail, lambda a, b, c, d: F.concat(F.hex(a * 256 + b), F.lit(":"), F.hex(c * 256 + d)))
     plain = F.when(ip.contains("."), F.concat(F.regexp_replace(ip, r"[0-9]+(?:\.[0-9]+){3}$", ""), hexed)).otherwise(ip)
-    halves = F.split(plain, "::")
-    part = lambda i: F.filter(F.split(F.coalesce(F.try_element_at(halves, F.lit(i)), F.lit("")), ":"), lambda g: g != "")
-    missing = 8 - F.size(part(1)) - F.size(part(2))
-    filler = F.when(plain.contains("::") & (missing > 0), F.array_repeat(F.lit("0"), missing)).otherwise(F.array().cast("array<string>"))
-    whole = F.concat(part(1), filler, part(2))
-    octets = F.when(ip.contains("."), F.greatest(*tail) <= 255).otherwise(True)
-    legal = (F.size(whole) == 8) & F.forall(whole, lambda g: g.rlike("^[0-9a-fA-F]{1,4}$")) & octets & (F.size(halves) <= 2)
-    return F.when(legal, F.transform(whole, lambda g: F.conv(g, 16, 10).cast("int")))
+
+    def whole(halves: Column) -> Column:
+        part = lambda i: F.filter(F.split(F.coalesce(F.get(halves, F.lit(i)), F.lit("")), ":"), lambda g: g != "")
+
+        def filled(parts: Column) -> Column:
+            missing = 8 - F.size(parts["head"]) - F.size(parts["rest"])
+            filler = F.when((F.size(halves) > 1) & (missing > 0), F.array_repeat(F.lit("0"), missing)).otherwise(F.array().cast("array<string>"))
+            return F.when(F.size(halves) <= 2, F.concat(parts["head"], filler, parts["rest"]))
+
+        return bind(F.struct(part(0).alias("head"), part(1).alias("rest")), filled)
+
+    def numbers(groups: Column) -> Column:
+        legal = (F.size(groups) == 8) & F.forall(groups, lambda g: g.rlike("^[0-9a-fA-F]{1,4}$"))
+        return F.when(legal, F.transform(groups, lambda g: F.conv(g, 16, 10).cast("int")))
+
+    return bind(bind(F.split(plain, "::"), whole), numbers)
 
 
 def _is_private_v6(ip: Column) -> Column:
@@ -42,11 +57,11 @@ def _is_private_v6(ip: Column) -> Column:
     def test(g: Column) -> Column:
         at = lambda i: F.get(g, F.lit(i))
         leading = F.aggregate(F.slice(g, 1, 5), F.lit(0), lambda a, x: a + x)
-        octet = lambda i, shift: F.shiftright(at(i), shift).bitwiseAND(255).cast("string")
-        v4 = F.concat_ws(".", octet(6, 8), octet(6, 0), octet(7, 8), octet(7, 0))
+        octet = lambda i, shift: F.shiftright(at(i), shift).bitwiseAND(255)
         mapped = (leading == 0) & (at(5) == 0xFFFF)
         zero = (leading == 0) & (at(5) == 0) & (at(6) == 0)
-        return F.when(mapped, _is_private_v4(v4)).otherwise((at(0) >= 0xFE80) & (at(0) <= 0xFEFF) | zero & (at(7) <= 1))
+        private = _is_private_v4(octet(6, 8), octet(6, 0), octet(7, 8), octet(7, 0))
+        return F.when(mapped, private).otherwise((at(0) >= 0xFE80) & (at(0) <= 0xFEFF) | zero & (at(7) <= 1))
 
     return bind(_groups(ip), test)
 
@@ -56,9 +71,12 @@ def is_private(address: Column) -> Column:
 
     An IPv4 address mapped into IPv6 is tested as what it is. An octet above 255 is no address.
     """
-    ip = F.lower(F.regexp_replace(address, r"^\[|\]$|%.*$", ""))
-    possible = F.greatest(*[F.regexp_extract(ip, IPV4, i).try_cast("int") for i in (1, 2, 3, 4)]) <= 255
-    return F.when(ip.rlike(IPV4), F.when(possible, _is_private_v4(ip))).when(ip.contains(":"), _is_private_v6(ip))
+    bare = F.when(address.rlike(r"[\[\]%]"), F.regexp_replace(address, r"^\[|\]$|%.*$", "")).otherwise(address)
+
+    def test(ip: Column) -> Column:
+        return F.when(ip.rlike(IPV4), _octets(ip, _is_private_v4)).when(ip.contains(":"), _is_private_v6(ip))
+
+    return bind(F.lower(bare), test)
 
 
 def literal_address(host: Column) -> Column:

@@ -103,6 +103,21 @@ def sink_errors(results: DataFrame, keys: tuple[str, ...], batch: str, failed: C
     )
 
 
+# The counters of a stats record in its order, and the state that each one counts, where it counts one.
+STATS_FIELDS = ["queue", "inFlight", "rejected", "failed", "robotsBlocked", "processed", "kafkaErrors"]
+_STATES = {"queue": "queued", "inFlight": "in_flight", "failed": "failed", "robotsBlocked": "robots_blocked", "processed": "processed"}
+
+
+def state_total(field: str, weight: Column | None = None) -> Column:
+    """Rows of the ``state`` that a counter counts; none for the counters that other tables give."""
+    one = F.lit(1) if weight is None else weight
+    return F.sum(F.when(F.col("state") == F.lit(_STATES.get(field)), one).otherwise(0)).cast("bigint")
+
+
+def stats_json() -> Column:
+    return F.to_json(F.struct(*STATS_FIELDS))
+
+
 def stats_row(
     log: DataFrame,
     duplicates: DataFrame | None = None,
@@ -114,26 +129,14 @@ def stats_row(
     ``log`` is the ``crawl_id, state`` of every accepted address, or counts of them in ``rows``;
     ``duplicates`` and ``sink_error_rows`` add ``duplicates`` and ``errors`` per crawl.
     """
-    weight = F.lit(1) if rows is None else rows
-
-    def total(state: str) -> Column:
-        return F.sum(F.when(F.col("state") == state, weight).otherwise(0)).cast("bigint")
-
-    joined = log.groupBy("crawl_id").agg(
-        total("queued").alias("queue"),
-        total("in_flight").alias("inFlight"),
-        total("failed").alias("failed"),
-        total("robots_blocked").alias("robotsBlocked"),
-        total("processed").alias("processed"),
-    )
+    joined = log.groupBy("crawl_id").agg(*[state_total(c, rows).alias(c) for c in _STATES])
     for extra, value, name in ((duplicates, "duplicates", "rejected"), (sink_error_rows, "errors", "kafkaErrors")):
         if extra is None:
             joined = joined.withColumn(name, F.lit(0).cast("bigint"))
         else:
             joined = joined.join(extra.groupBy("crawl_id").agg(F.sum(value).alias(name)), "crawl_id", "left")
     filled = joined.fillna(0, ["rejected", "kafkaErrors"])
-    fields = ["queue", "inFlight", "rejected", "failed", "robotsBlocked", "processed", "kafkaErrors"]
-    return filled.select("crawl_id", *fields, F.to_json(F.struct(*fields)).alias("stats"))
+    return filled.select("crawl_id", *STATS_FIELDS, stats_json().alias("stats"))
 
 
 def state_json(start_ms: Column, end_ms: Column, seed: Column, paused: Column) -> Column:

@@ -9,6 +9,7 @@ from crawlweave.functions import messages, text, urls
 from crawlweave.operators.counters import depth_counts
 from crawlweave.operators.prefix import block, number_by_range, row_rank
 from crawlweave.session import stage
+from crawlweave.sources.buffer import Buffer
 
 # Header of the CSV export and the usual display buffer.
 CSV_HEADER = "depth,url,host,path"
@@ -79,14 +80,15 @@ def read_export(spark: SparkSession, path: str) -> DataFrame:
     return placed.select((F.col("place") - 1).alias("place"), "line")
 
 
-def export_and_clear(sink_path: str, target_path: str, spark, schema: str) -> DataFrame:
-    """Export a snapshot of the sink table, then empty the table.
+def export_and_clear(buffer: Buffer, target_path: str, mark: list[str] | None = None) -> DataFrame:
+    """Export a snapshot of the buffer, then clear exactly what was exported; returns the snapshot.
 
-    The snapshot is staged first, so the table is not read while it is overwritten.
+    Messages that arrive after the snapshot was marked are neither exported nor cleared.
     """
-    snapshot = stage(spark.read.schema(schema).parquet(sink_path), "export-snapshot")
+    mark = buffer.snapshot() if mark is None else mark
+    snapshot = stage(buffer.read(mark), "export-snapshot")
     write_csv(decoded(snapshot), target_path)
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(sink_path)
+    buffer.clear(mark)
     return snapshot
 
 

@@ -14,6 +14,7 @@ from crawlweave.operators import (
     exports,
     fetches,
     frontier,
+    intervals,
     lifecycle,
     links,
     politeness,
@@ -24,7 +25,8 @@ from crawlweave.plans import inputs
 from crawlweave.plans.inputs import AGENT, with_ctes
 from crawlweave.session import new_path, pin, stage
 from crawlweave.sources import tables, topics
-from crawlweave.streaming import feed, gate
+from crawlweave.sources.buffer import Buffer
+from crawlweave.streaming import feed, gate, live, rules_cache
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +41,9 @@ MAX_DEPTH = 2
 PAGE_BUDGET = 40
 NOW_MS = 1_706_745_600_000  # 2024-02-01 00:00:00 UTC
 LAST_N = 200
+STATS_MS = 6 * 3_600_000
+# Fixed value: the year 2250; Python's time stamps end in 2262.
+CLOSING_MS = 8_836_000_000_000
 
 
 def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
@@ -619,6 +624,24 @@ def state_row(spark, sf):
     return last.select("crawl_id", record.alias("record"))
 
 
+@query("pages_in_state", with_ctes("""
+    select p.crawl_id, p.event_id, p.t_ms, i.state, i.start_ms, i.end_ms
+    from (select crawl_id, event_id, t_ms from machine where action = 'page') p
+    join (select crawl_id, state, t_ms as start_ms, lead(t_ms) over (partition by crawl_id order by t_ms, event_id) as end_ms
+          from machine where state <> state_before) i
+      on p.crawl_id = i.crawl_id and p.t_ms >= i.start_ms and p.t_ms < coalesce(i.end_ms, 9223372036854775807)""", "lifecycle", recursive=_LIFECYCLE_SQL))
+def pages_in_state(spark, sf):
+    """Pages with the stretch of their crawl's life they fall into: running, paused, finished or idle again."""
+    log = inputs.lifecycle(spark, sf)
+    pages = log.where("action = 'page'").select("crawl_id", "event_id", "t_ms")
+    spans = intervals.state_intervals(log)
+    # a stretch without end reaches past the last page
+    last = pages.agg((F.max("t_ms") + 1).alias("last"))
+    open_end = F.coalesce("end_ms", F.greatest(F.col("start_ms") + 1, last.scalar()))
+    found = intervals.point_join(pages, spans.withColumn("until", open_end), ["crawl_id"], "t_ms", ("start_ms", "until"), width=24 * intervals.BIN)
+    return found.select("crawl_id", "event_id", "t_ms", "state", "start_ms", "end_ms")
+
+
 # ---------------------------------------------------------------- exports and reports
 
 
@@ -686,23 +709,22 @@ def last_n(spark, sf):
     return exports.last_n(inputs.crawl_log(spark, sf).select("seq", "depth", "url"), "seq", LAST_N)
 
 
-def _message_table(spark, sf) -> tuple[str, str]:
+@query("export_clear", with_ctes(f"""
+    select {_LINE_SQL} as line, 'exported' as place from export_rows where seq % 3 < 2
+    union all select depth || '|' || url, 'still in the buffer' from export_rows where seq % 3 = 2""", "export_rows"))
+def export_clear(spark, sf):
+    """A third of the messages arrives while the others are exported; only the exported ones are cleared."""
     log = inputs.export_log(spark, sf)
     frame = log.select("seq", messages.encode_message(F.col("depth"), F.col("url")).alias("value"))
-    path = new_path(spark, "sink")
-    frame.write.parquet(path)
-    return path, "seq bigint, value string"
-
-
-@query("export_clear", with_ctes(f"select {_LINE_SQL} as line, 'exported' as place from export_rows", "export_rows"))
-def export_clear(spark, sf):
-    path, schema = _message_table(spark, sf)
-    target = new_path(spark, "export")
-    exports.export_and_clear(path, target, spark, schema)
+    buffer = Buffer(spark, new_path(spark, "buffer"), "seq bigint, value string")
+    for part in (0, 1):
+        buffer.append(frame.where(F.col("seq") % 3 == part))
+    mark, target = buffer.snapshot(), new_path(spark, "export")
+    buffer.append(frame.where("seq % 3 = 2"))
+    exports.export_and_clear(buffer, target, mark)
     lines = spark.read.option("lineSep", exports.CSV_LINE_END).text(target)
-    left = spark.read.schema(schema).parquet(path)
     return lines.select(F.col("value").alias("line"), F.lit("exported").alias("place")).unionByName(
-        left.select(F.col("value").alias("line"), F.lit("still in the sink").alias("place"))
+        buffer.read().select(F.col("value").alias("line"), F.lit("still in the buffer").alias("place"))
     )
 
 
@@ -728,8 +750,8 @@ def _stream(spark, sf) -> DataFrame:
     return inputs.crawl_log_of(feed.file_feed(spark, sf, tables.EVENTS_SCHEMA, "events.parquet"))
 
 
-def _late_stream(spark, sf, closed: bool = False) -> DataFrame:
-    """The same events over several micro-batches, each of which reaches back over the whole time.
+def _late_events(spark, sf, closed: bool = False) -> Callable[[], DataFrame]:
+    """The events over several micro-batches, each of which reaches back over the whole time; every call is a stream of its own.
 
     ``closed``: a last micro-batch holds a tick, one event long after all others with nothing but its time.
     """
@@ -738,9 +760,13 @@ def _late_stream(spark, sf, closed: bool = False) -> DataFrame:
         inputs.events(spark, sf).where(F.col("event_id") % 4 == part).write.mode("append").parquet(path)
     if closed:
         nothing = [F.lit(None).cast(kind).alias(name) for name, kind in inputs.events(spark, sf).dtypes if name != "ts"]
-        tick = F.lit("9000-01-01").cast("timestamp_ntz").alias("ts")
+        tick = F.lit("2200-01-01").cast("timestamp_ntz").alias("ts")
         spark.range(1).select(*nothing, tick).write.mode("append").parquet(path)
-    return inputs.crawl_log_of(feed.file_feed(spark, path, tables.EVENTS_SCHEMA, "*.parquet", files_per_trigger=1))
+    return lambda: feed.file_feed(spark, path, tables.EVENTS_SCHEMA, "*.parquet", files_per_trigger=1)
+
+
+def _late_stream(spark, sf, closed: bool = False) -> DataFrame:
+    return inputs.crawl_log_of(_late_events(spark, sf, closed)())
 
 
 @query("stream_feed", with_ctes("select seq, depth, url from crawl_log", "crawl_log"))
@@ -772,6 +798,16 @@ def stream_hosts(spark, sf):
     return sink.all().groupBy("crawl_id").agg(F.count(F.lit(1)).alias("unique_hosts"))
 
 
+@query("stream_hosts_about", with_ctes(
+    "select crawl_id, count(distinct host) as unique_hosts, true as within_bound from crawl_log group by crawl_id", "crawl_log"))
+def stream_hosts_about(spark, sf):
+    """Hosts by sketches of the micro-batches next to their exact number: the estimate is off by three standard errors at most."""
+    about = feed.HostSketches(spark).run(_late_stream(spark, sf))
+    exact = counters.unique_hosts(inputs.crawl_log(spark, sf), "crawl_id")
+    off = F.abs(F.col("about_hosts") - F.col("unique_hosts")) / F.col("unique_hosts")
+    return exact.join(about, "crawl_id", "left").select("crawl_id", "unique_hosts", F.coalesce(off <= 3 * 0.01625, F.lit(False)).alias("within_bound"))
+
+
 @query("stream_last_n", with_ctes(f"select seq, depth, url from crawl_log order by seq desc limit {LAST_N}", "crawl_log"))
 def stream_last_n(spark, sf):
     return feed.keep_last(_late_stream(spark, sf).select("seq", "depth", "url"), "seq", LAST_N)
@@ -794,7 +830,8 @@ _BURST_SQL = "(select * replace (1706745600000 + (t_ms - 1706745600000) // 2000
 def _burst(log: DataFrame) -> DataFrame:
     clock = F.lit(1706745600000) + F.expr("(t_ms - 1706745600000) div 2000")
     gap = F.when(F.col("depth") % 3 == 0, 2 * HOST_DELAY_MS).otherwise(HOST_DELAY_MS).cast("bigint")
-    return log.select("seq", "host", clock.cast("bigint").alias("t_ms"), gap.alias("gap"))
+    at = F.when(F.col("seq").isNull(), F.lit(CLOSING_MS)).otherwise(clock)  # a tick comes after the longest queue
+    return log.select("seq", "host", at.cast("bigint").alias("t_ms"), gap.alias("gap"))
 
 
 @query("dispatch_times", with_ctes(
@@ -816,16 +853,14 @@ def stream_throttle(spark, sf):
 
 
 @query("stream_robots", with_ctes(
-    "select seq, base_url, t_ms, granted as refetched, last_grant as rules_fetched_ms from spaced", "crawl_log",
-    recursive=_greedy_sql("(select *, 'http://' || host as base_url from crawl_log)", "base_url", str(robots.CACHE_TTL_MS))))
+    "select seq, base_url, t_ms, refetched, rules_fetched_ms, served_ms, allowed from judged", "crawl_log", "served_rules", "served_paths",
+    recursive=_IN_FORCE_SQL))
 def stream_robots(spark, sf):
-    rows = _stream(spark, sf).select(
-        "seq", urls.base_url(F.col("url")).alias("base_url"), "t_ms", F.lit(robots.CACHE_TTL_MS).cast("bigint").alias("gap")
-    )
-    spaced = feed.spaced_feed(rows, "base_url", "t_ms", "gap", "seq")
-    return spaced.select(
-        "seq", "base_url", "t_ms", F.col("granted").alias("refetched"), F.col("last_grant").alias("rules_fetched_ms")
-    )
+    """Dispatches and served files as two streams over late micro-batches; verdicts by the copy in the cache."""
+    events = _late_events(spark, sf, closed=True)
+    judged = rules_cache.judged_feed(inputs.crawl_log_of(events()), inputs.served_rules_of(events()), AGENT, lateness="400 days")
+    verdicts = feed.collect_feed(judged, "judged").all().where("seq is not null")
+    return verdicts.select("seq", "base_url", F.col("clock").alias("t_ms"), "refetched", "rules_fetched_ms", "served_ms", "allowed")
 
 
 @query("stream_lifecycle", with_ctes(
@@ -835,20 +870,39 @@ def stream_lifecycle(spark, sf):
     return feed.lifecycle_feed(actions).select("crawl_id", "event_id", "action", "state_before", "state")
 
 
-@query("stream_stats", """
-    select crawl_id, queue, cast(0 as bigint) as inFlight, cast(0 as bigint) as rejected, failed, robotsBlocked, processed, cast(0 as bigint) as kafkaErrors,
-           '{"queue":' || queue || ',"inFlight":0,"rejected":0,"failed":' || failed || ',"robotsBlocked":' || robotsBlocked
-           || ',"processed":' || processed || ',"kafkaErrors":0}' as stats
-    from (select user_id % 3 as crawl_id, count(*) filter (where event_type = 'signup') as queue,
-                 count(*) filter (where event_type = 'error') as failed,
-                 count(*) filter (where event_type = 'purchase') as robotsBlocked,
-                 count(*) filter (where event_type in ('click', 'view')) as processed
-          from events group by 1)""")
+# counters of a crawl at the end of each interval from its first to its last event
+_TICKS_SQL = f"""
+    kinds as (select user_id % 3 as crawl_id, (epoch_us(ts) // 1000) // {STATS_MS} as tick, event_type from events),
+    ticks as (select crawl_id, unnest(range(min(tick), max(tick) + 1)) as tick from kinds group by crawl_id),
+    counted as (
+        select t.crawl_id, (t.tick + 1) * {STATS_MS} as until_ms, count(*) filter (where event_type = 'signup') as queue,
+               count(*) filter (where event_type = 'error') as failed, count(*) filter (where event_type = 'purchase') as robots_blocked,
+               count(*) filter (where event_type in ('click', 'view')) as processed
+        from ticks t left join kinds k on k.crawl_id = t.crawl_id and k.tick = t.tick group by t.crawl_id, t.tick),
+    running as (
+        select crawl_id, until_ms, sum(queue) over w as queue, sum(failed) over w as failed, sum(robots_blocked) over w as robots_blocked,
+               sum(processed) over w as processed
+        from counted window w as (partition by crawl_id order by until_ms))"""
+
+
+@query("stream_stats", f"""with {_TICKS_SQL}
+    select crawl_id, until_ms, queue::bigint as queue, cast(0 as bigint) as inFlight, cast(0 as bigint) as rejected, failed::bigint as failed,
+           robots_blocked::bigint as robotsBlocked, processed::bigint as processed, cast(0 as bigint) as kafkaErrors,
+           '{{"queue":' || queue || ',"inFlight":0,"rejected":0,"failed":' || failed || ',"robotsBlocked":' || robots_blocked
+           || ',"processed":' || processed || ',"kafkaErrors":0}}' as stats
+    from running""")
 def stream_stats(spark, sf):
-    rows = feed.file_feed(spark, sf, tables.EVENTS_SCHEMA, "events.parquet")
+    """One record per crawl and interval, from a stream that is read while it runs."""
+    rows = _late_events(spark, sf)()
     kind = F.col("event_type")
     state = (
         F.when(kind == "signup", "queued").when(kind == "error", "failed").when(kind == "purchase", "robots_blocked")
         .otherwise("processed")
     )
-    return feed.periodic_stats(rows.select((F.col("user_id") % 3).alias("crawl_id"), state.alias("state")))
+    log = rows.select((F.col("user_id") % 3).alias("crawl_id"), text.epoch_ms(F.col("ts")).alias("t_ms"), state.alias("state"))
+    running = live.start_stats(log, interval_ms=STATS_MS, trigger={"processingTime": "0 seconds"})
+    try:
+        running.query.processAllAvailable()
+        return running.rows()
+    finally:
+        running.query.stop()

@@ -103,15 +103,19 @@ def robots(spark: SparkSession, sf: str) -> DataFrame:
     return base.select("base_url", F.when(size % 7 == 0, 404).otherwise(200).alias("status"), body.alias("body"))
 
 
-def served_rules(spark: SparkSession, sf: str) -> DataFrame:
-    """Rules files over time: every sign-up brings its site a new one; every fifth answers 404."""
-    log = events(spark, sf).where("event_type = 'signup'")
+def served_rules_of(rows: DataFrame) -> DataFrame:
+    """Rules files over time from event rows: every sign-up brings its site a new one; every fifth answers 404."""
+    log = rows.where("event_type = 'signup'")
     body = F.element_at(F.array(*[F.lit("\n".join(lines)) for lines in SERVED_FILES]), (F.col("event_id") % 3 + 1).cast("int"))
     base = F.concat(F.lit("http://h"), (F.col("user_id") % 20).cast("string"), F.lit(".example.com"))
     served = log.select(base.alias("base_url"), epoch_ms(F.col("ts")).alias("served_ms"), "event_id", body.alias("body"))
     return served.select("base_url", "served_ms", F.when(F.col("event_id") % 5 == 0, 404).otherwise(200).alias("status"), "body")
 
 
+def served_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return served_rules_of(events(spark, sf))
+
+
 def fetch_attempts(spark: SparkSession, sf: str) -> DataFrame:
     attempts = pages(spark, sf).select("page_id", "url", F.explode(F.array(*[F.lit(i) for i in (1, 2, 3)])).alias("attempt"))
     pick = (F.col("page_id") * 7 + F.col("attempt") * 3) % 10

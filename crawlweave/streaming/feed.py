@@ -142,9 +142,29 @@ def running_hosts(feed: DataFrame, key: str = "crawl_id") -> DataFrame:
     return hosts.dropDuplicates([key, "host"])
 
 
-def approximate_hosts(feed: DataFrame, key: str = "crawl_id") -> DataFrame:
-    host = F.when(urls.live_host(F.col("url")) != "", urls.live_host(F.col("url")))
-    return feed.groupBy(key).agg(F.approx_count_distinct(host).alias("unique_hosts"))
+class HostSketches:
+    """Distinct hosts per key by mergeable sketches: each micro-batch writes one sketch per key, reading unites them.
+
+    A sketch has ``2 ** log_size`` registers at most, whatever the number of hosts, and a relative standard error of about
+    ``1.04 / sqrt(2 ** log_size)``: 1.6 % for the usual 4,096.
+    """
+
+    def __init__(self, spark: SparkSession, key: str = "crawl_id", log_size: int = 12, path: str | None = None):
+        self.key, self.log_size = key, log_size
+        self.sink = BatchTable(spark, "host-sketches", f"`{key}` bigint, sketch binary", path)
+
+    def step(self, batch: DataFrame, batch_id: int) -> None:
+        host = urls.live_host(F.col("url"))
+        hosts = batch.select(F.col(self.key).cast("bigint").alias(self.key), F.when(host != "", host).alias("host")).where("host is not null")
+        self.sink.write(hosts.groupBy(self.key).agg(F.hll_sketch_agg("host", F.lit(self.log_size)).alias("sketch")), batch_id)
+
+    def run(self, feed: DataFrame, checkpoint: str | None = None) -> DataFrame:
+        drain(feed, self.step, checkpoint=checkpoint)
+        return self.counts()
+
+    def counts(self) -> DataFrame:
+        united = self.sink.all().groupBy(self.key).agg(F.hll_union_agg("sketch").alias("sketch"))
+        return united.select(self.key, F.hll_sketch_estimate("sketch").alias("about_hosts"))
 
 
 def per_second(batch: DataFrame, key: str = "crawl_id", clock: str = "ts") -> DataFrame:

@@ -10,7 +10,8 @@ back that far; the state is bounded by the hosts that were busy lately. It lives
 host is one key, as its grants form one sequence; it grants one request per gap, so its queue is what costs, not its
 traffic. A request without a host is granted at once and leaves no state.
 
-A feed that ends needs a last row far in the future (a tick, without host), or the last requests wait for ever.
+A feed that ends needs a last row far in the future (a tick, without host), or the last requests wait for ever. Clocks must
+lie before the year 2262, where time stamps in Python end.
 """
 
 from __future__ import annotations

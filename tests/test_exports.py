@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from crawlweave.operators import counters, exports
 from crawlweave.session import new_path
+from crawlweave.sources.buffer import Buffer
 
 
 def test_csv_bytes(spark, tmp_path):
@@ -25,14 +26,32 @@ def test_header_part(spark, tmp_path):
     assert [r["line"] for r in exports.read_export(spark, out).orderBy("place").collect()] == ["depth,url,host,path", "0,http://h/a,h,/a"]
 
 
-def test_export_and_clear_empties_the_sink(spark):
-    path, target = new_path(spark, "sink"), new_path(spark, "out")
-    schema = "seq bigint, value string"
-    spark.createDataFrame([(1, "0|http://h/a"), (2, "bad|http://h/b")], schema).write.parquet(path)
-    snapshot = exports.export_and_clear(path, target, spark, schema)
-    assert snapshot.count() == 2
-    assert spark.read.schema(schema).parquet(path).count() == 0
-    assert {r[0] for r in spark.read.text(target).collect()} == {"0,http://h/a,h,/a", "0,http://h/b,h,/b"}
+def test_clear_takes_exactly_what_was_exported(spark):
+    """Messages that arrive between the snapshot and the clearing stay, also while another clearing goes on."""
+    buffer = Buffer(spark, new_path(spark, "buffer"), "seq bigint, value string")
+    put = lambda *seqs: buffer.append(spark.createDataFrame([(i, f"1|http://h/{i}") for i in seqs], buffer.schema))
+    held = lambda: sorted(r.seq for r in buffer.read().collect())
+    assert held() == [] and buffer.snapshot() == []
+    put(1, 2)
+    put(3)
+    mark, target = buffer.snapshot(), new_path(spark, "export")
+    put(4)
+    snapshot = exports.export_and_clear(buffer, target, mark)
+    assert sorted(r.seq for r in snapshot.collect()) == [1, 2, 3] and held() == [4]
+    assert {r[0] for r in spark.read.text(target).collect()} == {f"1,http://h/{i},h,/{i}" for i in (1, 2, 3)}
+    one, two = buffer.snapshot(), buffer.snapshot()
+    put(5)
+    buffer.clear(one)
+    buffer.clear(two)  # a second reader with the same mark
+    assert held() == [5]
+    exports.export_and_clear(buffer, new_path(spark, "export"))
+    assert held() == [] and buffer.count() == 0
+    buffer.append(spark.createDataFrame([(7, "bad|http://h/b")], buffer.schema))
+    last = new_path(spark, "export")
+    exports.export_and_clear(buffer, last)
+    assert [r[0] for r in spark.read.text(last).collect()] == ["0,http://h/b,h,/b"]
+    put(6)
+    assert held() == [6] and len(buffer._names("batches")) == 2  # and the folder that was cleared last
 
 
 def test_last_n_keeps_the_newest(spark):

@@ -3,12 +3,12 @@
 import pytest
 from pyspark.sql import functions as F
 
-from crawlweave.operators import counters, exports, lifecycle
+from crawlweave.operators import counters, exports, lifecycle, robots
 from crawlweave.operators.spacing import greedy_spacing
 from crawlweave.plans import inputs
 from crawlweave.session import new_path
 from crawlweave.sources import tables, topics
-from crawlweave.streaming import feed
+from crawlweave.streaming import feed, live, rules_cache
 
 PARTS = 4
 
@@ -59,7 +59,7 @@ def test_depths(spark, folder, batch):
 def test_hosts(spark, folder, batch):
     sink = feed.collect_feed(feed.running_hosts(log_of(spark, folder)), "hosts")
     same(sink.all().groupBy("crawl_id").agg(F.count("host").alias("unique_hosts")), counters.unique_hosts(batch, "crawl_id"))
-    about = feed.collect_feed(feed.approximate_hosts(log_of(spark, folder)), "hosts", "complete").latest()
+    about = feed.HostSketches(spark).run(log_of(spark, folder))
     exact = {r[0]: r[1] for r in counters.unique_hosts(batch, "crawl_id").collect()}
     assert all(abs(r[1] - exact[r[0]]) <= 0.1 * exact[r[0]] + 1 for r in about.collect())
 
@@ -98,6 +98,72 @@ def test_dedup_within_watermark(spark, folder, batch):
     assert got.count() == batch.select("url").distinct().count()
 
 
+def test_sketches_of_many_hosts_stay_within_their_error(spark):
+    rows = spark.range(60_000).selectExpr("id % 2 as crawl_id", "concat('http://h', if(id % 2 = 0, id, id % 700), '.org/') as url")
+    sketches = feed.HostSketches(spark)
+    for number, part in enumerate(rows.randomSplit([1.0] * 5, 3)):
+        sketches.step(part, number)
+    sketches.step(rows.limit(0), 5)
+    got = {r.crawl_id: r.about_hosts for r in sketches.counts().collect()}
+    assert abs(got[0] / 30_000 - 1) < 0.05 and abs(got[1] / 350 - 1) < 0.05
+
+
+def test_live_stats_are_published_while_the_stream_runs(spark, folder, batch):
+    state = F.when(F.col("depth") == 0, "failed").otherwise("processed")
+    path = new_path(spark, "growing")
+    log = batch.select("crawl_id", "t_ms", state.alias("state"))
+    log.where("t_ms % 2 = 0").write.parquet(path)
+    stream = spark.readStream.schema("crawl_id bigint, t_ms bigint, state string").parquet(path)
+    hour = 3_600_000
+    running = live.start_stats(stream, interval_ms=hour, trigger={"processingTime": "0 seconds"})
+    try:
+        running.query.processAllAvailable()
+        half = running.rows().agg(F.sum("processed")).first()[0]
+        assert running.query.isActive and half > 0
+        log.where("t_ms % 2 = 1").write.mode("append").parquet(path)
+        running.query.processAllAvailable()
+        rows = running.rows().collect()
+        assert running.query.isActive
+    finally:
+        running.query.stop()
+    want = {}
+    for crawl, t, kind in [tuple(r) for r in log.collect()]:
+        want.setdefault(crawl, []).append((t // hour, kind))
+    for crawl, seen in want.items():
+        own = sorted((r for r in rows if r.crawl_id == crawl), key=lambda r: r.until_ms)
+        first, last = min(seen)[0], max(seen)[0]
+        assert [r.until_ms for r in own] == [(t + 1) * hour for t in range(first, last + 1)]
+        for r in own:
+            assert (r.processed, r.failed) == tuple(sum(t < r.until_ms // hour and k == kind for t, k in seen) for kind in ("processed", "failed"))
+    assert rows[0].stats.startswith('{"queue":0,"inFlight":0,"rejected":0,"failed":')
+
+
+def test_rules_cache_over_micro_batches_equals_the_as_of_join(spark):
+    """Mixed order within a minute, a hot site, files that change while a copy is in force, a bad address."""
+    import random
+
+    draw, minute = random.Random(2), 60_000
+    bodies = ["User-agent: *\nDisallow: /a", "User-agent: *\nDisallow: /b\nAllow: /b/c", "User-agent: crawlbot\nDisallow: /"]
+    sites = ["http://hot.org"] * 4 + ["http://b.org", "http://c.org"]
+    asked = [(i, draw.choice(sites) + draw.choice(["/a", "/b", "/b/c", ""]), draw.randrange(1, 200 * minute)) for i in range(600)] + [(600, "no address", 5 * minute)]
+    files = [(draw.choice(sites[:5]), draw.randrange(0, 200 * minute), draw.choice([200, 200, 404]), draw.choice(bodies)) for _ in range(40)]
+    schemas = "seq bigint, url string, t_ms bigint", "base_url string, served_ms bigint, status int, body string"
+    paths = [new_path(spark, "asked"), new_path(spark, "served")]
+    tick = 10**9
+    for rows, at, schema, path, end in ((asked, 2, schemas[0], paths[0], (None, "http://tick.org/", tick)), (files, 1, schemas[1], paths[1], ("http://tick.org", tick, 200, ""))):
+        rows = sorted(rows, key=lambda r: r[at] + draw.randrange(minute))
+        for k in range(4):
+            spark.createDataFrame(rows[k::4] if k < 0 else rows[k * len(rows) // 4 : (k + 1) * len(rows) // 4], schema).coalesce(1).write.mode("append").parquet(path)
+        spark.createDataFrame([end], schema).coalesce(1).write.mode("append").parquet(path)
+    streams = [feed.file_feed(spark, p, s, "*.parquet", files_per_trigger=1) for p, s in zip(paths, schemas)]
+    judged = rules_cache.judged_feed(*streams, agent="crawlbot", lateness="70 minutes")
+    got = feed.collect_feed(judged, "judged")
+    assert len(got.batches) >= 4
+    want = robots.rules_in_force(spark.createDataFrame(asked, schemas[0]), spark.createDataFrame(files, schemas[1]), "crawlbot", "t_ms", "seq")
+    columns = ["seq", "base_url", "refetched", "rules_fetched_ms", "served_ms", "allowed"]
+    same(got.all().where("seq is not null").select(*columns), want.select(*columns))
+
+
 def test_snapshot_then_only_new_rows(spark):
     path, checkpoint, schema = new_path(spark, "sink"), new_path(spark, "cp"), "seq bigint, value string"
     spark.createDataFrame([(1, "a"), (2, "b")], schema).write.parquet(path)

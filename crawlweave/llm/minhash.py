@@ -227,12 +227,16 @@ def class_links(classes: DataFrame, sets_for: Callable[[DataFrame], DataFrame])
 
     named = components(links)
     named = star.select("y").distinct().join(named, F.col("y") == F.col("id"), "left").select("y", F.coalesce("component", "y").alias("component"))
-    member = star.join(named, "y")
-    centre = member.where("x = y").select("x", F.col("component").alias("home"))
+    # Each step is a table of its own, so that no join shares its partitioning with the sums by centre: a centre with
+    # very many members is split where it is joined, and summed in parts before it is shuffled.
+    member = stage(star.join(named, "y"), "named")
+    centre = stage(member.where("x = y").select("x", F.col("component").alias("home")), "centres")
     member = member.join(centre, "x").select("x", F.col("y").alias("id"), "n", "component", (F.col("component") != F.col("home")).alias("away"))
+    member = stage(member, "homes")
     counts = member.groupBy("x").agg(F.count("*").alias("all"), F.sum(F.col("away").cast("long")).alias("away_count")).where("away_count > 0")
     blocks = {"all_blocks": F.ceil(F.col("all") / BLOCK).cast("int"), "away_blocks": F.ceil(F.col("away_count") / BLOCK).cast("int")}
-    member = stage(member.join(counts.withColumns(blocks), "x").join(sets, "id"), "members")
+    counts = stage(counts.withColumns(blocks), "counts")
+    member = stage(member.join(counts, "x").join(sets, "id"), "members")
     deal = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     others = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     away = member.where("away").select("x", "id", "members", "component", deal("away_blocks").alias("i"), others("all_blocks").alias("j"))

@@ -18,6 +18,7 @@ from dataclasses import dataclass
 from functools import reduce
 from math import log2
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,8 +26,8 @@ from crawlweave.llm.common import words
 
 #: Labelled rows that are used at most for learning.
 TEACHING_ROWS = 20_000
-#: Most rules, most conditions in a rule, cut points tried per figure, least rows a rule covers, and least precision.
-RULES, CONDITIONS, CUTS, LEAST_ROWS, PRECISION = 12, 3, 64, 10, 0.98
+#: Most rules, most conditions in a rule, least rows a rule covers, and least precision.
+RULES, CONDITIONS, LEAST_ROWS, PRECISION = 12, 3, 10, 0.98
 #: Characters that count as symbols.
 SYMBOLS = "[#*$%&|<>]"
 #: What rules may look at: shares and means, so that long and short texts are measured alike.
@@ -114,33 +115,32 @@ class Condition:
 Rule = tuple[Condition, ...]
 
 
-def _gain(bad: int, good: int, bad_before: int, good_before: int) -> float:
+def _gain(bad: np.ndarray, covered: np.ndarray, bad_before: int, before: int) -> np.ndarray:
     """Information gained per covered bad row, times those rows."""
-    if not bad:
-        return 0.0
-    return bad * (log2(bad / (bad + good)) - log2(bad_before / (bad_before + good_before)))
+    some = np.maximum(bad, 1)
+    return np.where(bad > 0, bad * (np.log2(some / np.maximum(covered, 1)) - log2(bad_before / before)), 0.0)
 
 
 def _grow(rows: list[dict]) -> Rule:
+    """Conditions that gain most, one after the other; a cut is tried between every two neighbouring values of a figure."""
     rule: Rule = ()
     while len(rule) < CONDITIONS:
-        bad = sum(r["bad"] for r in rows)
-        good = len(rows) - bad
-        if not good or not bad:
+        marks = np.array([r["bad"] for r in rows], np.int64)
+        bad, n = int(marks.sum()), len(rows)
+        if bad in (0, n):
             break
         best, most = None, 0.0
         for figure in FIGURES:
-            ordered = sorted(rows, key=lambda r: r[figure])
-            step, seen_bad = max(1, len(ordered) // CUTS), 0
-            for i, r in enumerate(ordered[:-1], 1):
-                seen_bad += r["bad"]
-                if i % step or r[figure] == ordered[i][figure]:
-                    continue
-                cut = (r[figure] + ordered[i][figure]) / 2
-                for above, b, n in ((False, seen_bad, i), (True, bad - seen_bad, len(ordered) - i)):
-                    gain = _gain(b, n - b, bad, good)
-                    if gain > most:
-                        best, most = Condition(figure, above, cut), gain
+            values = np.array([r[figure] for r in rows], np.float64)
+            order = np.argsort(values, kind="stable")
+            values, below_bad = values[order], np.cumsum(marks[order])
+            ends = np.flatnonzero(values[1:] > values[:-1])  # last rows below a boundary
+            cuts, b, below = (values[ends] + values[ends + 1]) / 2, below_bad[ends], ends + 1
+            cuts = np.where(cuts > values[ends], cuts, values[ends + 1])  # neighbours may leave no number between them
+            for above, gains in ((False, _gain(b, below, bad, n)), (True, _gain(bad - b, n - below, bad, n))):
+                at = int(gains.argmax()) if len(gains) else 0
+                if len(gains) and gains[at] > most:
+                    best, most = Condition(figure, above, float(cuts[at])), float(gains[at])
         if best is None:
             break
         rule += (best,)

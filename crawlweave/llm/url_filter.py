@@ -1,12 +1,13 @@
 """URL filters by hash prefixes.
 
-Every distinct URL is expanded into the host suffixes and path prefixes that rules can have, each expression is
-joined to the rules on a few bytes of its digest, and full digests confirm the match. The longest rule decides.
+Every distinct URL is expanded in two steps. Its host suffixes are joined to the hosts that rules have, on a few bytes of
+their digests, and full digests confirm. Where a suffix is some rule's host, the path prefixes as long as that host's rules
+are made and joined to the rules in the same way. The longest rule decides. So the expressions of a URL follow the dots in
+its host and the lengths of the rules for that very host, however many other rules there are and however long they are.
 
-Only expressions as long as some rule's host and path are made, so their number per URL follows the variety of rule
-lengths, not the length of the URL. Rules are sent to every task while they are fewer than ``SENT_RULES``; beyond
-that both sides are dealt out by the digest prefix and a salt of the URL, as a suffix like ``com/`` occurs in nearly
-every URL. A URL that occurs a million times is judged once.
+There is one plan for rules of every number: both sides are dealt out by the digest prefix and a salt of the URL, as a
+suffix like ``com`` occurs in nearly every URL; where the rules are small, Spark itself sends them to every task by their
+measured size. A URL that occurs a million times is judged once.
 
 A null URL, or one without ``://``, has an empty host and path, fits no rule and gets the default verdict. Repeated
 rows stay repeated. Rules with a null host or verdict are ignored, a null path counts as empty; of equal rules a
@@ -19,14 +20,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlweave.llm.common import ascii_lower
+from crawlweave.session import stage
 
-#: Most rules, each of bounded length, that are sent to every task; and salts beyond that.
-SENT_RULES, SALTS = 100_000, 64
+#: Copies of every rule, each for a share of the URLs.
+SALTS = 16
 #: Hexadecimal digits of the digest that are joined on.
 PREFIX_DIGITS = 8
-#: Longest host or path of a rule that is accepted, in characters.
-LONGEST_RULE = 2048
-
 
 def host_of(url: Column) -> Column:
     """After the first ``://`` up to ``/``, ``?``, ``#`` or the end, ``A``-``Z`` lower-cased; empty without one."""
@@ -44,47 +43,40 @@ def _digested(df: DataFrame, expression: Column) -> DataFrame:
 
 
 def prepare_rules(rules: DataFrame) -> DataFrame:
-    """``host``, ``path``, ``verdict`` to distinct rules with their digests."""
+    """``host``, ``path``, ``verdict`` to distinct rules."""
     kept = rules.select(
         F.col("host").alias("_host"), F.coalesce(F.col("path"), F.lit("")).alias("_path"), F.col("verdict").alias("_verdict")
     ).where("_host is not null and _host <> '' and _verdict is not null")
     one = kept.groupBy("_host", "_path").agg(F.max("_verdict").alias("_verdict"))
-    too_long = F.raise_error(F.lit(f"a rule is longer than {LONGEST_RULE} characters"))
-    one = one.withColumn("_path", F.when(F.greatest(F.length("_host"), F.length("_path")) > LONGEST_RULE, too_long).otherwise(F.col("_path")))
-    return _digested(one.withColumn("_rule", F.concat("_host", "_path")), F.col("_rule"))
+    return stage(one.withColumn("_rule", F.concat("_host", "_path")), "rules")
+
 
+def suffixes(host: Column) -> Column:
+    """The host and what follows each of its dots."""
+    labels = F.split(host, r"\.", -1)
+    return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
 
-def expressions(urls: DataFrame, host_lengths: list[int], path_lengths: list[int]) -> DataFrame:
-    """One row per URL and expression of host suffix and path prefix with these lengths.
 
-    A suffix starts at the host's beginning or after a dot.
-    """
-    n = F.length("_h")
-    suffix = lambda k: F.when((n == k) | ((n > k) & (F.substring(F.col("_h"), n - k, F.lit(1)) == ".")), F.substring(F.col("_h"), n - k + 1, F.lit(k)))
-    prefix = lambda k: F.when(F.length("_p") >= k, F.substring("_p", 1, k))
-    made = urls.withColumn("_suffix", F.explode(F.array_compact(F.array(*map(suffix, host_lengths)))))
-    return made.withColumn("_start", F.explode(F.array_compact(F.array(*map(prefix, path_lengths)))))
+def _met(made: DataFrame, expression: Column, known: DataFrame, named: Column) -> DataFrame:
+    """Rows of ``made`` whose expression is that of a row in ``known``: joined by digest prefix and salt, confirmed by the full digest."""
+    salted = _digested(known, named).withColumnRenamed("_digest", "_full").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    made = _digested(made, expression).withColumn("_salt", F.pmod(F.xxhash64("_h", "_p"), F.lit(SALTS)).cast("int"))
+    met = made.join(stage(salted, "digests"), ["_prefix", "_salt"]).where("_digest = _full")
+    return met.drop("_prefix", "_salt", "_digest", "_full")
 
 
 def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow") -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule`` and ``verdict``; columns of those names are replaced."""
     ready = prepare_rules(rules)
-    facts = ready.agg(
-        F.count("*").alias("n"), F.collect_set(F.length("_host")).alias("hosts"), F.collect_set(F.length("_path")).alias("paths")
-    ).first()  # at most LONGEST_RULE numbers
+    hosts = ready.groupBy("_host").agg(F.collect_set(F.length("_path")).alias("_lengths"))
     pages = pages.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
-    if not facts.n:
-        return pages.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
     distinct = pages.where("host <> ''").select(F.col("host").alias("_h"), F.col("path").alias("_p")).distinct()
-    made = _digested(expressions(distinct, sorted(facts.hosts), sorted(facts.paths)), F.concat("_suffix", "_start"))
-    if facts.n <= SENT_RULES:
-        met = made.join(F.broadcast(ready.withColumnRenamed("_digest", "_full")), "_prefix")
-    else:
-        salted = ready.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        made = made.withColumn("_salt", F.pmod(F.xxhash64("_h", "_p"), F.lit(SALTS)).cast("int"))
-        met = made.join(salted.withColumnRenamed("_digest", "_full"), ["_prefix", "_salt"])
+    suffixed = distinct.select("_h", "_p", F.explode(suffixes(F.col("_h"))).alias("_suffix"))
+    at_home = _met(suffixed, F.col("_suffix"), hosts, F.col("_host")).select("_h", "_p", "_suffix", F.explode("_lengths").alias("_n"))
+    whole = at_home.where(F.length("_p") >= F.col("_n")).withColumn("_start", F.substring(F.col("_p"), F.lit(1), F.col("_n")))
+    met = _met(whole, F.concat("_suffix", "_start"), ready, F.col("_rule"))
     rank = F.struct(F.length("_rule").alias("n"), F.length("_host").alias("h"), F.col("_rule").alias("rule"), F.col("_verdict").alias("verdict"))
-    best = met.where("_digest = _full").groupBy("_h", "_p").agg(F.max(rank).alias("_best"))
+    best = met.groupBy("_h", "_p").agg(F.max(rank).alias("_best"))
     joined = pages.join(best, (F.col("host") == F.col("_h")) & (F.col("path") == F.col("_p")), "left")
     columns = {"rule": F.col("_best.rule"), "verdict": F.coalesce("_best.verdict", F.lit(default))}
     return joined.withColumns(columns).drop("_h", "_p", "_best")

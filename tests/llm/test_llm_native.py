@@ -1,5 +1,6 @@
 """URL filters, decontamination and quality rules against plain Python."""
 
+import math
 import random
 import re
 
@@ -28,15 +29,32 @@ def judged(url, rules):
     return (host, path, *(max(fit)[2:] if fit else (None, "allow")))
 
 
-@pytest.mark.parametrize("sent", [100_000, 0])
-def test_urls(spark, monkeypatch, sent):
-    monkeypatch.setattr(url_filter, "SENT_RULES", sent)
+@pytest.fixture(params=["10485760", "-1"])
+def broadcasts(spark, request):
+    """With Spark's own broadcasts by measured size, and without any."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", request.param)
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_urls(spark, broadcasts):
     pages = spark.createDataFrame([(i, u) for i, u in enumerate(URLS * 2)], "page_id int, url string").withColumn("rule", F.lit("old"))
     rules = spark.createDataFrame([*RULES, (None, "/", "block"), ("x.com", None, None), *RULES], "host string, path string, verdict string")
     got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_filter.judge(pages, rules).collect()}
     assert got == {i: judged(u, RULES) for i, u in enumerate(URLS * 2)}
 
 
+def test_many_and_long_rules(spark):
+    """Rules of very many lengths for one host cost only the URLs of that host; no rule is too long."""
+    long_path = "/" + "p" * 5000
+    rules = [("deep.org", "/" + "x" * i, "block") for i in range(1, 300)] + [("deep.org", long_path, "allow"), ("org", "", "allow"), ("a" * 3000 + ".net", "/", "block")]
+    urls = [f"http://deep.org/{'x' * 150}", f"http://deep.org{long_path}/q", "http://other.org/xx", f"http://{'a' * 3000}.net/z", "http://none.com/x"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in url_filter.judge(pages, spark.createDataFrame(rules, "host string, path string, verdict string")).collect()}
+    assert got == {i: judged(u, rules)[2:] for i, u in enumerate(urls)}
+    assert got[0] == ("deep.org/" + "x" * 150, "block") and got[1][1] == "allow" and got[3][1] == "block"
+
+
 def test_no_rules_and_no_pages(spark):
     rules = spark.createDataFrame([], "host string, path string, verdict string")
     pages = spark.createDataFrame([("http://a.org/",)], "url string")
@@ -62,9 +80,9 @@ def contamination(text, items):
     return len(w), len(hit), sorted(k for k in ids if k is not None), bool(hit) and 20 * len(hit) >= len(w)
 
 
-@pytest.mark.parametrize("sent", [200_000, 0])
-def test_decontamination(spark, monkeypatch, sent):
-    monkeypatch.setattr(decontaminate, "SENT_ROWS", sent)
+@pytest.mark.parametrize("bits", [1 << 24, 1 << 6])
+def test_decontamination(spark, broadcasts, monkeypatch, bits):
+    monkeypatch.setattr(decontaminate, "FILTER_BITS", bits)  # with few bits nearly everything passes to the join
     draw = random.Random(3)
     word = lambda: draw.choice(["a", "b", "cé", "D1", "e"])
     items = [(i, ", ".join(word() for _ in range(draw.choice([1, 3, 5, 12, 13, 14, 40])) )) for i in range(6)]
@@ -123,6 +141,46 @@ def test_rules_are_learned(spark):
     assert quality_rules.cover([r | {"bad": 0} for r in rows]) == [] == quality_rules.cover([])
 
 
+def brute_first_condition(rows):
+    """The single condition with the highest gain, all boundaries of all figures tried row by row."""
+    bad, best = sum(r["bad"] for r in rows), (0.0, None)
+    for figure in quality_rules.FIGURES:
+        values = sorted({r[figure] for r in rows})
+        for low, high in zip(values, values[1:]):
+            for above in (False, True):
+                inside = [r for r in rows if (r[figure] >= (low + high) / 2) == above]
+                b = sum(r["bad"] for r in inside)
+                gain = b * (math.log2(b / len(inside)) - math.log2(bad / len(rows))) if b else 0.0
+                if gain > best[0] + 1e-9:
+                    best = (gain, {id(r) for r in inside})
+    return best
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_grown_condition_is_the_best(seed, monkeypatch):
+    monkeypatch.setattr(quality_rules, "CONDITIONS", 1)
+    draw = random.Random(seed)
+    rows = [{f: draw.choice([0.0, 0.0, 0.5, draw.random()]) for f in quality_rules.FIGURES} for _ in range(250)]
+    for r in rows:
+        r["bad"] = int(r["bang_share"] + draw.random() / 3 > 0.8)
+    (rule,) = quality_rules._grow(rows)
+    inside = [r for r in rows if rule.holds(r)]
+    b, bad = sum(r["bad"] for r in inside), sum(r["bad"] for r in rows)
+    gain, _ = brute_first_condition(rows)
+    assert math.isclose(b * (math.log2(b / len(inside)) - math.log2(bad / len(rows))), gain)
+
+
+@pytest.mark.parametrize("n", [100, 6000])
+def test_few_bad_rows_behind_a_tie_are_found(n):
+    """Nearly all rows share one value; the cut lies just beside it."""
+    draw = random.Random(3)
+    rows = [{f: draw.random() for f in quality_rules.FIGURES} | {"symbol_share": 0.0, "bad": 0} for _ in range(n)]
+    for r in draw.sample(rows, 40):
+        r.update(symbol_share=draw.uniform(0.01, 0.5), bad=1)
+    rules = quality_rules.cover(rows)
+    assert rules and all(any(all(c.holds(r) for c in rule) for rule in rules) == bool(r["bad"]) for r in rows)
+
+
 def test_learning_copes_with_gaps(spark):
     docs = spark.createDataFrame([(1, "a " * 60), (1, "b " * 60), (None, "c"), (2, None)], "doc_id bigint, text string")
     labels = spark.createDataFrame([(1, 0), (1, 0), (2, 1), (None, 1), (3, None)], "doc_id bigint, quality int")

@@ -16,7 +16,7 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +29,10 @@ FAN = 16
 #: Above every rank, and above every leaf of a pair with a rank.
 _NONE = 1 << 28
 _NO_PAIR = _NONE << 32
+#: The same for short pieces.
+_FEW_BITS = 5
+_FEW_MASK, _FEW_NONE = (1 << _FEW_BITS) - 1, 1 << 24
+_FEW_NO_PAIR = _FEW_NONE << _FEW_BITS
 
 
 def parse_ranks(data: bytes) -> dict[bytes, int]:
@@ -86,6 +90,48 @@ def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+def pair_table(ranks: dict[bytes, int]) -> list[list[int]]:
+    """By first and second byte: the rank of the pair, shifted to make room for a position; a large number for no rank."""
+    table = [[_FEW_NO_PAIR] * 256 for _ in range(256)]
+    for pair, rank in ranks.items():
+        if len(pair) == 2:
+            table[pair[0]][pair[1]] = rank << _FEW_BITS
+    return table
+
+
+def merge_short(piece: bytes, ranks: dict[bytes, int], pairs: list[list[int]]) -> list[int]:
+    """As :func:`merge_piece` for two to ``FAN + 1`` bytes, whose tree is one node over its leaves.
+
+    Ranks are below ``_FEW_NONE``, so a leaf with its position is a small number, and first ranks come from a table.
+    """
+    known = ranks.get(piece)
+    if known is not None:
+        return [known]
+    n, get = len(piece), ranks.get
+    leaves = [pairs[a][b] + i for i, (a, b) in enumerate(zip(piece, piece[1:]))]
+    stop, left = list(range(1, n + 1)), list(range(-1, n - 1))
+    while (least := min(leaves)) < _FEW_NO_PAIR:
+        at = least & _FEW_MASK
+        gone = stop[at]
+        end = stop[at] = stop[gone]
+        if gone < n - 1:
+            leaves[gone] = _FEW_NO_PAIR
+        if end < n:
+            left[end] = at
+            leaves[at] = (get(piece[at : stop[end]], _FEW_NONE) << _FEW_BITS) + at
+        else:
+            leaves[at] = _FEW_NO_PAIR
+        before = left[at]
+        if before >= 0:
+            leaves[before] = (get(piece[before:end], _FEW_NONE) << _FEW_BITS) + before
+    out, at = [], 0
+    while at < n:
+        end = stop[at]
+        out.append(ranks[piece[at:end]])
+        at = end
+    return out
+
+
 class Memory(dict):
     """Results for pieces seen before, at most ``2 * MEMORY_PIECES``: when full, only those used since are kept."""
 
@@ -106,12 +152,24 @@ class Memory(dict):
         self[piece] = result
 
 
-class Codec:
-    """Ranks, pattern and the memory of merged pieces; one per worker process. Ids are packed as 32-bit integers."""
+class Ranks:
+    """A parsed rank file: token to rank, which is also its id, and back."""
 
-    def __init__(self, data: bytes, pattern: str) -> None:
+    def __init__(self, data: bytes) -> None:
         self.ranks = parse_ranks(data)
         self.tokens = {rank: token for token, rank in self.ranks.items()}
+        self.pairs = pair_table(self.ranks) if len(self.ranks) and max(self.tokens) < _FEW_NONE else None
+
+    def decode(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.tokens.__getitem__, ids))
+
+
+class Codec:
+    """Ranks, pattern and the memory of merged pieces. Ids are packed as 32-bit integers."""
+
+    def __init__(self, data: bytes, pattern: str) -> None:
+        file = _ranks(data)
+        self.ranks, self.decode, self._pairs = file.ranks, file.decode, file.pairs
         split = splitter(pattern)
         self._find, self._lines = split.find, split.lines
         self._memory = Memory()
@@ -123,7 +181,8 @@ class Codec:
             ids = self._memory[piece]
             if ids is None:
                 raw = piece.encode("utf-8")
-                ids = array("i", merge_piece(raw, self.ranks)).tobytes()
+                short = 1 < len(raw) <= FAN + 1 and self._pairs is not None
+                ids = array("i", merge_short(raw, self.ranks, self._pairs) if short else merge_piece(raw, self.ranks)).tobytes()
                 if len(raw) <= MEMORY_BYTES:
                     self._memory.keep(piece, ids)
             out.append(ids)
@@ -152,19 +211,30 @@ class Codec:
         out.pop()
         return b"".join(out)
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+
+#: What a worker process keeps from batch to batch, by the content of the rank file: parsed files and codecs. Encoder and
+#: decoder of one query share the parsed file, and neither drops what the other holds.
+KEPT = 4
+_RANKS: dict[bytes, Ranks] = {}
+_CODECS: dict[tuple[bytes, str], Codec] = {}
+
+
+def _held(store: dict, key, make):
+    """The stored value; a new one takes the place of the eldest of ``KEPT``."""
+    found = store.get(key)
+    if found is None:
+        while len(store) >= KEPT:
+            del store[next(iter(store))]
+        found = store[key] = make()
+    return found
 
 
-_CODECS: dict[tuple, Codec] = {}
+def _ranks(data: bytes) -> Ranks:
+    return _held(_RANKS, xxhash.xxh3_128_digest(data), lambda: Ranks(data))
 
 
-def _codec(data: Broadcast, pattern: str) -> Codec:
-    key = (id(data.value), pattern)
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = Codec(data.value, pattern)
-    return _CODECS[key]
+def _codec(data: bytes, pattern: str) -> Codec:
+    return _held(_CODECS, (xxhash.xxh3_128_digest(data), pattern), lambda: Codec(data, pattern))
 
 
 def read_file(path: str) -> bytes:
@@ -179,7 +249,7 @@ def encoder(spark: SparkSession, rank_file: str, pattern: str):
 
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
-        codec = _codec(data, pattern)
+        codec = _codec(data.value, pattern)
         packed = [codec.encode(text) if text else b"" for text in texts.to_pylist()]
         offsets = np.concatenate([[0], np.cumsum([len(ids) // 4 for ids in packed])]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), np.int32)))
@@ -193,8 +263,8 @@ def decoder(spark: SparkSession, rank_file: str):
 
     @F.arrow_udf("binary")
     def decode(lists: pa.Array) -> pa.Array:
-        codec = _codec(data, r"\p{L}+")
-        return pa.array([codec.decode(ids.values.to_numpy().tolist()) if ids.is_valid else b"" for ids in lists], pa.binary())
+        ranks = _ranks(data.value)
+        return pa.array([ranks.decode(ids.values.to_numpy().tolist()) if ids.is_valid else b"" for ids in lists], pa.binary())
 
     return decode
 

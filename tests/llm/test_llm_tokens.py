@@ -40,6 +40,19 @@ def test_codec_equals_the_library(reference):
         assert codec.decode(ids) == text.encode()
 
 
+def test_encoder_and_decoder_keep_what_they_hold():
+    """Batches that alternate between both, each with its own copy of the file, parse it once and keep one memory."""
+    one, two = bpe_codec.read_file(RANKS), bytes(bytearray(bpe_codec.read_file(RANKS)))
+    codecs, files = set(), set()
+    for _ in range(3):
+        codecs.add(id(bpe_codec._codec(one, P.PATTERN)))
+        files.add(id(bpe_codec._ranks(two)))
+    assert len(codecs) == len(files) == 1
+    assert bpe_codec._codec(one, P.PATTERN).ranks is bpe_codec._ranks(two).ranks
+    bpe_codec._codec(one, r"\S+")
+    assert id(bpe_codec._codec(two, P.PATTERN)) in codecs
+
+
 def test_counts_equal_the_library():
     library, own = tokenizers.Tokenizer.from_file(MODEL), token_count.Counting(token_count.read_file(MODEL), P.PATTERN)
     for text in texts():

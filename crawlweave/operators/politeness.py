@@ -31,7 +31,8 @@ def deferred(throttled: DataFrame, clock: str) -> DataFrame:
 def slot_plan(pages: DataFrame, delay: Column, order: str, host: str = "host", start_ms: int = 0) -> DataFrame:
     """Earliest start of every page if a host's pages are requested as early as allowed, in order.
 
-    The first request of a host goes at ``start_ms`` and each later one waits its own delay.
+    The first request of a host goes at ``start_ms`` and each later one waits its own delay. A page without a host waits
+    for none: it is the first of its own.
     """
     rows = pages.withColumn("__delay", delay.cast("bigint"))
     totals = running_total(
@@ -42,8 +43,10 @@ def slot_plan(pages: DataFrame, delay: Column, order: str, host: str = "host", s
         {"slot": F.lit(1).cast("bigint"), "__total": F.col("__delay")},
         firsts={"__first": F.col("__delay")},
     )
-    at = F.lit(start_ms) + F.col("__total") - F.col("__first")
-    return totals.withColumn("planned_ms", at).drop("__delay", "__total", "__first")
+    alone = F.col(host).isNull()
+    at = F.lit(start_ms) + F.when(alone, 0).otherwise(F.col("__total") - F.col("__first"))
+    slot = F.when(alone, 1).otherwise(F.col("slot")).cast("bigint")
+    return totals.withColumns({"slot": slot, "planned_ms": at}).drop("__delay", "__total", "__first")
 
 
 def dispatch_times(requests: DataFrame, clock: str, gap: Column, order: str, host: str = "host") -> DataFrame:

@@ -62,6 +62,14 @@ def test_first_is_free_second_waits_and_is_deferred(spark):
     assert [(r["seq"], r["not_before"]) for r in later] == [(2, 500)]
 
 
+def test_pages_without_host_wait_for_none(spark):
+    df = spark.createDataFrame([(None, 1, 500), (None, 2, 900), ("h", 3, 500), ("h", 4, 500), (None, 70_000, 5)], "host string, n bigint, d bigint")
+    out = politeness.slot_plan(df, F.col("d"), "n", start_ms=7).collect()
+    assert {(r["host"], r["n"]): (r["slot"], r["planned_ms"]) for r in out} == {
+        (None, 1): (1, 7), (None, 2): (1, 7), ("h", 3): (1, 7), ("h", 4): (2, 507), (None, 70_000): (1, 7),
+    }
+
+
 def test_slot_plan_waits_own_delay(spark):
     df = spark.createDataFrame([("h", 1, 500), ("h", 2, 2000), ("h", 3, 500), ("g", 9, 700)], "host string, n bigint, d bigint")
     out = politeness.slot_plan(df, F.col("d"), "n", start_ms=10).collect()

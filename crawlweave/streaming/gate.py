@@ -7,8 +7,10 @@ micro-batch whose watermark passes that time. Rows may be out of order by up to
 
 A host is forgotten once the watermark is the longest honoured gap past its last grant and nothing waits, since no gap reaches
 back that far; the state is bounded by the hosts that were busy lately. It lives in RocksDB, partitioned by host. One
-host is one key, as its grants form one sequence; it grants one request per gap, so its queue is what costs, not its
-traffic. A request without a host is granted at once and leaves no state.
+host is one key, as its grants form one sequence. Its requests wait in sorted runs, cut into packed chunks of ``CHUNK_ROWS`` at most. A
+timer reads them in the order of their first clocks and only as far as requests run, so neither a long queue nor the
+number of timers makes it read everything again, and the grants of many requests are one running maximum. A request without a host is
+granted at once and leaves no state.
 
 A feed that ends needs a last row far in the future (a tick, without host), or the last requests wait for ever. Clocks must
 lie before the year 2262, where time stamps in Python end.
@@ -18,9 +20,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -30,71 +36,146 @@ from crawlweave.streaming.feed import BatchTable, drain, schema_of
 LONGEST_GAP_MS = 60_000
 #: Keys over which requests without a host are spread.
 SPREAD = 1024
+#: Rows of a packed chunk, and rows of one host and micro-batch that are sorted together. Only a matter of speed and memory.
+CHUNK_ROWS, SORTED_ROWS = 8192, 262_144
 _KEY, _AT = "__key", "__at"
+_NULLABLE = {
+    pa.int8(): pd.Int8Dtype(), pa.int16(): pd.Int16Dtype(), pa.int32(): pd.Int32Dtype(), pa.int64(): pd.Int64Dtype(), pa.bool_(): pd.BooleanDtype()
+}
 
 
 class _Gate(StatefulProcessor):
-    """Rows are tuples in the order of ``schema``; ``clock``, ``gap`` and ``order`` are places in them."""
+    """``clock``, ``gap`` and ``order`` are names of columns of ``schema``."""
 
     def __init__(self, schema: StructType, host: str, clock: str, gap: str, order: str, longest_ms: int):
-        self.schema, self.longest, names = schema, longest_ms, schema.names
-        self.host, self.clock, self.gap, self.order = (names.index(c) for c in (host, clock, gap, order))
+        self.schema, self.longest = schema, longest_ms
+        self.host, self.clock, self.gap, self.order = host, clock, gap, order
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last = handle.getValueState("last", StructType([StructField("ms", LongType())]))
-        self.waiting = handle.getListState("waiting", self.schema)
+        self.arrow = to_arrow_schema(self.schema, timestamp_utc=False)  # frames have clock times of the session
+        self.last = handle.getValueState("last", "ms bigint")
+        self.runs = handle.getValueState("runs", "next bigint, numbers binary, firsts binary")  # of each chunk: number and first clock
+        self.chunks = handle.getMapState("chunks", "number bigint", "rows binary")
+
+    def _sorted(self, parts: list[pa.Table]) -> pa.Table:
+        """The rows of all parts by clock and order; equal ones as they came."""
+        rows = pa.concat_tables(parts).combine_chunks()
+        order = rows[self.order].combine_chunks()
+        ties = order.fill_null(0).to_numpy(zero_copy_only=False)
+        at = np.lexsort((ties, order.is_valid().to_numpy(zero_copy_only=False), self._clocks(rows)))
+        return rows.take(pa.array(at))
+
+    def _clocks(self, rows: pa.Table) -> np.ndarray:
+        if rows[self.clock].null_count:
+            raise ValueError(f"a request of a host has no {self.clock}")
+        return rows[self.clock].to_numpy().astype(np.int64)
+
+    def _times(self, rows: pa.Table, last: int | None) -> np.ndarray:
+        """When sorted rows run after a last grant: the running sum of gaps plus the running maximum of clocks less that sum."""
+        if rows[self.gap].null_count:
+            raise ValueError(f"a request of a host has no {self.gap}")
+        gaps = np.cumsum(np.clip(rows[self.gap].to_numpy().astype(np.int64), 1, self.longest))
+        most = np.maximum.accumulate(self._clocks(rows) - gaps)
+        return gaps + (most if last is None else np.maximum(most, last))
+
+    def _index(self) -> tuple[int, list[tuple[int, int]]]:
+        """The next number, and (first clock, number) of all chunks in ascending order."""
+        if not self.runs.exists():
+            return 0, []
+        following, numbers, firsts = self.runs.get()
+        numbers, firsts = (np.frombuffer(bytes(x), np.int64).tolist() for x in (numbers, firsts))
+        return int(following), sorted(zip(firsts, numbers))
+
+    def _keep(self, following: int, index: list[tuple[int, int]], rows: pa.Table) -> None:
+        """Add sorted rows to the chunks of ``index`` and write the index."""
+        for begin in range(0, rows.num_rows, CHUNK_ROWS):
+            chunk = rows.slice(begin, CHUNK_ROWS).combine_chunks()
+            packed = chunk.to_batches()[0].serialize().to_pybytes()
+            self.chunks.updateValue((following,), (packed,))
+            index = [*index, (int(chunk[self.clock][0].as_py()), following)]
+            following += 1
+        firsts, numbers = (np.array([x[i] for x in index], np.int64).tobytes() for i in (0, 1))
+        self.runs.update((following, numbers, firsts))
+
+    def _chunk(self, number: int) -> pa.Table:
+        packed = bytes(self.chunks.getValue((number,))[0])
+        return pa.Table.from_batches([pa.ipc.read_record_batch(pa.py_buffer(packed), self.arrow)])
+
+    def _frame(self, rows: pa.Table, times) -> pd.DataFrame:
+        return rows.append_column("granted_ms", pa.array(times, pa.int64())).to_pandas(types_mapper=_NULLABLE.get)
 
-    def _frame(self, rows: list[tuple]) -> pd.DataFrame:
-        frame = pd.DataFrame(rows, columns=[*self.schema.names, "granted_ms"], dtype=object)
-        for field in [*self.schema.fields, StructField("granted_ms", LongType())]:
-            if isinstance(field.dataType, LongType):
-                frame[field.name] = frame[field.name].astype("Int64")
-        return frame
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        held, n, first = [], 0, None
 
-    def _next(self, row: tuple, last: int | None) -> int:
-        gap = min(max(row[self.gap], 1), self.longest)
-        return row[self.clock] if last is None else max(row[self.clock], last + gap)
+        def keep() -> None:
+            self._keep(*self._index(), self._sorted(held))
+            held.clear()
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        held = []
         for frame in rows:
-            frame = frame[self.schema.names].astype(object)
-            held += list(frame.where(frame.notna(), None).itertuples(index=False, name=None))
-        free = [r for r in held if r[self.host] is None]
-        held = [tuple(r) for r in held if r[self.host] is not None]
+            table = pa.Table.from_pandas(frame[self.schema.names], self.arrow, preserve_index=False)
+            hosted = table[self.host].is_valid()
+            free, table = table.filter(pa.compute.invert(hosted)), table.filter(hosted)
+            if free.num_rows:
+                yield self._frame(free, free[self.clock].combine_chunks().cast(pa.int64()))
+            if table.num_rows:
+                least = int(self._clocks(table).min())
+                first = least if first is None else min(first, least)
+                held.append(table)
+                n += table.num_rows
+                if n >= SORTED_ROWS:
+                    keep()
+                    n = 0
         if held:
-            self.waiting.appendList(held)
-            first = min(held, key=lambda r: (r[self.clock], r[self.order]))
+            keep()
+        if first is not None:
             # the watermark has to pass the clock before the order of the rows up to it is known
-            self.handle.registerTimer(int(first[self.clock]))
-        yield self._frame([(*r, r[self.clock]) for r in free])
+            self.handle.registerTimer(first)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentWatermarkInMs()
-        last = self.last.get()[0] if self.last.exists() else None
-        rows = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
-        rows.sort(key=lambda r: (r[self.clock], r[self.order]))
-        out = []
-        for row in rows:
-            at = self._next(row, last)
-            if at > now:
+        last = int(self.last.get()[0]) if self.last.exists() else None
+        following, index = self._index()
+        waiting, read, granted, coming = self.arrow.empty_table(), 0, False, None
+        while coming is None:
+            # twice as many rows at a time as wait already, so merging stays in proportion
+            parts, n = [waiting], 0
+            while read < len(index) and index[read][0] <= now and n < max(CHUNK_ROWS, waiting.num_rows):
+                parts.append(self._chunk(index[read][1]))
+                n += parts[-1].num_rows
+                read += 1
+            waiting = self._sorted(parts) if n else waiting
+            # rows before the next chunk begins are in their final order
+            bound = index[read][0] if read < len(index) else None
+            ready = waiting.num_rows if bound is None else int(np.searchsorted(self._clocks(waiting), bound, "left"))
+            if ready:
+                times = self._times(waiting.slice(0, ready), last)
+                run = int(np.searchsorted(times, now, "right"))
+                if run:
+                    yield self._frame(waiting.slice(0, run), times[:run])
+                    last, granted = int(times[run - 1]), True
+                if run < ready:
+                    coming = int(times[run])
+                waiting = waiting.slice(run)
+            elif not n:
                 break
-            last = at
-            out.append((*row, at))
-        if out:
-            self.last.update((int(last),))
-        if len(rows) > len(out):
-            if out:
-                self.waiting.put(rows[len(out) :])
-            self.handle.registerTimer(int(self._next(rows[len(out)], last)))
+        if coming is None and (waiting.num_rows or read < len(index)):
+            # nothing is left that has come, so the next one runs at its own clock or later
+            coming = min([*(x for x, _ in index[read : read + 1]), *(self._clocks(waiting)[:1].tolist())])
+        if granted:
+            self.last.update((last,))
+            for _, number in index[:read]:
+                self.chunks.removeKey((number,))
+            self._keep(following, index[read:], waiting)
+        if coming is not None:
+            self.handle.registerTimer(coming)
         else:
-            self.waiting.clear()
+            self.runs.clear()
+            self.chunks.clear()
             if last is not None and now > last + self.longest:
                 self.last.clear()
             elif last is not None:
                 self.handle.registerTimer(int(last + self.longest + 1))
-        yield self._frame(out)
 
 
 def gate(

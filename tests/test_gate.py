@@ -5,7 +5,7 @@ import random
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructType
 
 from crawlweave.operators import politeness
 from crawlweave.plans import catalog
@@ -130,7 +130,7 @@ class Now:
 
 def played(batches, watermarks):
     """The gate of one host over micro-batches, each followed by the timers its watermark passes; frames by micro-batch and the gate."""
-    host = gate._Gate(StructType.fromDDL(SCHEMA), "host", "t_ms", "gap", "seq", 60_000)
+    host = gate._Gate(StructType().add("seq", LongType()).add("host", StringType()).add("t_ms", LongType()).add("gap", LongType()), "host", "t_ms", "gap", "seq", 60_000)
     host.init(handle := Handle())
     out = []
     for rows, mark in zip(batches, watermarks):

@@ -176,6 +176,7 @@ def score(docs: DataFrame, keys: list[str], text: str = "text", order: int = ORD
     buckets = max(1, -(-total // BUCKET_WORDS))
     sent = blocks.select("block", "text").mapInArrow(_send(order, buckets), "bucket int, block bigint, grams binary, counts binary")
     back = sent.groupBy("bucket").applyInArrow(_count, "block bigint, bucket int, others binary")
+    back = stage(back, "others", free=True)  # what the blocks sent is most of the disk; it goes before the texts are dealt
     run = _score(order, backoff, total, to_arrow_schema(kept.schema))
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
     return blocks.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(

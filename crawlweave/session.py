@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_CONF = "spark.checkpoint.dir"
+_FREE_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def build_session(app: str = "crawlweave", master: str | None = None, **conf: str) -> SparkSession:
@@ -60,13 +61,21 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, free: bool = False) -> DataFrame:
     """Write ``df`` as a columnar table in the shared folder and return the table.
 
     This cuts the lineage of iterative jobs: a lost executor costs a re-read, not a recomputation
-    of earlier rounds, and the file sizes give the planner real statistics.
+    of earlier rounds, and the file sizes give the planner real statistics. With ``free`` Spark removes
+    the shuffle files of the write as soon as the table is there.
     """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(_FREE_CONF, None)
+    if free:
+        spark.conf.set(_FREE_CONF, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if free:
+            spark.conf.unset(_FREE_CONF) if before is None else spark.conf.set(_FREE_CONF, before)
     return spark.read.schema(df.schema).parquet(path)

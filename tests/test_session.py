@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from crawlweave import session
@@ -45,3 +47,18 @@ def test_staged_tables_are_new_each_time(spark):
     df = spark.range(3)
     first, second = session.stage(df, "t"), session.stage(df, "t")
     assert first.inputFiles() != second.inputFiles() and first.count() == second.count() == 3
+
+
+def test_stage_frees_the_shuffle_files_of_its_write(spark):
+    conf = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(conf, None)
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(manager.getAllFiles()) if f.getName().startswith("shuffle")}
+    old = files()
+    table = session.stage(spark.range(1000).repartition(3, "id"), "freed", free=True)
+    for _ in range(50):
+        if files() <= old:
+            break
+        time.sleep(0.1)
+    assert files() <= old and table.count() == 1000
+    assert spark.conf.get(conf, None) == before

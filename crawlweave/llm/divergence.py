@@ -22,7 +22,6 @@ empty table has no rows. A language with one source has no pairs. Only the named
 
 from __future__ import annotations
 
-import re
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
@@ -40,13 +39,13 @@ RUN, RUNS = 1024, 65_536
 #: Distinct terms that a task holds before it sends its sums on, and copies of a run's transducer, one for each share of the sources.
 HELD, SHARES = 500_000, 8
 _PAIRS = 1 << 20
-_TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
-_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+#: Lower case for A-Z, a space for every other byte of ASCII that is no letter.
+_FOLD = bytes(c if c >= 0x80 or chr(c).islower() else c + 32 if chr(c).isupper() else 32 for c in range(256))
 _MACHINE = "first binary, size bigint, keys binary, targets binary, outputs binary, finals binary"
 
 
 def terms(text: bytes) -> list[bytes]:
-    return _TERM.findall(text.translate(_LOWER))
+    return text.translate(_FOLD).split()
 
 
 class Transducer:
@@ -148,7 +147,8 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def vocabulary(docs: DataFrame) -> DataFrame:
     """One row for each run of kept terms: ``lang``, ``first`` (separates it from the run before), ``size``, transducer."""
     counts = docs.select("lang", "text").mapInArrow(_documents, "lang string, term string, n bigint")
-    kept = counts.groupBy("lang", "term").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_DOCUMENTS)
+    # tasks have added up already, so adding again before the exchange would be in vain
+    kept = counts.repartition("lang", "term").groupBy("lang", "term").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_DOCUMENTS)
     kept = stage(kept.select("lang", "term"), "kept")
     length = max(RUN, -(-kept.count() // RUNS))
 
@@ -347,7 +347,7 @@ def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     group = F.xxhash64("lang", "source").alias("group")  # 64 bits name a pair of language and source
     groups = docs.select("lang", "source").distinct().select("*", group)
     sums = docs.select(group, "lang", "text").mapInArrow(_recounted(runs), "group bigint, run bigint, term string, n bigint")
-    sums = sums.groupBy("group", "run", "term").agg(F.sum("n").alias("n"))
+    sums = sums.repartition("group", "run", "term").groupBy("group", "run", "term").agg(F.sum("n").alias("n"))
     share = F.pmod(F.xxhash64("group"), F.lit(SHARES)).cast("int")
     found = _with_machines(sums, machines, share, SHARES).mapInArrow(_through, "group bigint, run bigint, ordinal bigint, n bigint")
     found = stage(found, "ordinals")

@@ -111,3 +111,24 @@ def test_transducer_is_minimal():
     prefixes = {w[:i] for w in words for i in range(len(w) + 1)}
     rests = {frozenset(w[len(p) :] for w in words if w.startswith(p)) for p in prefixes}
     assert len(divergence.Transducer.of(words).finals) == len(rests)
+
+
+def test_sums_of_tasks_are_added_after_the_exchange_only(spark, monkeypatch):
+    plans, stage = {}, divergence.stage
+
+    def seen(df, name):
+        plans[name] = df._jdf.queryExecution().toString()
+        return stage(df, name)
+
+    monkeypatch.setattr(divergence, "stage", seen)
+    docs = spark.createDataFrame([("alpha beta", "en", s) for s in "abc"] * 3, "text string, lang string, source string")
+    assert divergence.audit(docs).where("part = 'term'").count() == 0
+    for name in ("kept", "ordinals"):
+        lines = plans[name].split("== Physical Plan ==")[1].splitlines()
+        adds = max(i for i, line in enumerate(lines) if "partial_sum(n" in line)
+        assert any("Exchange hashpartitioning" in line and "term" in line for line in lines[adds:])
+
+
+def test_terms_are_runs_of_letters_and_other_bytes():
+    every = bytes(range(256)) + b"aB" + bytes(range(256))
+    assert divergence.terms(every) == re.findall(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", every.replace(b"B", b"b").translate(bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))))

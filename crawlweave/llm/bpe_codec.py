@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import base64
 from array import array
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +30,8 @@ FAN = 16
 #: Above every rank, and above every leaf of a pair with a rank.
 _NONE = 1 << 28
 _NO_PAIR = _NONE << 32
-#: The same for short pieces.
-_FEW_BITS = 5
-_FEW_MASK, _FEW_NONE = (1 << _FEW_BITS) - 1, 1 << 24
-_FEW_NO_PAIR = _FEW_NONE << _FEW_BITS
+#: Runs that are encoded together, at most, unless one text has more.
+TOGETHER = 1 << 18
 
 
 def parse_ranks(data: bytes) -> dict[bytes, int]:
@@ -90,46 +89,98 @@ def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-def pair_table(ranks: dict[bytes, int]) -> list[list[int]]:
-    """By first and second byte: the rank of the pair, shifted to make room for a position; a large number for no rank."""
-    table = [[_FEW_NO_PAIR] * 256 for _ in range(256)]
-    for pair, rank in ranks.items():
-        if len(pair) == 2:
-            table[pair[0]][pair[1]] = rank << _FEW_BITS
-    return table
-
-
-def merge_short(piece: bytes, ranks: dict[bytes, int], pairs: list[list[int]]) -> list[int]:
-    """As :func:`merge_piece` for two to ``FAN + 1`` bytes, whose tree is one node over its leaves.
-
-    Ranks are below ``_FEW_NONE``, so a leaf with its position is a small number, and first ranks come from a table.
-    """
-    known = ranks.get(piece)
-    if known is not None:
-        return [known]
-    n, get = len(piece), ranks.get
-    leaves = [pairs[a][b] + i for i, (a, b) in enumerate(zip(piece, piece[1:]))]
-    stop, left = list(range(1, n + 1)), list(range(-1, n - 1))
-    while (least := min(leaves)) < _FEW_NO_PAIR:
-        at = least & _FEW_MASK
-        gone = stop[at]
-        end = stop[at] = stop[gone]
-        if gone < n - 1:
-            leaves[gone] = _FEW_NO_PAIR
-        if end < n:
-            left[end] = at
-            leaves[at] = (get(piece[at : stop[end]], _FEW_NONE) << _FEW_BITS) + at
-        else:
-            leaves[at] = _FEW_NO_PAIR
-        before = left[at]
-        if before >= 0:
-            leaves[before] = (get(piece[before:end], _FEW_NONE) << _FEW_BITS) + before
-    out, at = [], 0
-    while at < n:
-        end = stop[at]
-        out.append(ranks[piece[at:end]])
-        at = end
-    return out
+class Merges:
+    """All pairs of tokens whose bytes make a token, as a hash table over arrays: many short pieces merge at the same time."""
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        firsts, seconds, whole = [], [], []
+        get = ranks.get
+        for token, rank in ranks.items():
+            for cut in range(1, len(token)):
+                a = get(token[:cut])
+                if a is not None and (b := get(token[cut:])) is not None:
+                    firsts.append(a)
+                    seconds.append(b)
+                    whole.append(rank)
+        keys = (np.array(firsts, np.int64) << 32) | np.array(seconds, np.int64)
+        bits = max(4, (4 * len(keys)).bit_length())
+        self._shift, self._mask = np.uint64(64 - bits), (1 << bits) - 1
+        self._keys, self._ranks = np.full(1 << bits, -1, np.int64), np.full(1 << bits, _NONE, np.int32)
+        left, slots = np.arange(len(keys)), self._slots(keys)
+        while len(left):  # each free slot takes one of the keys that want it, the others go on to the next slot
+            free = self._keys[slots] < 0
+            self._keys[slots[free]] = keys[left[free]]
+            placed = self._keys[slots] == keys[left]
+            self._ranks[slots[placed]] = np.array(whole, np.int32)[left[placed]]
+            left, slots = left[~placed], (slots[~placed] + 1) & self._mask
+        self._bytes = np.array([get(bytes([b]), -1) for b in range(256)], np.int32)
+        self._pairs = self.of(np.repeat(self._bytes, 256), np.tile(self._bytes, 256)).reshape(256, 256)
+
+    @classmethod
+    def fit(cls, ranks: dict[bytes, int]) -> bool:
+        """Whether ranks name tokens one to one, are small enough, and every byte is a token."""
+        return len(set(ranks.values())) == len(ranks) and all(bytes([b]) in ranks for b in range(256)) and 0 <= min(ranks.values()) and max(ranks.values()) < _NONE
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self._shift).astype(np.int64)
+
+    def of(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """Rank of the token that each pair makes; ``_NONE`` if it makes none."""
+        keys = (first.astype(np.int64) << 32) | second
+        slots = self._slots(keys)
+        met = self._keys[slots]
+        out = np.where(met == keys, self._ranks[slots], np.int32(_NONE))
+        going = np.flatnonzero((met != keys) & (met >= 0))
+        while len(going):
+            slots[going] = (slots[going] + 1) & self._mask
+            met = self._keys[slots[going]]
+            hit = met == keys[going]
+            out[going[hit]] = self._ranks[slots[going[hit]]]
+            going = going[~hit & (met >= 0)]
+        return out
+
+    def merge(self, pieces: list[bytes]) -> list[bytes]:
+        """As :func:`merge_piece` for many pieces of two to ``FAN + 1`` bytes, as packed ids.
+
+        The tree of such a piece is one node over its leaves. A row holds the leaves of a piece and all rows take their
+        next merge at the same time: the root is the least leaf of a row, the leftmost of equal ones.
+        """
+        sizes = np.array([len(p) for p in pieces])
+        width, n = int(sizes.max()), len(pieces)
+        flat = np.frombuffer(b"".join(pieces), np.uint8)
+        inside = np.arange(width) < sizes[:, None]
+        letters = np.zeros((n, width), np.uint8)
+        letters[inside] = flat
+        symbols = self._bytes[letters]
+        leaves = np.full((n, width), _NONE, np.int32)
+        leaves[:, :-1] = self._pairs[letters[:, :-1], letters[:, 1:]]
+        leaves[np.arange(width) >= (sizes - 1)[:, None]] = _NONE
+        places, live = np.arange(width), np.arange(n)
+        out, left = np.empty((n, width), np.int32), sizes.copy()
+        while len(live):
+            at = leaves.argmin(1)
+            rows = np.arange(len(live))
+            least = leaves[rows, at]
+            ended = least >= _NONE
+            if ended.any():
+                out[live[ended]] = symbols[ended]
+                live, symbols, leaves, at, least = live[~ended], symbols[~ended], leaves[~ended], at[~ended], least[~ended]
+                rows = np.arange(len(live))
+                if not len(live):
+                    break
+            symbols[rows, at] = least
+            after = places[:-1] > at[:, None]  # what comes after the merged symbol moves one place to the left
+            symbols[:, :-1] = np.where(after, symbols[:, 1:], symbols[:, :-1])
+            leaves[:, :-1] = np.where(after, leaves[:, 1:], leaves[:, :-1])
+            left[live] -= 1
+            leaves[rows, at] = _NONE
+            follows = np.flatnonzero(at + 1 < left[live])
+            leaves[follows, at[follows]] = self.of(least[follows], symbols[follows, at[follows] + 1])
+            leads = np.flatnonzero(at > 0)
+            leaves[leads, at[leads] - 1] = self.of(symbols[leads, at[leads] - 1], least[leads])
+        data = out[np.arange(width) < left[:, None]].tobytes()
+        ends = (4 * np.cumsum(left)).tolist()
+        return [data[i:j] for i, j in zip([0, *ends], ends)]
 
 
 class Memory(dict):
@@ -158,58 +209,117 @@ class Ranks:
     def __init__(self, data: bytes) -> None:
         self.ranks = parse_ranks(data)
         self.tokens = {rank: token for token, rank in self.ranks.items()}
-        self.pairs = pair_table(self.ranks) if len(self.ranks) and max(self.tokens) < _FEW_NONE else None
+        self.merges = Merges(self.ranks) if Merges.fit(self.ranks) else None
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
+class Known:
+    """Results for strings seen before, at most ``2 * MEMORY_PIECES``: when full, only those used since are kept."""
+
+    def __init__(self) -> None:
+        self._now: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
+
+    def of(self, strings: list[str], solve) -> list[bytes]:
+        """The result of each string; ``solve`` gives those of the new ones."""
+        now, older = self._now, self._older
+        new = set(strings).difference(now)
+        if older:
+            again = [s for s in new if s in older]
+            now.update((s, older[s]) for s in again)
+            new.difference_update(again)
+        fresh = list(new)
+        now.update(zip(fresh, solve(fresh) if fresh else ()))
+        found = list(map(now.__getitem__, strings))
+        for s in fresh:
+            if len(s) > MEMORY_BYTES:
+                del now[s]
+        if len(now) > MEMORY_PIECES:
+            self._older, self._now = now, {}
+        return found
+
+
 class Codec:
-    """Ranks, pattern and the memory of merged pieces. Ids are packed as 32-bit integers."""
+    """Ranks, pattern and the memory of runs and merged pieces. Ids are packed as 32-bit integers."""
 
     def __init__(self, data: bytes, pattern: str) -> None:
         file = _ranks(data)
-        self.ranks, self.decode, self._pairs = file.ranks, file.decode, file.pairs
+        self.ranks, self.decode, self._merges = file.ranks, file.decode, file.merges
         split = splitter(pattern)
         self._find, self._lines = split.find, split.lines
-        self._memory = Memory()
-        self._bare, self._spaced = Memory(), Memory()  # runs at the beginning of a line, and after a space
-
-    def _pieces(self, text: str) -> bytes:
-        out = []
-        for piece in self._find(text):
-            ids = self._memory[piece]
-            if ids is None:
-                raw = piece.encode("utf-8")
-                short = 1 < len(raw) <= FAN + 1 and self._pairs is not None
-                ids = array("i", merge_short(raw, self.ranks, self._pairs) if short else merge_piece(raw, self.ranks)).tobytes()
-                if len(raw) <= MEMORY_BYTES:
-                    self._memory.keep(piece, ids)
-            out.append(ids)
-        return b"".join(out)
-
-    def _run(self, memory: Memory, before: str, run: str) -> bytes:
-        ids = self._pieces(before + run)
-        if len(run) <= MEMORY_BYTES:
-            memory.keep(run, ids)
-        return ids
+        self._pieces, self._runs = Known(), Known()
+
+    def _merged(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces."""
+        raw = [p.encode("utf-8") for p in pieces]
+        whole = list(map(self.ranks.get, raw))
+        out = [b"" if rank is None else rank.to_bytes(4, "little") for rank in whole]
+        open_ = [i for i, rank in enumerate(whole) if rank is None]
+        short = [i for i in open_ if len(raw[i]) <= FAN + 1] if self._merges is not None else []
+        if short:
+            for i, ids in zip(short, self._merges.merge([raw[i] for i in short])):
+                out[i] = ids
+        for i in open_:
+            if not out[i]:
+                out[i] = array("i", merge_piece(raw[i], self.ranks)).tobytes()
+        return out
 
     def encode(self, text: str) -> bytes:
-        lines = self._lines(text)
-        if lines is None:
-            return self._pieces(text)
-        bare, spaced, out, line_break = self._bare, self._spaced, [], self._pieces("\n")
-        for line in lines:
-            first, *rest = line.split(" ")
-            ids = bare[first]
-            out.append(self._run(bare, "", first) if ids is None else ids)
-            known = [spaced[run] for run in rest]
-            if None in known:
-                known = [self._run(spaced, " ", run) if ids is None else ids for run, ids in zip(rest, known)]
-            out += known
-            out.append(line_break)
-        out.pop()
-        return b"".join(out)
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """Packed ids of every text; null has none."""
+        out = [b""] * len(texts)
+        runs: dict[int, list[str]] = {}
+        pieces: dict[int, list[str]] = {}
+        n = 0
+
+        def flush() -> None:
+            for held, ids in ((runs, self._known_runs), (pieces, self._known_pieces)):
+                found = iter(ids(list(chain.from_iterable(held.values()))))
+                for i, strings in held.items():
+                    out[i] = b"".join(islice(found, len(strings)))
+                held.clear()
+
+        for i, text in enumerate(texts):
+            if not text:
+                continue
+            if "\0" in text or self._lines(text) is None:
+                strings = pieces[i] = self._find(text)
+            else:  # spaces begin a run, line breaks are one
+                strings = runs[i] = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+            n += len(strings)
+            if n >= TOGETHER:
+                flush()
+                n = 0
+        flush()
+        return out
+
+    def _known_pieces(self, pieces: list[str]) -> list[bytes]:
+        return self._pieces.of(pieces, self._merged)
+
+    def _known_runs(self, runs: list[str]) -> list[bytes]:
+        return self._runs.of(runs, self._solved)
+
+    def _solved(self, runs: list[str]) -> list[bytes]:
+        """Ids of distinct runs."""
+        # a piece begins at every space, so runs that begin with one are split behind each other
+        spaced = [i for i, run in enumerate(runs) if run[0] == " "]
+        pieces = self._find("".join([runs[i] for i in spaced]))
+        starts = [i for i, piece in enumerate(pieces) if piece[0] == " "]
+        if len(starts) != len(spaced):
+            spaced, pieces, starts = [], [], []
+        others = sorted(set(range(len(runs))).difference(spaced)) if len(spaced) < len(runs) else []
+        for i in others:
+            starts.append(len(pieces))
+            pieces += self._find(runs[i])
+        ids = self._known_pieces(pieces)
+        out = [b""] * len(runs)
+        for i, begin, end in zip(chain(spaced, others), starts, [*starts[1:], len(pieces)]):
+            out[i] = ids[begin] if end == begin + 1 else b"".join(ids[begin:end])
+        return out
 
 
 #: What a worker process keeps from batch to batch, by the content of the rank file: parsed files and codecs. Encoder and
@@ -250,7 +360,7 @@ def encoder(spark: SparkSession, rank_file: str, pattern: str):
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
         codec = _codec(data.value, pattern)
-        packed = [codec.encode(text) if text else b"" for text in texts.to_pylist()]
+        packed = codec.encode_all(texts.to_pylist())
         offsets = np.concatenate([[0], np.cumsum([len(ids) // 4 for ids in packed])]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), np.int32)))
 

@@ -79,3 +79,27 @@ def test_columns_with_nulls_repeats_and_odd_names(spark, reference):
     count = token_count.token_counter(spark, MODEL, P.PATTERN)
     assert [r[0] for r in docs.orderBy("doc_id").select(count("text")).collect()][0] == 0
     assert docs.limit(0).select(count("text")).collect() == []
+
+
+def test_short_pieces_merge_together_as_one_by_one():
+    file = bpe_codec._ranks(bpe_codec.read_file(RANKS))
+    draw = random.Random(3)
+    made = ["".join(draw.choice("aeinrst thABC01.,-\u00e9\u4e2d\U0001f600") for _ in range(draw.randrange(1, 9))).encode() for _ in range(3000)]
+    made += [bytes(draw.randrange(256) for _ in range(draw.randrange(2, 18))) for _ in range(500)] + [b"a" * k for k in range(2, 18)]
+    made = [p for p in made if 2 <= len(p) <= bpe_codec.FAN + 1 and p not in file.ranks]
+    want = [np.array(bpe_codec.merge_piece(p, file.ranks), np.int32).tobytes() for p in made]
+    assert file.merges.merge(made) == want
+
+
+def test_texts_are_encoded_together_whatever_the_group(monkeypatch):
+    draw = random.Random(5)
+    texts = ["".join(draw.choice("ab \n\t\0\u00e9'sZ9. \u1c8a") for _ in range(draw.randrange(40))) for _ in range(400)] + [None, "", "one two\nthree " + "x" * 200]
+    data = bpe_codec.read_file(RANKS)
+    ranks = bpe_codec._ranks(data).ranks
+    find = pieces.splitter(P.PATTERN).find
+    want = [b"".join(np.array(bpe_codec.merge_piece(p.encode(), ranks), np.int32).tobytes() for p in find(t)) if t else b"" for t in texts]
+    for together, memory in ((1, 300_000), (50, 20), (1 << 18, 300_000)):
+        monkeypatch.setattr(bpe_codec, "TOGETHER", together)
+        monkeypatch.setattr(bpe_codec, "MEMORY_PIECES", memory)
+        codec = bpe_codec.Codec(data, P.PATTERN)
+        assert codec.encode_all(texts) == want and codec.encode_all(texts[::-1]) == want[::-1]

@@ -81,6 +81,15 @@ def _values(data: bytes, kind: type) -> np.ndarray:
     return np.frombuffer(data, np.uint8).reshape(width, len(data) // width).T.copy().view(kind).ravel()
 
 
+def _pressed(data: bytes) -> bytes:
+    """Compressed behind its length: readers of tables hold many values at once."""
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def _unpressed(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
+
+
 def _send(order: int, buckets: int):
     """Each block's n-grams and counts, by bucket."""
 
@@ -127,6 +136,12 @@ def _count(table: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([table.column("block"), table.column("bucket"), pa.array(back, pa.binary())], schema=_BACK)
 
 
+def _answered(table: pa.Table) -> pa.Table:
+    """What :func:`_count` gives, compressed."""
+    back = _count(table)
+    return back.set_column(2, "others", pa.array([_pressed(o) for o in back.column("others").to_pylist()], pa.binary()))
+
+
 def _score(order: int, backoff: float, total_words: int, fields: pa.Schema):
     """Scores of a block's documents from its own counts and those sent back."""
 
@@ -134,7 +149,7 @@ def _score(order: int, backoff: float, total_words: int, fields: pa.Schema):
         lengths, grams = _grams(docs.column("text").to_pylist(), order)
         distinct, counts = _distinct(grams)
         back = back.sort_by("bucket")
-        others = np.concatenate([np.zeros(0, np.int64), *[_values(o, np.int64) for o in back.column("others").to_pylist()]])
+        others = np.concatenate([np.zeros(0, np.int64), *[_values(_unpressed(o), np.int64) for o in back.column("others").to_pylist()]])
         total = np.append(counts + others, 0)  # the last stands for no n-gram
         doc = np.repeat(np.arange(len(lengths)), lengths)
         elsewhere = []  # of the n-gram that ends at each word, in other documents
@@ -175,7 +190,7 @@ def score(docs: DataFrame, keys: list[str], text: str = "text", order: int = ORD
     total = docs.agg(F.sum(F.size(words(F.col(text), SPACES)))).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_WORDS))
     sent = blocks.select("block", "text").mapInArrow(_send(order, buckets), "bucket int, block bigint, grams binary, counts binary")
-    back = sent.groupBy("bucket").applyInArrow(_count, "block bigint, bucket int, others binary")
+    back = sent.groupBy("bucket").applyInArrow(_answered, "block bigint, bucket int, others binary")
     back = stage(back, "others", free=True)  # what the blocks sent is most of the disk; it goes before the texts are dealt
     run = _score(order, backoff, total, to_arrow_schema(kept.schema))
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)

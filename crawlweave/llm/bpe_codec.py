@@ -5,6 +5,9 @@ the pair it forms with its right neighbour, and in each inner node the least ran
 merge, a descent to the left finds its first position, and a merge changes three leaves: the merged symbol, its left
 neighbour and the symbol that vanished. A piece of n bytes takes n log n steps, so one endless word is no trap.
 
+A batch of texts stays in Arrow arrays. It is cut into runs at blanks behind other characters, and only its distinct runs
+that the worker doesn't remember become strings, are split into pieces and merged.
+
 Null or empty text gives an empty list of ids and empty bytes. Text is never cut. Rows are independent and the work
 is one narrow pass, so a lost executor costs the re-read of its splits.
 """
@@ -12,16 +15,15 @@ is one narrow pass, so a lost executor costs the re-read of its splits.
 from __future__ import annotations
 
 import base64
-from array import array
-from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlweave.llm.pieces import splitter
+from crawlweave.llm.pieces import BLANKS, splitter
 
 #: Pieces that a worker remembers in each of two generations, and the longest that it remembers. Only a matter of speed.
 MEMORY_PIECES, MEMORY_BYTES = 300_000, 64
@@ -30,8 +32,10 @@ FAN = 16
 #: Above every rank, and above every leaf of a pair with a rank.
 _NONE = 1 << 28
 _NO_PAIR = _NONE << 32
-#: Runs that are encoded together, at most, unless one text has more.
-TOGETHER = 1 << 18
+#: Bytes of text that are encoded together and of ids that are decoded together, at most, unless one row has more.
+TOGETHER = 1 << 23
+#: Pieces that merge at the same time: their rows fit into a core's cache.
+ROWS = 1 << 13
 
 
 def parse_ranks(data: bytes) -> dict[bytes, int]:
@@ -140,30 +144,42 @@ class Merges:
         return out
 
     def merge(self, pieces: list[bytes]) -> list[bytes]:
-        """As :func:`merge_piece` for many pieces of two to ``FAN + 1`` bytes, as packed ids.
+        """As :func:`merge_piece` for many pieces of two to ``FAN + 1`` bytes, as packed ids."""
+        sizes = np.array([len(p) for p in pieces])
+        ids, counts = self.together(np.frombuffer(b"".join(pieces), np.uint8), np.cumsum(sizes) - sizes, sizes)
+        data, ends = ids.tobytes(), (4 * np.cumsum(counts)).tolist()
+        return [data[i:j] for i, j in zip([0, *ends], ends)]
 
-        The tree of such a piece is one node over its leaves. A row holds the leaves of a piece and all rows take their
-        next merge at the same time: the root is the least leaf of a row, the leftmost of equal ones.
+    def together(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces of two to ``FAN + 1`` bytes, which begin at ``starts`` of ``data``, and their number by piece.
+
+        The tree of such a piece is one node over its leaves. A row holds the leaves of a piece and all rows of a block
+        take their next merge at the same time. Pieces of like size share a block.
         """
-        sizes = np.array([len(p) for p in pieces])
-        width, n = int(sizes.max()), len(pieces)
-        flat = np.frombuffer(b"".join(pieces), np.uint8)
-        inside = np.arange(width) < sizes[:, None]
-        letters = np.zeros((n, width), np.uint8)
-        letters[inside] = flat
+        widest = int(sizes.max())
+        data = np.concatenate([data, np.zeros(widest, np.uint8)])
+        out, counts = np.empty((len(sizes), widest), np.int32), sizes.copy()
+        order = np.argsort(sizes, kind="stable")
+        for i in range(0, len(order), ROWS):
+            self._block(data, starts, sizes, order[i : i + ROWS], out, counts)
+        return out[np.arange(widest) < counts[:, None]], counts
+
+    def _block(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, live: np.ndarray, out: np.ndarray, counts: np.ndarray) -> None:
+        """The ids of the pieces ``live`` into their rows of ``out``; the root is the least leaf of a row, the leftmost of equal ones."""
+        width = int(sizes[live[-1]])
+        places = np.arange(width)
+        letters = data[starts[live][:, None] + places]
         symbols = self._bytes[letters]
-        leaves = np.full((n, width), _NONE, np.int32)
+        leaves = np.full((len(live), width), _NONE, np.int32)
         leaves[:, :-1] = self._pairs[letters[:, :-1], letters[:, 1:]]
-        leaves[np.arange(width) >= (sizes - 1)[:, None]] = _NONE
-        places, live = np.arange(width), np.arange(n)
-        out, left = np.empty((n, width), np.int32), sizes.copy()
+        leaves[places >= (sizes[live] - 1)[:, None]] = _NONE
         while len(live):
             at = leaves.argmin(1)
             rows = np.arange(len(live))
             least = leaves[rows, at]
             ended = least >= _NONE
             if ended.any():
-                out[live[ended]] = symbols[ended]
+                out[live[ended], :width] = symbols[ended]
                 live, symbols, leaves, at, least = live[~ended], symbols[~ended], leaves[~ended], at[~ended], least[~ended]
                 rows = np.arange(len(live))
                 if not len(live):
@@ -172,15 +188,12 @@ class Merges:
             after = places[:-1] > at[:, None]  # what comes after the merged symbol moves one place to the left
             symbols[:, :-1] = np.where(after, symbols[:, 1:], symbols[:, :-1])
             leaves[:, :-1] = np.where(after, leaves[:, 1:], leaves[:, :-1])
-            left[live] -= 1
+            counts[live] -= 1
             leaves[rows, at] = _NONE
-            follows = np.flatnonzero(at + 1 < left[live])
+            follows = np.flatnonzero(at + 1 < counts[live])
             leaves[follows, at[follows]] = self.of(least[follows], symbols[follows, at[follows] + 1])
             leads = np.flatnonzero(at > 0)
             leaves[leads, at[leads] - 1] = self.of(symbols[leads, at[leads] - 1], least[leads])
-        data = out[np.arange(width) < left[:, None]].tobytes()
-        ends = (4 * np.cumsum(left)).tolist()
-        return [data[i:j] for i, j in zip([0, *ends], ends)]
 
 
 class Memory(dict):
@@ -210,116 +223,189 @@ class Ranks:
         self.ranks = parse_ranks(data)
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.merges = Merges(self.ranks) if Merges.fit(self.ranks) else None
+        #: Ids in ascending order, the tokens that they decode to, and the same tokens as a set to look pieces up in.
+        self.ids = np.array(sorted(self.tokens), np.int64)
+        self._gaps = not np.array_equal(self.ids, np.arange(len(self.ids)))
+        self.by_id = pa.array([self.tokens[i] for i in self.ids.tolist()], pa.binary())
+        self.whole, self.whole_ids = pa.array(list(self.ranks), pa.binary()), np.array(list(self.ranks.values()), np.int32)
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
+    def decode_lists(self, lists: pa.ListArray) -> pa.BinaryArray:
+        """The bytes of every list of ids; null has none, an unknown id is an error."""
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64))
+        ids = lists.flatten().to_numpy()
+        places = np.searchsorted(self.ids, ids) if self._gaps else ids
+        if len(ids) and (ids.min() < 0 or places.max() >= len(self.ids) or self._gaps and (self.ids[places] != ids).any()):
+            raise KeyError("an id that no token has")
+        parts, stops = [], [np.zeros(1, np.int64)]
+        for i, j in groups(4 * np.append(0, ends)):
+            begin = ends[i - 1] if i else 0
+            offsets, data = _strings(self.by_id.take(pa.array(places[begin : ends[j - 1]])))
+            stops.append(stops[-1][-1] + offsets[ends[i:j] - begin])
+            parts.append(data)
+        data = np.concatenate(parts) if parts else np.empty(0, np.uint8)
+        return pa.Array.from_buffers(pa.binary(), len(lists), [None, _offsets(np.concatenate(stops)).buffers()[1], pa.py_buffer(data)])
+
+
+def groups(offsets: np.ndarray):
+    """Neighbouring rows, from and to, that together reach over at most ``TOGETHER``, or one row that does alone."""
+    i, n = 0, len(offsets) - 1
+    while i < n:
+        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + TOGETHER, side="right")) - 1)
+        yield i, j
+        i = j
+
+
+def _strings(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets, from 0, and bytes of an array of strings without nulls."""
+    _, offsets, data = strings.buffers()
+    wide = pa.types.is_large_string(strings.type) or pa.types.is_large_binary(strings.type)
+    at = np.frombuffer(offsets, np.int64 if wide else np.int32)[strings.offset : strings.offset + len(strings) + 1]
+    if data is None or not len(strings):
+        return np.zeros(len(strings) + 1, np.int64), np.empty(0, np.uint8)
+    return at - at[0], np.frombuffer(data, np.uint8)[at[0] : at[-1]]
+
+
+def _offsets(ends: np.ndarray) -> pa.Array:
+    """Offsets of an Arrow array; more than it can hold are an error."""
+    return pa.array(ends, pa.int32())
+
+
+def _lists(counts: np.ndarray, ids: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(_offsets(np.append(0, np.cumsum(counts, dtype=np.int64))), pa.array(ids, pa.int32()))
+
 
 class Known:
-    """Results for strings seen before, at most ``2 * MEMORY_PIECES``: when full, only those used since are kept."""
+    """Ids of strings seen before, at most ``2 * MEMORY_PIECES``: when full, only those used last are kept."""
 
     def __init__(self) -> None:
-        self._now: dict[str, bytes] = {}
-        self._older: dict[str, bytes] = {}
-
-    def of(self, strings: list[str], solve) -> list[bytes]:
-        """The result of each string; ``solve`` gives those of the new ones."""
-        now, older = self._now, self._older
-        new = set(strings).difference(now)
-        if older:
-            again = [s for s in new if s in older]
-            now.update((s, older[s]) for s in again)
-            new.difference_update(again)
-        fresh = list(new)
-        now.update(zip(fresh, solve(fresh) if fresh else ()))
-        found = list(map(now.__getitem__, strings))
-        for s in fresh:
-            if len(s) > MEMORY_BYTES:
-                del now[s]
-        if len(now) > MEMORY_PIECES:
-            self._older, self._now = now, {}
+        self._strings, self._ids = pa.array([], pa.string()), _lists(np.empty(0, np.int64), np.empty(0, np.int32))
+
+    def of(self, strings: pa.StringArray, solve) -> pa.ListArray:
+        """The ids of each of distinct strings; ``solve`` gives those of the new ones."""
+        if len(strings) < len(self._strings) // 50:  # so few that they are solved sooner than looked up
+            return solve(strings)
+        held = len(self._strings)
+        place = pc.index_in(strings, value_set=self._strings)
+        new = np.flatnonzero(pc.is_null(place).to_numpy(zero_copy_only=False))
+        fresh = strings.take(pa.array(new))
+        place = pc.fill_null(place, 0).to_numpy().copy()
+        place[new] = held + np.arange(len(new))
+        ids = pa.concat_arrays([self._ids, solve(fresh)]) if len(new) else self._ids
+        found = ids.take(pa.array(place))
+        keep, kept = (pa.concat_arrays([self._strings, fresh]), ids) if held + len(new) <= 2 * MEMORY_PIECES else (strings, found)
+        short = np.flatnonzero(pc.binary_length(keep).to_numpy() <= MEMORY_BYTES)[: 2 * MEMORY_PIECES]
+        if len(short) < len(keep):
+            keep, kept = keep.take(pa.array(short)), kept.take(pa.array(short))
+        self._strings, self._ids = keep, kept
         return found
 
 
 class Codec:
-    """Ranks, pattern and the memory of runs and merged pieces. Ids are packed as 32-bit integers."""
+    """Ranks, pattern and the memory of runs and merged pieces."""
 
     def __init__(self, data: bytes, pattern: str) -> None:
-        file = _ranks(data)
-        self.ranks, self.decode, self._merges = file.ranks, file.decode, file.merges
-        split = splitter(pattern)
-        self._find, self._lines = split.find, split.lines
+        self._file = _ranks(data)
+        self.ranks, self.decode, self._merges = self._file.ranks, self._file.decode, self._file.merges
+        self._split = splitter(pattern)
         self._pieces, self._runs = Known(), Known()
 
-    def _merged(self, pieces: list[str]) -> list[bytes]:
-        """Ids of distinct pieces."""
-        raw = [p.encode("utf-8") for p in pieces]
-        whole = list(map(self.ranks.get, raw))
-        out = [b"" if rank is None else rank.to_bytes(4, "little") for rank in whole]
-        open_ = [i for i, rank in enumerate(whole) if rank is None]
-        short = [i for i in open_ if len(raw[i]) <= FAN + 1] if self._merges is not None else []
-        if short:
-            for i, ids in zip(short, self._merges.merge([raw[i] for i in short])):
-                out[i] = ids
-        for i in open_:
-            if not out[i]:
-                out[i] = array("i", merge_piece(raw[i], self.ranks)).tobytes()
-        return out
-
     def encode(self, text: str) -> bytes:
         return self.encode_all([text])[0]
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
-        """Packed ids of every text; null has none."""
-        out = [b""] * len(texts)
-        runs: dict[int, list[str]] = {}
-        pieces: dict[int, list[str]] = {}
-        n = 0
-
-        def flush() -> None:
-            for held, ids in ((runs, self._known_runs), (pieces, self._known_pieces)):
-                found = iter(ids(list(chain.from_iterable(held.values()))))
-                for i, strings in held.items():
-                    out[i] = b"".join(islice(found, len(strings)))
-                held.clear()
-
-        for i, text in enumerate(texts):
-            if not text:
-                continue
-            if "\0" in text or self._lines(text) is None:
-                strings = pieces[i] = self._find(text)
-            else:  # spaces begin a run, line breaks are one
-                strings = runs[i] = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
-            n += len(strings)
-            if n >= TOGETHER:
-                flush()
-                n = 0
-        flush()
-        return out
-
-    def _known_pieces(self, pieces: list[str]) -> list[bytes]:
-        return self._pieces.of(pieces, self._merged)
-
-    def _known_runs(self, runs: list[str]) -> list[bytes]:
-        return self._runs.of(runs, self._solved)
-
-    def _solved(self, runs: list[str]) -> list[bytes]:
+        """Ids of every text, packed as 32-bit integers; null has none."""
+        lists = self.lists(pa.array(texts, pa.string()))
+        data, ends = lists.values.to_numpy().tobytes(), (4 * lists.offsets.to_numpy().astype(np.int64)).tolist()
+        return [data[i:j] for i, j in zip(ends, ends[1:])]
+
+    def lists(self, texts: pa.Array) -> pa.ListArray:
+        """Ids of every text; null has none."""
+        offsets, data = _strings(texts.fill_null("") if texts.null_count else texts)
+        offsets = offsets.astype(np.int64)
+        counts, ids = [np.empty(0, np.int64)], [np.empty(0, np.int32)]
+        for i, j in groups(offsets):
+            part, begin = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+            cuts = run_starts(part, begin)
+            runs = pa.StringArray.from_buffers(len(cuts), _offsets(np.append(cuts, len(part))).buffers()[1], pa.py_buffer(part))
+            runs = runs.dictionary_encode()
+            found = self._runs.of(runs.dictionary, self._solved).take(runs.indices)
+            counts.append(np.diff(found.offsets.to_numpy()[np.searchsorted(cuts, begin)]))
+            ids.append(found.values.to_numpy())
+        return _lists(np.concatenate(counts), np.concatenate(ids))
+
+    def _solved(self, strings: pa.StringArray) -> pa.ListArray:
         """Ids of distinct runs."""
-        # a piece begins at every space, so runs that begin with one are split behind each other
-        spaced = [i for i, run in enumerate(runs) if run[0] == " "]
-        pieces = self._find("".join([runs[i] for i in spaced]))
-        starts = [i for i, piece in enumerate(pieces) if piece[0] == " "]
-        if len(starts) != len(spaced):
-            spaced, pieces, starts = [], [], []
-        others = sorted(set(range(len(runs))).difference(spaced)) if len(spaced) < len(runs) else []
-        for i in others:
-            starts.append(len(pieces))
-            pieces += self._find(runs[i])
-        ids = self._known_pieces(pieces)
-        out = [b""] * len(runs)
-        for i, begin, end in zip(chain(spaced, others), starts, [*starts[1:], len(pieces)]):
-            out[i] = ids[begin] if end == begin + 1 else b"".join(ids[begin:end])
-        return out
+        runs = strings.to_pylist()
+        # a piece begins at every blank behind another character, so runs from blank to other character are split as one text
+        odd = self._split.odd(set("".join(runs)))
+        inner = np.array([run[0] in " \n" and not run[-1].isspace() and (not odd or odd.isdisjoint(run)) for run in runs], bool)
+        pieces = self._split.find("".join([run for run, joins in zip(runs, inner.tolist()) if joins]))
+        sizes = np.array([len(run) for run in runs], np.int64)
+        ends = np.cumsum(sizes[inner])
+        places = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+        stops = np.searchsorted(places, ends)
+        if len(ends) and (len(places) == 0 or stops[-1] >= len(places) or (places[stops] != ends).any()):
+            inner[:], pieces, stops = False, [], stops[:0]
+        counts = np.empty(len(runs), np.int64)
+        counts[inner] = np.diff(stops + 1, prepend=0)
+        others = np.flatnonzero(~inner)
+        for i in others.tolist():
+            found = self._split.find(runs[i])
+            counts[i] = len(found)
+            pieces += found
+        # pieces of inner runs come first, those of the others behind them
+        order = np.concatenate([np.flatnonzero(inner), others])
+        coded = pa.array(pieces, pa.string()).dictionary_encode()
+        del runs, pieces
+        found = self._pieces.of(coded.dictionary, self._merged).take(coded.indices)
+        edges = np.append(0, np.cumsum(counts[order]))
+        ordered = _lists(np.diff(found.offsets.to_numpy()[edges]), found.values.to_numpy())
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        return ordered.take(pa.array(back))
+
+    def _merged(self, pieces: pa.StringArray) -> pa.ListArray:
+        """Ids of distinct pieces."""
+        starts, data = _strings(pieces)
+        starts, sizes = starts[:-1], np.diff(starts).astype(np.int64)
+        place = pc.index_in(pieces.cast(pa.binary()), value_set=self._file.whole)
+        open_ = pc.is_null(place).to_numpy(zero_copy_only=False)
+        place = pc.fill_null(place, 0).to_numpy()
+        short = np.flatnonzero(open_ & (sizes <= FAN + 1)) if self._merges is not None else np.empty(0, np.int64)
+        open_[short] = False
+        counts, long = np.ones(len(sizes), np.int64), np.flatnonzero(open_)
+        merged = [merge_piece(data[starts[i] : starts[i] + sizes[i]].tobytes(), self.ranks) for i in long.tolist()]
+        counts[long] = [len(ids) for ids in merged]
+        ids = np.empty(0, np.int32)
+        if len(short):
+            ids, counts[short] = self._merges.together(data, starts[short], sizes[short])
+        begins = np.cumsum(counts) - counts
+        out = np.empty(int(counts.sum()), np.int32)
+        one = np.ones(len(sizes), bool)
+        one[short] = one[long] = False
+        out[begins[one]] = self._file.whole_ids[place[one]]
+        within = np.arange(len(ids)) - np.repeat(np.cumsum(counts[short]) - counts[short], counts[short])
+        out[np.repeat(begins[short], counts[short]) + within] = ids
+        for i, found in zip(long.tolist(), merged):
+            out[begins[i] : begins[i] + len(found)] = found
+        return _lists(counts, out)
+
+
+def run_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where the runs of texts in UTF-8 begin: at each text, and at each space or line break behind a character that is no blank."""
+    begins = np.zeros(len(data), bool)
+    begins[1:] = ((data[1:] == 32) | (data[1:] == 10)) & (data[:-1] > 32)
+    behind = np.flatnonzero(begins)
+    behind = behind[data[behind - 1] >= 0x80]
+    a, b, c = (data[behind - k].astype(np.int32) for k in (3, 2, 1))  # the character before, if it is no longer than that
+    point = (b & 0x1F) << 6 | c & 0x3F
+    point = np.where(b < 0xC0, (a & 0x0F) << 12 | (b & 0x3F) << 6 | c & 0x3F, point)
+    begins[behind[np.isin(point, BLANKS)]] = False
+    begins[offsets[:-1][np.diff(offsets) > 0]] = True
+    return np.flatnonzero(begins)
 
 
 #: What a worker process keeps from batch to batch, by the content of the rank file: parsed files and codecs. Encoder and
@@ -359,10 +445,7 @@ def encoder(spark: SparkSession, rank_file: str, pattern: str):
 
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
-        codec = _codec(data.value, pattern)
-        packed = codec.encode_all(texts.to_pylist())
-        offsets = np.concatenate([[0], np.cumsum([len(ids) // 4 for ids in packed])]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), np.int32)))
+        return _codec(data.value, pattern).lists(texts)
 
     return encode
 
@@ -373,8 +456,7 @@ def decoder(spark: SparkSession, rank_file: str):
 
     @F.arrow_udf("binary")
     def decode(lists: pa.Array) -> pa.Array:
-        ranks = _ranks(data.value)
-        return pa.array([ranks.decode(ids.values.to_numpy().tolist()) if ids.is_valid else b"" for ids in lists], pa.binary())
+        return _ranks(data.value).decode_lists(lists)
 
     return decode
 

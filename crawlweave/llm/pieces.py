@@ -23,6 +23,8 @@ NUMBERS_16 = (
     (0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79),
     (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA),
 )
+#: Blanks beyond ASCII; none needs more than three bytes.
+BLANKS = tuple(p for p in range(0x80, 0x10000) if chr(p).isspace())
 
 
 def _ranges(letters: list[str]) -> str:
@@ -98,8 +100,12 @@ class Splitter:
         out.pop()
         return out
 
+    def odd(self, letters: set[str]) -> set[str]:
+        """Those of the letters that the ``regex`` module classes otherwise."""
+        return set() if self._odd is None else set(self._odd.findall("".join(letters)))
+
     def find(self, text: str) -> list[str]:
-        if text.isascii() or self._odd is None or not self._odd.search(text):
+        if text.isascii() or not self.odd(set(text)):
             return self._usual.findall(text)
         return self._exact.findall(text)
 

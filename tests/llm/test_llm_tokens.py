@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as P
 import pytest
 import tiktoken
@@ -103,3 +104,71 @@ def test_texts_are_encoded_together_whatever_the_group(monkeypatch):
         monkeypatch.setattr(bpe_codec, "MEMORY_PIECES", memory)
         codec = bpe_codec.Codec(data, P.PATTERN)
         assert codec.encode_all(texts) == want and codec.encode_all(texts[::-1]) == want[::-1]
+
+
+def test_the_pattern_splits_distinct_runs_only(monkeypatch):
+    """What is done in Python grows with the distinct runs, also in texts with tabs, doubled and odd blanks."""
+    seen = []
+    find = pieces.Splitter.find
+    monkeypatch.setattr(pieces.Splitter, "find", lambda self, text: seen.append(len(text)) or find(self, text))
+    codec = bpe_codec.Codec(bpe_codec.read_file(RANKS), P.PATTERN)
+    text = "one  two\tthree, naïve\u2003four \n\n five\u00a0 six\n" * 2000
+    got, seen_chars = codec.encode_all([text, text + "x"]), sum(seen)
+    assert seen_chars < 200
+    for ids, whole in zip(got, (text, text + "x")):
+        want = b"".join(np.array(bpe_codec.merge_piece(p.encode(), codec.ranks), np.int32).tobytes() for p in pieces.splitter(P.PATTERN).find(whole))
+        assert ids == want
+
+
+def test_a_run_begins_where_a_piece_does():
+    draw = random.Random(11)
+    blanks = " \n\t\r\x0b\x1c\x1f\x85\xa0\u1680\u2000\u200a\u2028\u202f\u205f\u3000"
+    split = pieces.splitter(P.PATTERN)
+    for _ in range(3000):
+        text = "".join(draw.choice(blanks + "    \nab.é\u00b0\u2019\u200b\u4e2d\U0001f600'7") for _ in range(draw.randrange(30)))
+        data = text.encode()
+        starts = bpe_codec.run_starts(np.frombuffer(data, np.uint8), np.array([0, len(data)])).tolist()
+        runs = [data[i:j].decode() for i, j in zip(starts, [*starts[1:], len(data)])]
+        assert [p for run in runs for p in split.find(run)] == split.find(text)
+        assert all(run[0] in " \n" and not before[-1].isspace() for before, run in zip(runs, runs[1:]))
+
+
+def test_lists_of_any_arrow_layout(monkeypatch):
+    rows = [None, "ab c", "", "naïve  x", None, "the cat\n", "z" * 30, " "] * 3
+    codec = bpe_codec.Codec(bpe_codec.read_file(RANKS), P.PATTERN)
+    want = [np.frombuffer(codec.encode(row or ""), np.int32).tolist() for row in rows]
+    for together in (1, 20, 1 << 24):
+        monkeypatch.setattr(bpe_codec, "TOGETHER", together)
+        for kind in (pa.string(), pa.large_string()):
+            whole = pa.array(rows, kind)
+            assert codec.lists(whole).to_pylist() == want
+            assert codec.lists(whole.slice(3, 7)).to_pylist() == want[3:10]
+            assert codec.lists(whole.slice(0, 0)).to_pylist() == []
+            assert codec.lists(pa.array([None, ""], kind)).to_pylist() == [[], []]
+        lists = pa.array([None, *want], pa.list_(pa.int32()))
+        assert codec._file.decode_lists(lists).to_pylist() == [b"", *((row or "").encode() for row in rows)]
+        assert codec._file.decode_lists(lists.slice(2, 5)).to_pylist() == [(row or "").encode() for row in rows[1:6]]
+        assert codec._file.decode_lists(lists.slice(0, 1)).to_pylist() == [b""]
+
+
+def test_ids_with_gaps_decode_and_unknown_ids_are_an_error():
+    gaps = bpe_codec.Ranks(b"YQ== 3\nYg== 7\nYWI= 20\n")
+    whole = bpe_codec._ranks(bpe_codec.read_file(RANKS))
+    assert gaps.decode_lists(pa.array([[3, 7, 20], []], pa.list_(pa.int32()))).to_pylist() == [b"abab", b""]
+    for file, bad in ((gaps, 4), (gaps, 21), (gaps, -1), (whole, -1), (whole, len(whole.ranks))):
+        with pytest.raises(KeyError):
+            file.decode_lists(pa.array([[3], [bad]], pa.list_(pa.int32())))
+
+
+def test_known_keeps_to_its_bound(monkeypatch):
+    monkeypatch.setattr(bpe_codec, "MEMORY_PIECES", 5)
+    known, solved = bpe_codec.Known(), []
+
+    def solve(strings):
+        solved.extend(strings.to_pylist())
+        return pa.array([[len(s)] * len(s) for s in strings.to_pylist()], pa.list_(pa.int32()))
+
+    for batch in (["a", "bb"], ["bb", "x" * 99], [f"{i:03}" for i in range(9)], [f"{i:03}" for i in range(30)], ["a", "001"]):
+        assert known.of(pa.array(batch), solve).to_pylist() == [[len(s)] * len(s) for s in batch]
+        assert len(known._strings) == len(known._ids) <= 10
+    assert solved[:3] == ["a", "bb", "x" * 99] and solved.count("bb") == 1
